@@ -2,8 +2,9 @@
 
 Each reads the driver tables of ``sf_dir`` through the fixture views, runs
 the library operator over the whole tables, and normalizes the output for
-comparison with the SQL oracle: doubles rounded to 6 places, exact decimals
-cast to double at the very end (sums stay exact until then).
+comparison with the SQL oracle: doubles rounded to 6 places (in decimal
+terms), exact decimals rounded to 6 places and cast to double at the very
+end (sums stay exact until then).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from contrail.fixtures import AS_OF, REPORT_YEAR, Tables, tables
+from contrail.fixtures import Tables, tables
 from contrail.functions.numeric import fround
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,18 +25,13 @@ CALENDAR_START = "1990-01-01"
 CALENDAR_END = "2030-12-31"
 
 
-def register(name: str):
-    def deco(fn):
-        QUERIES[name] = fn
-        return fn
-    return deco
-
-
 def normalize(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DecimalType):
+            if f.dataType.scale > 6:
+                c = F.round(c, 6)
             c = c.cast("double")
         elif isinstance(f.dataType, (DoubleType, FloatType)):
             c = fround(c, 6)
@@ -66,11 +62,18 @@ def event_legs(t: Tables) -> DataFrame:
     })
 
 
-def q(name: str):
-    """Register a builder taking ``Tables`` and normalize its result."""
+def routed_flights(t: Tables) -> DataFrame:
+    """fact_flight with origin/dest IATA codes (role-playing airport joins)."""
+    from contrail.operators.aggregates import with_route_names
+    return with_route_names(t.fact_flight, t.dim_airport)
+
+
+def q(name: str, normalized: bool = True):
+    """Register a builder taking ``Tables``; its result is normalized."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return normalize(fn(tables(spark, sf_dir)))
+            out = fn(tables(spark, sf_dir))
+            return normalize(out) if normalized else out
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -78,30 +81,6 @@ def q(name: str):
     return deco
 
 
-# ---------------------------------------------------------------- reports
-from contrail.plans import reports as R  # noqa: E402
-
-
-@q("rpt_on_time")
-def _rpt_on_time(t: Tables) -> DataFrame:
-    return R.on_time_performance(t.fact_flight, calendar(t), t.dim_airline, REPORT_YEAR)
-
-
-@q("rpt_delay_cascade")
-def _rpt_delay_cascade(t: Tables) -> DataFrame:
-    return R.delay_cascade(t.fact_flight, t.dim_airline, t.dim_airport, REPORT_YEAR)
-
-
-@q("rpt_rfm")
-def _rpt_rfm(t: Tables) -> DataFrame:
-    return R.rfm_segments(t.fact_reservation, t.dim_passenger, calendar(t), AS_OF)
-
-
-@q("rpt_route_profit")
-def _rpt_route_profit(t: Tables) -> DataFrame:
-    return R.route_profitability(t.fact_flight, t.dim_airport, t.dim_airline, REPORT_YEAR)
-
-
-@q("rpt_delay_features")
-def _rpt_delay_features(t: Tables) -> DataFrame:
-    return R.delay_features(event_legs(t), calendar(t), clock(t), t.dim_airport)
+# Registration modules (import order = key families).
+from contrail.registered import reports as _reports  # noqa: E402,F401
+from contrail.registered import analytics as _analytics  # noqa: E402,F401

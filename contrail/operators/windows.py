@@ -64,9 +64,9 @@ def percent_rank_global(df: DataFrame, order_col: str, out: str, descending: boo
                                        F.first("_pr_n").alias("_pr_n"))
     pr = F.when(F.col("_pr_n") <= 1, F.lit(0.0)).otherwise(
         F.col("_pr_first") / (F.col("_pr_n") - 1))
-    return (df.join(first, df[order_col].eqNullSafe(first[order_col]), "left")
-            .drop(first[order_col])
-            .withColumn(out, pr).drop("_pr_first", "_pr_n"))
+    first = first.withColumnRenamed(order_col, "_pr_k")
+    return (df.join(first, F.col(order_col).eqNullSafe(F.col("_pr_k")), "left")
+            .withColumn(out, pr).drop("_pr_k", "_pr_first", "_pr_n"))
 
 
 def moving_avg(df: DataFrame, value: str, order: list[Column], before: int, after: int,
@@ -86,7 +86,8 @@ def partition_max(df: DataFrame, value: str, partition: list[str], out: str) ->
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Keep the first row per key by ``order`` (ROW_NUMBER() = 1).
+    """Keep the row with the greatest ``order`` per key (ROW_NUMBER() = 1 of
+    the descending order).
 
     Written as a grouped ``max_by`` over a struct so the reduction is a
     partial aggregate: a hot key is pre-reduced on every task instead of being
@@ -103,3 +104,73 @@ def row_number_top(df: DataFrame, partition: list[str], order: list[Column], n:
                    out: str = "row_num") -> DataFrame:
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= n)
+
+
+def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list[str],
+                   before: int, out: str) -> DataFrame:
+    """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS BETWEEN before PRECEDING
+    AND CURRENT ROW)`` without sorting a hot partition in one task.
+
+    Rows get a dense index in (partition, order) order (range partitioned, see
+    plans.ranking). Each row then contributes its value to the ``before + 1``
+    positions it belongs to (its own and the next ``before``); grouping by
+    (target position, partition) and joining back on the unique position gives
+    the frame. Work is ``(before + 1) x`` a narrow projection, independent of
+    key skew. ``order`` must make the order total.
+    """
+    idx = global_index(df, [*partition, *order], "_rf_rn")
+    parts = [F.col(p) for p in partition]
+    contrib = (idx.select(*parts, "_rf_rn", F.col(value).alias("_rf_v"))
+               .withColumn("_rf_i", F.explode(F.sequence(F.lit(0), F.lit(before))))
+               .select(*parts, (F.col("_rf_rn") + F.col("_rf_i")).alias("_rf_rn"), "_rf_v"))
+    frame = (contrib.groupBy(*partition, "_rf_rn").agg(F.avg("_rf_v").alias(out))
+             .withColumnsRenamed({p: f"_rf_p_{p}" for p in partition}))
+    cond = [F.col("_rf_rn") == F.col("_rf_t")] + \
+        [F.col(p).eqNullSafe(F.col(f"_rf_p_{p}")) for p in partition]
+    return (idx.join(frame.withColumnRenamed("_rf_rn", "_rf_t"), cond, "left")
+            .select(*df.columns, out))
+
+
+def day_range_avg(df: DataFrame, value: str, partition: list[str], day: str, days_before: int,
+                  out: str) -> DataFrame:
+    """``avg(value) OVER (PARTITION BY p ORDER BY day RANGE BETWEEN d PRECEDING AND
+    CURRENT ROW)`` with ``day`` a DATE.
+
+    A RANGE frame includes every peer of the current day, so per-(partition,
+    day) sums and counts are exact inputs: the window then runs over one row
+    per day (bounded by the calendar, whatever the skew) and the result is
+    joined back by (partition, day).
+    """
+    dn = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+    daily = (df.groupBy(*partition, day)
+             .agg(F.sum(value).alias("_dr_s"), F.count(value).alias("_dr_n"))
+             .withColumn("_dr_d", dn))
+    w = Window.partitionBy(*partition).orderBy("_dr_d").rangeBetween(-days_before, 0)
+    keys = [*partition, day]
+    daily = daily.select(*[F.col(c).alias(f"_dr_k_{c}") for c in keys],
+                         (F.sum("_dr_s").over(w) / F.sum("_dr_n").over(w)).alias(out))
+    cond = [F.col(c).eqNullSafe(F.col(f"_dr_k_{c}")) for c in keys]
+    return df.join(daily, cond, "left").select(*df.columns, out)
+
+
+def partition_percent_rank(df: DataFrame, value: str, partition: list[str], out: str) -> DataFrame:
+    """``percent_rank() OVER (PARTITION BY p ORDER BY value)`` (NULLs first).
+
+    rank = 1 + rows of the partition ordered before the value, n = partition
+    size. Both come from a partial aggregate per (partition, value), so a hot
+    partition contributes one row per distinct value to the window.
+    """
+    per_value = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("_pr_c"))
+    w_before = (Window.partitionBy(*partition).orderBy(F.col(value).asc_nulls_first())
+                .rowsBetween(Window.unboundedPreceding, -1))
+    w_all = Window.partitionBy(*partition)
+    ranked = per_value.select(
+        *partition, value,
+        F.coalesce(F.sum("_pr_c").over(w_before), F.lit(0)).alias("_pr_before"),
+        F.sum("_pr_c").over(w_all).alias("_pr_n"))
+    pr = F.when(F.col("_pr_n") <= 1, F.lit(0.0)).otherwise(
+        F.col("_pr_before") / (F.col("_pr_n") - 1))
+    keys = [*partition, value]
+    ranked = ranked.select(*[F.col(c).alias(f"_pr_k_{c}") for c in keys], pr.alias(out))
+    cond = [F.col(c).eqNullSafe(F.col(f"_pr_k_{c}")) for c in keys]
+    return df.join(ranked, cond, "left").select(*df.columns, out)
