@@ -86,3 +86,4 @@ from contrail.registered import reports as _reports  # noqa: E402,F401
 from contrail.registered import analytics as _analytics  # noqa: E402,F401
 from contrail.registered import quality as _quality  # noqa: E402,F401
 from contrail.registered import dims as _dims  # noqa: E402,F401
+from contrail.registered import storage as _storage  # noqa: E402,F401
