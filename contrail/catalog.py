@@ -87,3 +87,7 @@ from contrail.registered import analytics as _analytics  # noqa: E402,F401
 from contrail.registered import quality as _quality  # noqa: E402,F401
 from contrail.registered import dims as _dims  # noqa: E402,F401
 from contrail.registered import storage as _storage  # noqa: E402,F401
+from contrail.registered import streams as _streams  # noqa: E402,F401
+from contrail.registered import governance as _governance  # noqa: E402,F401
+from contrail.registered import dashboard as _dashboard  # noqa: E402,F401
+from contrail.registered import jobs as _jobs  # noqa: E402,F401
