@@ -72,6 +72,9 @@ def q(name: str, normalized: bool = True):
     """Register a builder taking ``Tables``; its result is normalized."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Timestamps are compared as UTC wall-clock values whatever session runs us.
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             out = fn(tables(spark, sf_dir))
             return normalize(out) if normalized else out
         run.__name__ = fn.__name__

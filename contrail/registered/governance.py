@@ -25,3 +25,12 @@ def pii_tag_report(t: Tables) -> DataFrame:
     r = G.tag_report(G.tag_columns(t.fact_reservation, G.PII_TAGS["fact_reservation"]),
                      "fact_reservation")
     return p.unionByName(r)
+
+
+@q("masked_view_reader")
+def masked_view_reader(t: Tables) -> DataFrame:
+    """dim_passenger as the reader role sees it: every PII-tagged column masked
+    by its policy (untagged columns pass through)."""
+    p = G.tag_columns(t.dim_passenger, G.PII_TAGS["dim_passenger"])
+    return G.masked_view(p, M.READER).select("passenger_key", "passenger_id", "email", "phone", "dob",
+                                            "loyalty_tier")

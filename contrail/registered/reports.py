@@ -32,3 +32,13 @@ def rpt_route_profit(t: Tables) -> DataFrame:
 @q("rpt_delay_features")
 def rpt_delay_features(t: Tables) -> DataFrame:
     return R.delay_features(event_legs(t), calendar(t), clock(t), t.dim_airport)
+
+
+# Fixed values: "today" for the event data (events span January 2024).
+EVENTS_AS_OF = "2024-01-30"
+
+
+@q("filter_relative_day")
+def filter_relative_day(t: Tables) -> DataFrame:
+    """Delay features for the day before ``as_of`` (``CURRENT_DATE - 1``)."""
+    return R.delay_features(event_legs(t), calendar(t), clock(t), t.dim_airport, as_of=EVENTS_AS_OF)

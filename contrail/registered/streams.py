@@ -125,3 +125,19 @@ def stream_late_data(t: Tables) -> DataFrame:
     start_upsert(SK.windowed_kpis(SK.file_events(t.spark, src)), sink, ck,
                  available_now=True).awaitTermination()
     return _ntz(sink.read(t.spark))
+
+
+@q("stream_source")
+def stream_source(t: Tables) -> DataFrame:
+    """The decoded event stream itself, appended batch by batch to the sink
+    folder (every event once; keys are unique event ids)."""
+    src = shared_path(t.spark, "stream", "flight_events_raw")
+    land_time_slices(t, src)
+    sink = UpsertSink(shared_path(t.spark, "sinks", "flight_events"), ["event_id"])
+    events = SK.file_events(t.spark, src, max_files_per_trigger=1)
+    (events.writeStream.foreachBatch(sink).outputMode("append")
+     .option("checkpointLocation", shared_path(t.spark, "checkpoints", "flight_events"))
+     .trigger(availableNow=True).start().awaitTermination())
+    out = sink.read(t.spark)
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz")
+                            for c in ("event_ts", "sched_dep_ts", "actual_dep_ts")})

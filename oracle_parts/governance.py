@@ -13,3 +13,8 @@ UNION ALL SELECT 'dim_passenger', 'phone', 'HIGH', COUNT(phone) FROM dim_passeng
 UNION ALL SELECT 'dim_passenger', 'dob', 'MEDIUM', COUNT(dob) FROM dim_passenger
 UNION ALL SELECT 'fact_reservation', 'total_fare', 'LOW', COUNT(total_fare) FROM fact_reservation""",
     "dim_passenger", "fact_reservation")
+
+add("masked_view_reader", """
+SELECT passenger_key, passenger_id, '***MASKED***' AS email, '***-***-' || right(phone, 4) AS phone,
+  CAST(date_trunc('year', dob) AS DATE) AS dob, loyalty_tier
+FROM dim_passenger""", "dim_passenger")
