@@ -94,3 +94,4 @@ from contrail.registered import streams as _streams  # noqa: E402,F401
 from contrail.registered import governance as _governance  # noqa: E402,F401
 from contrail.registered import dashboard as _dashboard  # noqa: E402,F401
 from contrail.registered import jobs as _jobs  # noqa: E402,F401
+from contrail.registered import extras as _extras  # noqa: E402,F401

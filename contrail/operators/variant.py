@@ -48,8 +48,8 @@ def flatten_events(df: DataFrame, variant_col: str = "payload_v",
 
 
 def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
-                keep: tuple[str, ...] = ()) -> DataFrame:
+                keep: tuple[str, ...] = (), options: dict | None = None) -> DataFrame:
     """``from_json(value, schema)`` then ``data.*``; malformed text gives all-NULL fields."""
     return df.select(*[F.col(c) for c in keep],
-                     F.from_json(F.col(value_col).cast("string"), schema).alias("data")) \
+                     F.from_json(F.col(value_col).cast("string"), schema, options or {}).alias("data")) \
         .select(*keep, "data.*")
