@@ -75,9 +75,7 @@ def backfill(spark: SparkSession, landing: str, columns: list[str], start: str,
         F.col("FlightDate").between(start, end))
     clean = C.transform_flights(raw, load_ts=run_ts.isoformat(sep=" ")).drop("etl_load_ts").persist()
     try:
-        clean.sortWithinPartitions("date_key").write \
-            .option("partitionOverwriteMode", "dynamic").mode("overwrite") \
-            .partitionBy("date_key").parquet(target_path)
+        K.write_partitioned(clean, target_path, ["date_key"])
         per_date = clean.groupBy(F.col("flight_date").alias("process_date")) \
             .agg(F.count(F.lit(1)).alias("rows_loaded"))
         G.append_run_log(G.run_log_entries(per_date, run_ts, "success", time.time() - t0), log_path)
@@ -115,6 +113,5 @@ def incremental_load(spark: SparkSession, table_path: str, increment: DataFrame,
     start = hwm - timedelta(days=lookback_days) if hwm else date(1900, 1, 1)
     inc = increment.filter(F.col("flight_date") >= F.lit(start))
     latest = win.latest_per_key(inc, ["record_hash"], [F.col("etl_load_ts")])
-    latest.sortWithinPartitions("date_key").write.option("partitionOverwriteMode", "dynamic") \
-        .mode("overwrite").partitionBy("date_key").parquet(table_path)
+    K.write_partitioned(latest, table_path, ["date_key"])
     return spark.read.parquet(table_path)

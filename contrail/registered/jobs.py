@@ -15,6 +15,7 @@ from contrail.plans import jobs as J
 from contrail.schemas import BTS_RAW_COLUMNS
 from contrail.session import shared_path
 from contrail.sources import landing as L
+from contrail.sources import sinks as K
 
 # Job scenario dates.
 BATCH_DAY = "1996-06-14"
@@ -93,7 +94,7 @@ def incremental_load(t: Tables) -> DataFrame:
     path = shared_path(t.spark, "warehouse", "fact_flight_incremental")
     first = C.transform_flights(t.bts_raw, load_ts="2001-08-01 06:00:00")
     first = first.filter(F.col("flight_date") < F.lit(INCREMENT_HWM_BEFORE).cast("date"))
-    first.write.mode("overwrite").partitionBy("date_key").parquet(path)
+    K.write_partitioned(first, path, ["date_key"])
     increment = C.transform_flights(t.bts_raw, load_ts="2001-08-02 06:00:00")
     out = J.incremental_load(t.spark, path, increment)
     return out.select(*_CLEAN_COLS)

@@ -77,6 +77,13 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([root, "contrail", *leaf])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on the path's own filesystem (local, HDFS, object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     checkpoint_root(df.sparkSession)

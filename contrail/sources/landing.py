@@ -18,9 +18,9 @@ WEATHER_RESULTS_PER_REQUEST = 1000
 
 def land_csv_by_month(df: DataFrame, path: str, date_col: str = "FlightDate") -> None:
     """Monthly CSV folders (``month=YYYY_MM``), header row, all text."""
+    from contrail.sources.sinks import partition_layout
     month = F.date_format(F.to_date(F.col(date_col)), "yyyy_MM")
-    (df.withColumn("month", month)
-     .sortWithinPartitions("month")
+    (partition_layout(df.withColumn("month", month), ["month"])
      .write.mode("overwrite").option("header", True).partitionBy("month").csv(path))
 
 

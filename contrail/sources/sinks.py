@@ -57,14 +57,24 @@ def write_table(df: DataFrame, table: str, path: str, mode: str = "append",
     df.write.mode(mode).format(fmt).option("path", path).saveAsTable(table)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Partitioned lake write replacing only the partitions in ``df``.
-
-    Rows are sorted by the partition columns inside each task (no shuffle),
-    so each task writes its partitions one after another; a hot partition
-    value is spread over the tasks that hold it rather than funnelled into one.
+def partition_layout(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows arranged for a partitioned write.
+
+    Range partitioning on (partition columns, row hash) gives each task a
+    contiguous run of partition values, so the file count is about tasks +
+    partition values instead of tasks x values, and the row hash splits a hot
+    partition value over several tasks instead of funnelling it into one.
+    Sorting inside the task keeps one file open at a time.
     """
-    (df.sortWithinPartitions(*partition_by).write
+    keys = [F.col(c) for c in partition_by]
+    return (df.repartitionByRange(*keys, F.xxhash64(*[F.col(c) for c in df.columns]))
+            .sortWithinPartitions(*partition_by))
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Partitioned lake write replacing only the partitions present in ``df``
+    (dynamic partition overwrite): re-running a load is idempotent."""
+    (partition_layout(df, partition_by).write
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .option("partitionOverwriteMode", "dynamic")
      .mode("overwrite").partitionBy(*partition_by).parquet(path))

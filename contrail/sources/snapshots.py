@@ -13,6 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.session import path_exists
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
@@ -24,10 +25,9 @@ class SnapshotTable:
         return f"{self.root}/_manifest"
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.manifest_path)
-        except Exception:  # noqa: BLE001 - no commit yet
-            return None
+        if not path_exists(self.spark, self.manifest_path):
+            return None  # no commit yet
+        return self.spark.read.parquet(self.manifest_path)
 
     def latest_version(self) -> int:
         m = self._manifest()
