@@ -61,9 +61,7 @@ def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
     recursion is unrolled into ``max_depth - 1`` equi-joins on the unique
     flight key.
     """
-    lo, hi = agg.year_key_range(year)
-    f = (fact.filter((F.col("late_aircraft_delay") > base_late_aircraft)
-                     & F.col("date_key").between(lo, hi))
+    f = (fact.filter((F.col("late_aircraft_delay") > base_late_aircraft) & agg.in_year(fact, year))
          .join(dim_airline.select("airline_key"), "airline_key")
          .join(dim_airport.select(F.col("airport_key").alias("origin_airport_key")), "origin_airport_key")
          .join(dim_airport.select(F.col("airport_key").alias("dest_airport_key")), "dest_airport_key"))

@@ -252,8 +252,8 @@ def join_role_playing(t: Tables) -> DataFrame:
 
 @q("filter_date_range")
 def filter_date_range(t: Tables) -> DataFrame:
-    lo, hi = agg.year_key_range(REPORT_YEAR)
-    return t.fact_flight.filter(F.col("date_key").between(lo, hi)).select("flight_key", "date_key")
+    f = t.fact_flight
+    return f.filter(agg.in_year(f, REPORT_YEAR)).select("flight_key", "date_key")
 
 
 @q("filter_bool")
