@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.cases import DELAY_CAUSES, delay_severity
 from contrail.functions.numeric import fround
+from contrail.plans.joins import bounded_broadcast
 
 # Hourly colour bands, route status bands, severity merge, lead bands.
 HOUR_BANDS = [(25, "high"), (18, "medium")]
@@ -87,7 +88,7 @@ def hourly_delay(spark: SparkSession, fact: DataFrame) -> DataFrame:
     by_hour = fact.groupBy("hour_24").agg(F.avg("arr_delay_min").alias("_avg"),
                                           F.count(F.lit(1)).alias("flights"))
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour_24"))
-    j = hours.join(F.broadcast(by_hour), "hour_24", "left")
+    j = hours.join(bounded_broadcast(by_hour, 24), "hour_24", "left")  # one row per hour of day
     return j.select("hour_24", F.format_string("%02d:00", F.col("hour_24")).alias("hour_label"),
                     F.coalesce(F.col("flights"), F.lit(0)).alias("flights"),
                     fround(F.col("_avg"), 1).alias("avg_delay"),

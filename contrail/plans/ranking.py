@@ -42,7 +42,11 @@ def global_index(df: DataFrame, order: list[Column | str], index_col: str = "_rn
     per-partition counts, so no extra pass and no cross join).
     """
     n = _num_partitions(df, num_partitions)
-    s = (df.repartitionByRange(n, *order)
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges adjacent ones, so partition ids still follow the global order.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions \
+        else df.repartitionByRange(*order)
+    s = (ranged
          .sortWithinPartitions(*order)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_local", F.monotonically_increasing_id()

@@ -78,3 +78,10 @@ def test_latest_per_key_matches_row_number(spark):
         Window.partitionBy("grp").orderBy(F.col("v").desc(), F.col("k").desc())))
         .filter("rn = 1").select("grp", "k", "v"))
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_global_index_with_aqe_sized_partitions(spark):
+    df = _skewed(spark, 5000)
+    idx = global_index(df, ["grp", "day", "k"], "rn", total_col="n")
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy("grp", "day", "k")) - 1)
+    assert idx.join(ref, "k").filter(F.col("rn") != F.col("ref")).count() == 0
