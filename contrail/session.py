@@ -28,13 +28,18 @@ BASE_CONF = {
     # reliable checkpoints (global ordering) are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
 def get_session(master: str | None = None, app: str = "contrail",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the library's defaults."""
+                extra: dict | None = None, mode: str = "batch") -> SparkSession:
+    """Build (or reuse) a session with the library's defaults.
+
+    ``mode="streaming"`` also sets a default checkpoint location for stream
+    queries under the shared checkpoint root.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -46,7 +51,9 @@ def get_session(master: str | None = None, app: str = "contrail",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
+    root = checkpoint_root(spark)
+    if mode == "streaming" and not spark.conf.get("spark.sql.streaming.checkpointLocation", None):
+        spark.conf.set("spark.sql.streaming.checkpointLocation", f"{root}/streaming")
     return spark
 
 
