@@ -52,6 +52,26 @@ def column_report(df: DataFrame, table: str, rules: list[tuple[str, bool, int |
                     + F.col("too_long_count"))
 
 
+def fk_orphans_multi(fact: DataFrame, checks: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """All foreign keys of one fact checked in a single pass over the fact.
+
+    ``checks`` holds ``(fk column, dimension, dimension key, check name)``.
+    The fact's FK columns are projected once and left-joined to each
+    dimension's distinct keys (small dimensions become broadcast joins), an
+    orphan flag per FK is unpivoted, and orphans are counted per (check, key).
+    """
+    f = fact.select(*dict.fromkeys(fk for fk, _, _, _ in checks))
+    flags = []
+    for i, (fk, dim, dim_key, name) in enumerate(checks):
+        d = dim.select(F.col(dim_key).alias(f"_fk_{i}")).distinct()
+        f = f.join(d, F.col(fk) == F.col(f"_fk_{i}"), "left")
+        orphan = F.col(fk).isNotNull() & F.col(f"_fk_{i}").isNull()
+        flags.append(F.when(orphan, F.struct(F.lit(name).alias("fk_name"),
+                                             F.col(fk).cast("string").alias("key_value"))))
+    return (f.select(F.explode(F.array(*flags)).alias("_o")).filter(F.col("_o").isNotNull())
+            .groupBy("_o.fk_name", "_o.key_value").agg(F.count(F.lit(1)).alias("orphan_rows")))
+
+
 def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, dim_key: str, name: str) -> DataFrame:
     """Foreign-key values with no dimension row (left anti join), with counts."""
     d = dim.select(F.col(dim_key).alias("__k")).distinct()

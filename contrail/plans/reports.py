@@ -14,6 +14,7 @@ from contrail.functions.numeric import fround
 from contrail.operators import aggregates as agg
 from contrail.operators import windows as win
 from contrail.plans.ranking import successor
+from contrail.session import cut_lineage
 
 # ---------------------------------------------------------------- R1
 
@@ -67,8 +68,11 @@ def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
          .join(dim_airport.select(F.col("airport_key").alias("dest_airport_key")), "dest_airport_key"))
     level = f.select("flight_key", "flight_number", "arr_delay_min",
                      F.lit(1).alias("chain_level"), F.col("flight_number").alias("root_flight"))
-    edges = next_leg_edges(fact).filter(F.col("next_flight_key").isNotNull()) \
-        .select("flight_key", "next_flight_key", "next_flight_number", "next_arr_delay_min")
+    # Every level joins the same edge table: materialize it once (a narrow
+    # four-column projection) instead of re-planning it per level.
+    edges = cut_lineage(next_leg_edges(fact).filter(F.col("next_flight_key").isNotNull())
+                        .select("flight_key", "next_flight_key", "next_flight_number",
+                                "next_arr_delay_min"))
     levels = [level]
     for depth in range(2, max_depth + 1):
         cur = levels[-1]

@@ -135,18 +135,14 @@ def chk_not_null(t: Tables) -> DataFrame:
 
 @q("chk_fk_orphans")
 def chk_fk_orphans(t: Tables) -> DataFrame:
-    f = t.fact_flight
-    parts = [
-        I.fk_orphans(f, "date_key", calendar(t), "date_key", "fact_flight.date_key"),
-        I.fk_orphans(f, "airline_key", t.dim_airline, "airline_key", "fact_flight.airline_key"),
-        I.fk_orphans(f, "origin_airport_key", t.dim_airport, "airport_key", "fact_flight.origin_airport_key"),
-        I.fk_orphans(f, "dest_airport_key", t.dim_airport, "airport_key", "fact_flight.dest_airport_key"),
-        I.fk_orphans(f, "aircraft_key", t.dim_aircraft, "aircraft_key", "fact_flight.aircraft_key"),
-        I.fk_orphans(t.fact_reservation, "passenger_key", t.dim_passenger, "passenger_key",
-                     "fact_reservation.passenger_key"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    flights = I.fk_orphans_multi(t.fact_flight, [
+        ("date_key", calendar(t), "date_key", "fact_flight.date_key"),
+        ("airline_key", t.dim_airline, "airline_key", "fact_flight.airline_key"),
+        ("origin_airport_key", t.dim_airport, "airport_key", "fact_flight.origin_airport_key"),
+        ("dest_airport_key", t.dim_airport, "airport_key", "fact_flight.dest_airport_key"),
+        ("aircraft_key", t.dim_aircraft, "aircraft_key", "fact_flight.aircraft_key"),
+    ])
+    bookings = I.fk_orphans(t.fact_reservation, "passenger_key", t.dim_passenger, "passenger_key",
+                            "fact_reservation.passenger_key")
+    return flights.unionByName(bookings)
 
