@@ -13,8 +13,7 @@ from contrail.functions.cases import rfm_segment, route_tier, safe_div
 from contrail.functions.numeric import fround
 from contrail.operators import aggregates as agg
 from contrail.operators import windows as win
-from contrail.plans.ranking import successor
-from contrail.session import cut_lineage
+from contrail.plans.ranking import global_index, successor
 
 # ---------------------------------------------------------------- R1
 
@@ -58,36 +57,42 @@ def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
 
     Level k+1 is the aircraft's next leg after a level-k leg that arrived more
     than ``follow_delay`` minutes late (``None`` follows every leg). Each leg
-    has one successor, so every level is at most as large as the base; the
-    recursion is unrolled into ``max_depth - 1`` equi-joins on the unique
-    flight key.
+    has one successor, so the chain of a root is the run of positions after
+    it in the global (aircraft, date, hour, flight key) order: roots expand to
+    ``max_depth`` positions, one equi-join on the unique position fetches the
+    legs, and a window over at most ``max_depth`` rows per root keeps the
+    prefix that follows the rule. No recursion, no per-level re-planning, no
+    per-aircraft sort in one task.
     """
-    f = (fact.filter((F.col("late_aircraft_delay") > base_late_aircraft) & agg.in_year(fact, year))
-         .join(dim_airline.select("airline_key"), "airline_key")
-         .join(dim_airport.select(F.col("airport_key").alias("origin_airport_key")), "origin_airport_key")
-         .join(dim_airport.select(F.col("airport_key").alias("dest_airport_key")), "dest_airport_key"))
-    level = f.select("flight_key", "flight_number", "arr_delay_min",
-                     F.lit(1).alias("chain_level"), F.col("flight_number").alias("root_flight"))
-    # Every level joins the same edge table: materialize it once (a narrow
-    # four-column projection) instead of re-planning it per level.
-    edges = cut_lineage(next_leg_edges(fact).filter(F.col("next_flight_key").isNotNull())
-                        .select("flight_key", "next_flight_key", "next_flight_number",
-                                "next_arr_delay_min"))
-    levels = [level]
-    for depth in range(2, max_depth + 1):
-        cur = levels[-1]
-        if follow_delay is not None:
-            cur = cur.filter(F.col("arr_delay_min") > follow_delay)
-        nxt = (cur.join(edges, "flight_key")
-               .select(F.col("next_flight_key").alias("flight_key"),
-                       F.col("next_flight_number").alias("flight_number"),
-                       F.col("next_arr_delay_min").alias("arr_delay_min"),
-                       F.lit(depth).alias("chain_level"), "root_flight"))
-        levels.append(nxt)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    cols = ["flight_key", "aircraft_key", "date_key", "hour_24", "flight_number", "arr_delay_min",
+            "late_aircraft_delay", "airline_key", "origin_airport_key", "dest_airport_key"]
+    legs = fact.select(*cols, *(["full_date"] if "full_date" in fact.columns else []))
+    # Dense position in (aircraft, date, hour, flight key) order: the k-th next
+    # leg of the aircraft at position p sits at p + k (if still that aircraft).
+    idx = global_index(legs, ["aircraft_key", "date_key", "hour_24", "flight_key"], "_rn")
+    roots = (idx.filter((F.col("late_aircraft_delay") > base_late_aircraft) & agg.in_year(idx, year))
+             .join(dim_airline.select("airline_key"), "airline_key")
+             .join(dim_airport.select(F.col("airport_key").alias("origin_airport_key")), "origin_airport_key")
+             .join(dim_airport.select(F.col("airport_key").alias("dest_airport_key")), "dest_airport_key")
+             .select(F.col("_rn").alias("_root"), F.col("aircraft_key").alias("_root_aircraft"),
+                     F.col("flight_number").alias("root_flight")))
+    steps = (roots.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(max_depth - 1))))
+             .withColumn("_rn", F.col("_root") + F.col("_k")))
+    cand = steps.join(idx.select("_rn", "flight_key", "aircraft_key", "flight_number",
+                                 "arr_delay_min"), "_rn")
+    # Level k+1 exists while every earlier step stayed on the aircraft and the
+    # leg before it arrived late; the window holds at most max_depth rows.
+    w = Window.partitionBy("_root").orderBy("_k")
+    follows = F.col("aircraft_key") == F.col("_root_aircraft")
+    if follow_delay is not None:
+        follows = follows & (F.lag("arr_delay_min").over(w) > follow_delay)
+    step_ok = F.when(F.col("_k") == 0, F.lit(1)).otherwise(F.coalesce(follows.cast("int"), F.lit(0)))
+    alive = F.min(step_ok).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    contiguous = F.row_number().over(w) == F.col("_k") + 1
+    chain = cand.withColumn("_alive", alive).withColumn("_contig", contiguous)
+    return chain.filter((F.col("_alive") == 1) & F.col("_contig")).select(
+        "flight_key", "flight_number", "arr_delay_min", (F.col("_k") + 1).alias("chain_level"),
+        "root_flight")
 
 
 def delay_cascade(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
