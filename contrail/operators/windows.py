@@ -102,10 +102,25 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 def row_number_top(df: DataFrame, partition: list[str], order: list[Column], n: int,
                    out: str = "row_num") -> DataFrame:
+    """Top ``n`` rows per group with a plain window (bounded groups only)."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= n)
 
 
+def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
+                    out: str = "row_num") -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) <= n`` for groups
+    of any size: a global index in (group, order) order, minus the group's
+    first position (a partial ``min`` per group) is the row number. ``order``
+    must make the order within a group total."""
+    idx = global_index(df, [*[F.col(g) for g in group], *order], "_tn_rn")
+    first = (idx.groupBy(*group).agg(F.min("_tn_rn").alias("_tn_first"))
+             .withColumnsRenamed({g: f"_tn_g_{g}" for g in group}))
+    cond = [F.col(g).eqNullSafe(F.col(f"_tn_g_{g}")) for g in group]
+    ranked = idx.join(first, cond).withColumn(out, (F.col("_tn_rn") - F.col("_tn_first") + 1).cast("int"))
+    return ranked.filter(F.col(out) <= n).select(*df.columns, out)
+
+
 def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list[str],
                    before: int, out: str) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS BETWEEN before PRECEDING

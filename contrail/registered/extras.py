@@ -37,3 +37,14 @@ def chk_unique_current(t: Tables) -> DataFrame:
     return (I.unique_violations(h.filter("is_current"), ["passenger_id"], "passenger_history.current")
             .unionByName(I.unique_violations(h, ["passenger_id", "effective_date"],
                                              "passenger_history.version")))
+
+
+@q("win_top_n")
+def win_top_n(t: Tables) -> DataFrame:
+    """The three most delayed arrivals per airline and year (ROW_NUMBER <= 3)."""
+    from contrail.operators import windows as win
+    f = t.fact_flight.select("flight_key", "airline_code", F.year("full_date").alias("year"),
+                             "arr_delay_min")
+    return win.top_n_per_group(f, ["airline_code", "year"],
+                               [F.col("arr_delay_min").desc_nulls_last(), F.col("flight_key")], 3,
+                               "delay_rank")

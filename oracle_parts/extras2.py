@@ -17,3 +17,11 @@ UNION ALL
 SELECT 'passenger_history.version', COALESCE(CAST(passenger_id AS VARCHAR), '<null>') || '|' ||
   COALESCE(CAST(effective_date AS VARCHAR), '<null>'), COUNT(*)
 FROM history GROUP BY passenger_id, effective_date HAVING COUNT(*) > 1""", "dim_passenger")
+
+add("win_top_n", """
+SELECT flight_key, airline_code, year, arr_delay_min, delay_rank FROM (
+  SELECT flight_key, airline_code, CAST(year(full_date) AS INT) AS year, arr_delay_min,
+    CAST(ROW_NUMBER() OVER (PARTITION BY airline_code, year(full_date)
+                            ORDER BY arr_delay_min DESC NULLS LAST, flight_key) AS INT) AS delay_rank
+  FROM fact_flight) x
+WHERE delay_rank <= 3""", "fact_flight")

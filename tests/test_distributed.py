@@ -85,3 +85,20 @@ def test_global_index_with_aqe_sized_partitions(spark):
     idx = global_index(df, ["grp", "day", "k"], "rn", total_col="n")
     ref = df.withColumn("ref", F.row_number().over(Window.orderBy("grp", "day", "k")) - 1)
     assert idx.join(ref, "k").filter(F.col("rn") != F.col("ref")).count() == 0
+
+
+def test_top_n_per_group_matches_row_number(spark):
+    df = _skewed(spark)
+    got = win.top_n_per_group(df, ["grp"], [F.col("v").desc(), F.col("k")], 4, "rn")
+    ref = (df.withColumn("rn", F.row_number().over(Window.partitionBy("grp").orderBy(F.col("v").desc(), "k")))
+           .filter("rn <= 4"))
+    assert got.exceptAll(ref.select(*got.columns)).count() == 0
+    assert ref.select(*got.columns).exceptAll(got).count() == 0
+
+
+def test_percent_rank_global_matches(spark):
+    df = _skewed(spark)
+    got = win.percent_rank_global(df, "v", "pr", descending=True)
+    ref = df.withColumn("ref", F.percent_rank().over(Window.orderBy(F.col("v").desc())))
+    j = got.join(ref.select("k", "ref"), "k")
+    assert j.filter(F.abs(F.col("pr") - F.col("ref")) > 1e-12).count() == 0
