@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row bound we broadcast on a static guarantee (a few MB at most).
-MAX_BOUNDED_BROADCAST_ROWS = 1_000_000
+# Largest row bound we broadcast on a static guarantee (a few MB at most):
+# calendars (days in range), the time of day (1,440), offsets (one per partition).
+MAX_BOUNDED_BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:

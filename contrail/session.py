@@ -95,8 +95,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def local_dir_for_tests(prefix: str = "contrail-") -> str:
-    """Scratch dir for unit tests only; never used by library code."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
