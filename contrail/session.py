@@ -8,7 +8,6 @@ on the shared filesystem the cluster names.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
