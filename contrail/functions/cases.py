@@ -23,14 +23,14 @@ DELAY_CAUSES = [
     ("late_aircraft_delay", "Late Aircraft"),
 ]
 
-# RFM segments, first match wins.
+# RFM segments, first match wins; each test is (score, bound, at least?).
 RFM_SEGMENTS = [
-    ("r >= 4 AND f >= 4 AND m >= 4", "Champions"),
-    ("r >= 3 AND f >= 3", "Loyal Customers"),
-    ("r >= 4 AND f <= 2", "Recent Customers"),
-    ("r <= 2 AND f >= 4", "At Risk"),
-    ("r <= 2 AND m >= 4", "Cant Lose Them"),
-    ("r <= 2 AND f <= 2", "Lost"),
+    ((("r", 4, True), ("f", 4, True), ("m", 4, True)), "Champions"),
+    ((("r", 3, True), ("f", 3, True)), "Loyal Customers"),
+    ((("r", 4, True), ("f", 2, False)), "Recent Customers"),
+    ((("r", 2, False), ("f", 4, True)), "At Risk"),
+    ((("r", 2, False), ("m", 4, True)), "Cant Lose Them"),
+    ((("r", 2, False), ("f", 2, False)), "Lost"),
 ]
 RFM_ELSE = "Potential Loyalists"
 
@@ -82,13 +82,12 @@ def primary_delay_cause(fixed: bool = False) -> Column:
 
 def rfm_segment(r="r_score", f="f_score", m="m_score") -> Column:
     """RFM segment name from three 1..5 scores, ordered branches."""
-    names = {"r": _col(r), "f": _col(f), "m": _col(m)}
+    scores = {"r": _col(r), "f": _col(f), "m": _col(m)}
     expr = None
-    for cond_text, label in RFM_SEGMENTS:
+    for tests, label in RFM_SEGMENTS:
         cond = None
-        for clause in cond_text.split(" AND "):
-            var, op, val = clause.split()
-            term = names[var] >= int(val) if op == ">=" else names[var] <= int(val)
+        for name, bound, at_least in tests:
+            term = scores[name] >= bound if at_least else scores[name] <= bound
             cond = term if cond is None else (cond & term)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(F.lit(RFM_ELSE))
