@@ -48,3 +48,28 @@ def win_top_n(t: Tables) -> DataFrame:
     return win.top_n_per_group(f, ["airline_code", "year"],
                                [F.col("arr_delay_min").desc_nulls_last(), F.col("flight_key")], 3,
                                "delay_rank")
+
+
+# Bucket count of the co-located passenger tables.
+PASSENGER_BUCKETS = 16
+
+
+@q("join_bucketed")
+def join_bucketed(t: Tables) -> DataFrame:
+    """Confirmed bookings per passenger from two tables bucketed on
+    passenger_key: the sort-merge join reads both sides without a shuffle."""
+    from contrail.session import shared_path
+    from contrail.sources import sinks as K
+    tag = shared_path(t.spark, "warehouse", "bucketed").rsplit("/", 1)[-1]
+    res_path = shared_path(t.spark, "warehouse", "fact_reservation_b")
+    pax_path = shared_path(t.spark, "warehouse", "dim_passenger_b")
+    K.write_bucketed(t.fact_reservation.filter(F.col("status") == "Confirmed")
+                     .select("reservation_key", "passenger_key", "total_fare"),
+                     f"fact_reservation_b_{tag}", res_path, ["passenger_key"], PASSENGER_BUCKETS)
+    K.write_bucketed(t.dim_passenger.select("passenger_key", "passenger_id"),
+                     f"dim_passenger_b_{tag}", pax_path, ["passenger_key"], PASSENGER_BUCKETS)
+    r = t.spark.table(f"fact_reservation_b_{tag}")
+    p = t.spark.table(f"dim_passenger_b_{tag}")
+    return (r.join(p, "passenger_key")
+            .groupBy("passenger_key", "passenger_id")
+            .agg(F.count("reservation_key").alias("frequency"), F.sum("total_fare").alias("monetary")))

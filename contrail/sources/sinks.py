@@ -88,6 +88,13 @@ def write_clustered(df: DataFrame, path: str, keys: list[str],
     df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> None:
+    """Catalog table bucketed and sorted on the join keys: two tables bucketed
+    the same way join without a shuffle on either side (co-located join)."""
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
 def write_with_bloom(df: DataFrame, path: str, columns: list[str], fpp: float = 0.01) -> None:
     """Parquet with bloom filters on equality-lookup columns."""
     w = df.write.mode("overwrite")

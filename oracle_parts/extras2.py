@@ -25,3 +25,10 @@ SELECT flight_key, airline_code, year, arr_delay_min, delay_rank FROM (
                             ORDER BY arr_delay_min DESC NULLS LAST, flight_key) AS INT) AS delay_rank
   FROM fact_flight) x
 WHERE delay_rank <= 3""", "fact_flight")
+
+add("join_bucketed", """
+SELECT r.passenger_key, p.passenger_id, COUNT(r.reservation_key) AS frequency,
+  CAST(SUM(r.total_fare) AS DOUBLE) AS monetary
+FROM fact_reservation r JOIN dim_passenger p ON r.passenger_key = p.passenger_key
+WHERE r.status = 'Confirmed'
+GROUP BY r.passenger_key, p.passenger_id""", "fact_reservation", "dim_passenger")

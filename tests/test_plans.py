@@ -32,3 +32,16 @@ def test_no_python_udf_no_cartesian(spark, key):
 def test_flagship_uses_broadcast_dimensions(spark):
     plan = _plan(E.queries()["rpt_on_time"](spark, SMALL))
     assert "BroadcastHashJoin" in plan
+
+
+def test_bucketed_join_has_no_exchange_below_join(spark):
+    # broadcast off so the co-located sort-merge join is what is checked
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["join_bucketed"](spark, SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        join_part = plan[plan.index("SortMergeJoin"):]
+        assert "Exchange" not in join_part, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
