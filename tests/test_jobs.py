@@ -44,3 +44,19 @@ def test_kpi_row_airline_filter(spark):
     row = next(r for r in one if r.airline_code == "BUILDING")
     assert row.total_flights == everyone["BUILDING"].total_flights
     assert sum(r.total_flights for k, r in everyone.items() if k != "ALL") == everyone["ALL"].total_flights
+
+
+def test_cli_etl_backfill(spark):
+    from contrail.cli import main
+    from contrail.sources.landing import land_csv_by_month
+    t = tables(spark, SMALL)
+    landing = shared_path(spark, "test", "cli_landing")
+    land_csv_by_month(t.bts_raw, landing)
+    target, log = shared_path(spark, "test", "cli_target"), shared_path(spark, "test", "cli_log")
+    main(["etl", "--landing", landing, "--target", target, "--log", log,
+          "--backfill", "1996-01-01", "1996-12-31"])
+    loaded = spark.read.parquet(target)
+    expected = C.transform_flights(t.bts_raw).filter(
+        F.col("flight_date").between(F.lit("1996-01-01").cast("date"), F.lit("1996-12-31").cast("date")))
+    assert loaded.count() == expected.count() > 0
+    assert spark.read.parquet(log).filter("status = 'success'").count() > 0
