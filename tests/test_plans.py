@@ -45,3 +45,8 @@ def test_bucketed_join_has_no_exchange_below_join(spark):
         assert "Exchange" not in join_part, plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_report_year_reaches_the_scan(spark):
+    plan = _plan(E.queries()["rpt_on_time"](spark, SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan
