@@ -55,6 +55,8 @@ def scd2_upsert(history: DataFrame, feed: DataFrame, key: str, attrs: list[str],
 
     * current rows whose attributes differ (NULL-safe) from the feed are
       closed (expiry = as_of, is_current = false) and a new version is added;
+    * a change on the day the current version became effective replaces it
+      (no zero-length version);
     * feed keys without a current row are inserted as new versions;
     * unchanged rows and rows absent from the feed stay as they are;
     * closed history passes through. Re-running the same feed changes nothing.
@@ -70,8 +72,10 @@ def scd2_upsert(history: DataFrame, feed: DataFrame, key: str, attrs: list[str],
     changed = has_cur & has_feed & _changed(attrs, "_f_")
     hist_cols = [key, *attrs, "effective_date", "expiry_date", "is_current"]
     kept = j.filter(has_cur & ~changed).select(*hist_cols)
-    closed = j.filter(changed).select(key, *attrs, "effective_date",
-                                      d.alias("expiry_date"), F.lit(False).alias("is_current"))
+    # A second change on the day a version became effective replaces that
+    # version instead of leaving a zero-length one behind.
+    closed = j.filter(changed & (F.col("effective_date") < d)).select(
+        key, *attrs, "effective_date", d.alias("expiry_date"), F.lit(False).alias("is_current"))
     new_versions = j.filter(changed | (~has_cur & has_feed)).select(
         F.coalesce(F.col(key), F.col("_f_key")).alias(key),
         *[F.col(f"_f_{a}").alias(a) for a in attrs],

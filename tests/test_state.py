@@ -101,3 +101,14 @@ def test_stream_restart_from_checkpoint_and_late_rows(spark):
     rows = {r.window_start.minute: r.flights_in_window for r in sink.read(spark).collect()}
     assert rows[15] == 1          # the 10:15 late row (behind the watermark) was dropped
     assert rows[40] == 2          # the 10:44 row (within tolerance) was added
+
+
+def test_scd2_same_day_second_change_replaces_version(spark):
+    hist = S.scd2_init(spark.createDataFrame([("p1", "Gold")], "pid string, tier string"), "2020-01-01")
+    h1 = S.scd2_upsert(hist, spark.createDataFrame([("p1", "Silver")], "pid string, tier string"),
+                       "pid", ["tier"], "2024-05-01")
+    h2 = S.scd2_upsert(h1, spark.createDataFrame([("p1", "Bronze")], "pid string, tier string"),
+                       "pid", ["tier"], "2024-05-01")
+    rows = sorted((r.tier, str(r.effective_date), str(r.expiry_date), r.is_current) for r in h2.collect())
+    assert rows == [("Bronze", "2024-05-01", "9999-12-31", True),
+                    ("Gold", "2020-01-01", "2024-05-01", False)]
