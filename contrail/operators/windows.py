@@ -70,7 +70,12 @@ def percent_rank_global(df: DataFrame, order_col: str, out: str, descending: boo
 
 
 def moving_avg(df: DataFrame, value: str, order: list[Column], before: int, after: int,
-               out: str, partition: list[str] | None = None) -> DataFrame:
+               out: str, partition: list[str] | None = None,
+               distributed: bool = False) -> DataFrame:
+    """ROWS frame average; ``distributed=True`` avoids the single-task window
+    (``order`` must then be total)."""
+    if distributed:
+        return rows_frame_avg(df, value, partition or [], order, before, out, after=after)
     w = Window.partitionBy(*(partition or [])).orderBy(*order).rowsBetween(-before, after)
     return df.withColumn(out, F.avg(value).over(w))
 
@@ -121,22 +126,23 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
     return ranked.filter(F.col(out) <= n).select(*df.columns, out)
 
 
-def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list[str],
-                   before: int, out: str) -> DataFrame:
+def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list,
+                   before: int, out: str, after: int = 0) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS BETWEEN before PRECEDING
-    AND CURRENT ROW)`` without sorting a hot partition in one task.
+    AND after FOLLOWING)`` without sorting a hot (or the whole) partition in
+    one task; ``partition`` may be empty.
 
     Rows get a dense index in (partition, order) order (range partitioned, see
-    plans.ranking). Each row then contributes its value to the ``before + 1``
-    positions it belongs to (its own and the next ``before``); grouping by
+    plans.ranking). Each row then contributes its value to the
+    ``before + after + 1`` positions whose frame contains it; grouping by
     (target position, partition) and joining back on the unique position gives
-    the frame. Work is ``(before + 1) x`` a narrow projection, independent of
-    key skew. ``order`` must make the order total.
+    the frame. Work is ``(before + after + 1) x`` a narrow projection,
+    independent of key skew. ``order`` must make the order total.
     """
     idx = global_index(df, [*partition, *order], "_rf_rn")
     parts = [F.col(p) for p in partition]
     contrib = (idx.select(*parts, "_rf_rn", F.col(value).alias("_rf_v"))
-               .withColumn("_rf_i", F.explode(F.sequence(F.lit(0), F.lit(before))))
+               .withColumn("_rf_i", F.explode(F.sequence(F.lit(-after), F.lit(before))))
                .select(*parts, (F.col("_rf_rn") + F.col("_rf_i")).alias("_rf_rn"), "_rf_v"))
     frame = (contrib.groupBy(*partition, "_rf_rn").agg(F.avg("_rf_v").alias(out))
              .withColumnsRenamed({p: f"_rf_p_{p}" for p in partition}))

@@ -138,23 +138,34 @@ def rfm_segments(fact_reservation: DataFrame, dim_passenger: DataFrame, dim_date
 # ---------------------------------------------------------------- R4
 
 
+# Largest route set ranked with single-partition windows.
+MAX_SINGLE_TASK_ROUTES = 5_000_000
+
+
+def route_bound(dim_airport: DataFrame, dim_airline: DataFrame) -> int:
+    """Upper bound on routes: origins x destinations x airlines (two small counts)."""
+    airports = dim_airport.count()
+    return airports * airports * dim_airline.count()
+
+
 def route_ranked(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
-                 year: int) -> DataFrame:
+                 year: int, distributed: bool | None = None) -> DataFrame:
     """Route metrics with revenue/load/RPM percentiles and smoothed revenue.
 
-    The route set is an aggregate (origin x destination x airline), bounded
-    by the dimensions' product, so its global windows are small.
+    The route set is an aggregate bounded by origins x destinations x
+    airlines, whatever the fact's size. Its global windows run in one task
+    only when that bound is small (``distributed=None`` checks it); beyond
+    it, percent ranks and the centered average use the global index.
     """
+    if distributed is None:
+        distributed = route_bound(dim_airport, dim_airline) > MAX_SINGLE_TASK_ROUTES
     r = agg.route_metrics(fact, dim_airport, dim_airline, year)
     keys = [F.col("origin"), F.col("destination"), F.col("airline_code")]
-    r = r.withColumn("revenue_percentile",
-                     F.percent_rank().over(Window.orderBy(F.col("total_revenue").desc())))
-    r = r.withColumn("load_percentile",
-                     F.percent_rank().over(Window.orderBy(F.col("avg_load_factor").desc())))
-    r = r.withColumn("rpm_percentile",
-                     F.percent_rank().over(Window.orderBy(F.col("revenue_per_mile").desc_nulls_last())))
+    for col, out in (("total_revenue", "revenue_percentile"), ("avg_load_factor", "load_percentile"),
+                     ("revenue_per_mile", "rpm_percentile")):
+        r = win.percent_rank_global(r, col, out, descending=True, distributed=distributed)
     return win.moving_avg(r, "total_revenue", [F.col("total_miles"), *keys], 3, 3,
-                          "smoothed_revenue")
+                          "smoothed_revenue", distributed=distributed)
 
 
 def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
@@ -165,10 +176,11 @@ def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: Da
     the >= 0.8 "Platinum" tier holds the weakest routes, as written;
     ``"best_first"`` ranks ASC so Platinum is the top revenue band.
     """
-    r = route_ranked(fact, dim_airport, dim_airline, year)
+    distributed = route_bound(dim_airport, dim_airline) > MAX_SINGLE_TASK_ROUTES
+    r = route_ranked(fact, dim_airport, dim_airline, year, distributed=distributed)
     if tier_order == "best_first":
-        r = r.withColumn("revenue_percentile",
-                         F.percent_rank().over(Window.orderBy(F.col("total_revenue").asc())))
+        r = win.percent_rank_global(r, "total_revenue", "revenue_percentile", descending=False,
+                                    distributed=distributed)
     out = r.select(
         "origin", "destination", "airline_code", "flight_count",
         F.round("total_revenue", 0).alias("total_revenue"),

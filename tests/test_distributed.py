@@ -102,3 +102,24 @@ def test_percent_rank_global_matches(spark):
     ref = df.withColumn("ref", F.percent_rank().over(Window.orderBy(F.col("v").desc())))
     j = got.join(ref.select("k", "ref"), "k")
     assert j.filter(F.abs(F.col("pr") - F.col("ref")) > 1e-12).count() == 0
+
+
+def test_route_ranking_distributed_equals_single_task(spark):
+    from conftest import MEDIUM
+    from contrail.fixtures import tables
+    from contrail.plans import reports as R
+    t = tables(spark, MEDIUM)
+    cols = ["origin", "destination", "airline_code", "revenue_percentile", "load_percentile",
+            "rpm_percentile", "smoothed_revenue"]
+    a = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, 1996, distributed=True).select(*cols)
+    b = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, 1996, distributed=False).select(*cols)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_centered_rows_frame_matches_window(spark):
+    df = _skewed(spark)
+    got = win.rows_frame_avg(df, "v", [], ["day", "k"], 3, "c", after=3)
+    ref = df.withColumn("ref", F.avg("v").over(Window.orderBy("day", "k").rowsBetween(-3, 3)))
+    j = got.join(ref.select("k", "ref"), "k")
+    assert j.filter(~F.col("c").eqNullSafe(F.col("ref"))).count() == 0
