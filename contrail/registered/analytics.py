@@ -149,12 +149,13 @@ def win_centered_avg(t: Tables) -> DataFrame:
 
 @q("case_route_tier")
 def case_route_tier(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-    r = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, REPORT_YEAR)
-    asc = F.percent_rank().over(Window.orderBy(F.col("total_revenue").asc()))
+    distributed = R.route_bound(t.dim_airport, t.dim_airline) > R.MAX_SINGLE_TASK_ROUTES
+    r = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, REPORT_YEAR, distributed)
+    r = win.percent_rank_global(r, "total_revenue", "_pct_asc", descending=False,
+                                distributed=distributed)
     return r.select("origin", "destination", "airline_code",
                     cases.route_tier("revenue_percentile").alias("route_tier"),
-                    cases.route_tier(asc).alias("route_tier_best_first"))
+                    cases.route_tier("_pct_asc").alias("route_tier_best_first"))
 
 
 @q("topk_routes")
