@@ -174,13 +174,34 @@ def day_range_avg(df: DataFrame, value: str, partition: list[str], day: str, day
     return df.join(daily, cond, "left").select(*df.columns, out)
 
 
-def partition_percent_rank(df: DataFrame, value: str, partition: list[str], out: str) -> DataFrame:
+def partition_percent_rank(df: DataFrame, value: str, partition: list[str], out: str,
+                           bounded_values: bool = True, tiebreak: str | None = None) -> DataFrame:
     """``percent_rank() OVER (PARTITION BY p ORDER BY value)`` (NULLs first).
 
     rank = 1 + rows of the partition ordered before the value, n = partition
-    size. Both come from a partial aggregate per (partition, value), so a hot
-    partition contributes one row per distinct value to the window.
+    size. With ``bounded_values`` (values from a small domain, such as delay
+    minutes) both come from a partial aggregate per (partition, value), so a
+    hot partition contributes one row per distinct value to a window.
+    Otherwise (continuous values) the global index over (partition, value,
+    ``tiebreak`` unique column) gives rank - 1 = first position of the
+    (partition, value) pair - first position of the partition, with no window
+    at all.
     """
+    if not bounded_values:
+        if tiebreak is None:
+            raise ValueError("a unique tiebreak column is needed when values are unbounded")
+        o = [*[F.col(p) for p in partition], F.col(value).asc_nulls_first(), F.col(tiebreak)]
+        idx = global_index(df, o, "_pr_rn")
+        per_part = (idx.groupBy(*partition).agg(F.min("_pr_rn").alias("_pr_p0"),
+                                                 F.count(F.lit(1)).alias("_pr_n"))
+                    .withColumnsRenamed({p: f"_pr_pk_{p}" for p in partition}))
+        per_val = (idx.groupBy(*partition, value).agg(F.min("_pr_rn").alias("_pr_v0"))
+                   .withColumnsRenamed({c: f"_pr_vk_{c}" for c in [*partition, value]}))
+        j = (idx.join(per_part, [F.col(p).eqNullSafe(F.col(f"_pr_pk_{p}")) for p in partition])
+             .join(per_val, [F.col(c).eqNullSafe(F.col(f"_pr_vk_{c}")) for c in [*partition, value]]))
+        pr = F.when(F.col("_pr_n") <= 1, F.lit(0.0)).otherwise(
+            (F.col("_pr_v0") - F.col("_pr_p0")) / (F.col("_pr_n") - 1))
+        return j.select(*df.columns, pr.alias(out))
     per_value = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("_pr_c"))
     w_before = (Window.partitionBy(*partition).orderBy(F.col(value).asc_nulls_first())
                 .rowsBetween(Window.unboundedPreceding, -1))

@@ -123,3 +123,14 @@ def test_centered_rows_frame_matches_window(spark):
     ref = df.withColumn("ref", F.avg("v").over(Window.orderBy("day", "k").rowsBetween(-3, 3)))
     j = got.join(ref.select("k", "ref"), "k")
     assert j.filter(~F.col("c").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_partition_percent_rank_unbounded_values_matches(spark):
+    df = _skewed(spark).withColumn("x", F.when(F.col("k") % 13 == 0, None)
+                                   .otherwise(F.col("k") * 1.5 % 101))
+    got = win.partition_percent_rank(df, "x", ["grp", "day"], "pr", bounded_values=False, tiebreak="k")
+    ref = df.withColumn("ref", F.percent_rank().over(
+        Window.partitionBy("grp", "day").orderBy(F.col("x").asc_nulls_first())))
+    j = got.join(ref.select("k", "ref"), "k")
+    assert got.count() == df.count()
+    assert j.filter(F.abs(F.col("pr") - F.col("ref")) > 1e-12).count() == 0
