@@ -134,3 +134,12 @@ def test_partition_percent_rank_unbounded_values_matches(spark):
     j = got.join(ref.select("k", "ref"), "k")
     assert got.count() == df.count()
     assert j.filter(F.abs(F.col("pr") - F.col("ref")) > 1e-12).count() == 0
+
+
+def test_global_operators_on_empty_input(spark):
+    df = _skewed(spark).filter("k < 0")
+    assert global_index(df, ["grp", "k"], "rn", total_col="n").count() == 0
+    assert distributed_ntile(df, 5, ["v", "k"], "nt").count() == 0
+    assert win.rows_frame_avg(df, "v", ["grp"], ["day", "k"], 7, "a").count() == 0
+    assert win.top_n_per_group(df, ["grp"], [F.col("v"), F.col("k")], 3).count() == 0
+    assert successor(df, ["grp"], ["day", "k"], key="k", carry=["v"]).count() == 0
