@@ -127,7 +127,7 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
 
 
 def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list,
-                   before: int, out: str, after: int = 0) -> DataFrame:
+                   before: int, out: str, after: int = 0, key: list[str] | None = None) -> DataFrame:
     """``avg(value) OVER (PARTITION BY p ORDER BY o ROWS BETWEEN before PRECEDING
     AND after FOLLOWING)`` without sorting a hot (or the whole) partition in
     one task; ``partition`` may be empty.
@@ -138,7 +138,18 @@ def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list,
     (target position, partition) and joining back on the unique position gives
     the frame. Work is ``(before + after + 1) x`` a narrow projection,
     independent of key skew. ``order`` must make the order total.
+
+    With ``key`` (unique row key columns; ``order`` given as names) only the
+    partition, order, key and value columns are indexed and the result is
+    joined back to the full rows once, so wide rows are neither checkpointed
+    nor shuffled twice.
     """
+    if key is not None:
+        narrow = df.select(*dict.fromkeys([*partition, *order, *key, value]))
+        res = rows_frame_avg(narrow, value, partition, order, before, out, after)
+        res = res.select(*[F.col(k).alias(f"_rk_{k}") for k in key], out)
+        cond = [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in key]
+        return df.join(res, cond, "left").select(*df.columns, out)
     idx = global_index(df, [*partition, *order], "_rf_rn")
     parts = [F.col(p) for p in partition]
     contrib = (idx.select(*parts, "_rf_rn", F.col(value).alias("_rf_v"))

@@ -39,7 +39,8 @@ def enrich_flights(df: DataFrame) -> DataFrame:
         "primary_delay_cause": primary_delay_cause(),
     })
     out = win.rows_frame_avg(out, "arr_delay_min", ["airline_code", "origin_iata"],
-                             ["date_key", "flight_key"], ROLLING_ROWS, "rolling_7d_avg_delay")
+                             ["date_key", "flight_key"], ROLLING_ROWS, "rolling_7d_avg_delay",
+                             key=["flight_key"])
     return win.partition_percent_rank(out, "arr_delay_min", ["airline_code", "date_key"],
                                       "delay_percentile")
 

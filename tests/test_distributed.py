@@ -143,3 +143,11 @@ def test_global_operators_on_empty_input(spark):
     assert win.rows_frame_avg(df, "v", ["grp"], ["day", "k"], 7, "a").count() == 0
     assert win.top_n_per_group(df, ["grp"], [F.col("v"), F.col("k")], 3).count() == 0
     assert successor(df, ["grp"], ["day", "k"], key="k", carry=["v"]).count() == 0
+
+
+def test_rows_frame_avg_keyed_path_matches(spark):
+    df = _skewed(spark).withColumn("wide", F.repeat(F.lit("x"), 50))
+    a = win.rows_frame_avg(df, "v", ["grp"], ["day", "k"], 7, "a", key=["k"])
+    b = win.rows_frame_avg(df, "v", ["grp"], ["day", "k"], 7, "a")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
