@@ -113,11 +113,23 @@ def row_number_top(df: DataFrame, partition: list[str], order: list[Column], n:
 
 
 def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
-                    out: str = "row_num") -> DataFrame:
+                    out: str = "row_num", key: list[str] | None = None,
+                    order_cols: list[str] | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order) <= n`` for groups
     of any size: a global index in (group, order) order, minus the group's
     first position (a partial ``min`` per group) is the row number. ``order``
-    must make the order within a group total."""
+    must make the order within a group total.
+
+    With ``key`` (unique row key) and ``order_cols`` (the columns ``order``
+    reads) the ranking runs on those narrow columns only and just the
+    winning rows are joined back to the full rows.
+    """
+    if key is not None:
+        narrow = df.select(*dict.fromkeys([*group, *(order_cols or []), *key]))
+        top = top_n_per_group(narrow, group, order, n, out)
+        top = top.select(*[F.col(k).alias(f"_tk_{k}") for k in key], out)
+        cond = [F.col(k).eqNullSafe(F.col(f"_tk_{k}")) for k in key]
+        return df.join(top, cond).select(*df.columns, out)
     idx = global_index(df, [*[F.col(g) for g in group], *order], "_tn_rn")
     first = (idx.groupBy(*group).agg(F.min("_tn_rn").alias("_tn_first"))
              .withColumnsRenamed({g: f"_tn_g_{g}" for g in group}))

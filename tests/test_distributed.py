@@ -151,3 +151,12 @@ def test_rows_frame_avg_keyed_path_matches(spark):
     b = win.rows_frame_avg(df, "v", ["grp"], ["day", "k"], 7, "a")
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_top_n_keyed_path_matches(spark):
+    df = _skewed(spark).withColumn("wide", F.repeat(F.lit("y"), 40))
+    order = [F.col("v").desc(), F.col("k")]
+    a = win.top_n_per_group(df, ["grp"], order, 4, "rn", key=["k"], order_cols=["v", "k"])
+    b = win.top_n_per_group(df, ["grp"], order, 4, "rn")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
