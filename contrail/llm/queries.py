@@ -28,3 +28,45 @@ def tokenizer_path() -> str:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.packing import pack_documents
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+@query("op5_anchor_expansion_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from contrail.llm import pii
+    found = pii.find_spans(read_table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select("doc_id", *(pii.count_kind(spans, k).alias(f"n_{k}") for k in pii.BASE_KINDS),
+                        F.sha2(pii.digest(spans, pii.BASE_KINDS), 256).alias("base_sha256"),
+                        pii.digest(spans).alias("spans"))
+
+
+# The two rows that the contract adds as conversation -1.
+HARD_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op8_incremental_chat_rendering")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.chat import digest_conversations, format_conversations
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", HARD_TEXT), (-1, 1, "assistant", HARD_TEXT)], rows.schema)
+    return digest_conversations(format_conversations(rows.unionByName(more)))
+
+
+# In the template, [ and < and \ take two characters each, and a turn adds
+# [INST] + [/INST] + </s> (17 characters) and its role.
+ORACLE["op8_incremental_chat_rendering"] = r"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(17 + length(role) + length(text)
+      + length(regexp_replace(role || text, '[^\[<\\]', '', 'g'))) AS BIGINT) AS formatted_chars,
+  false AS rewrites_history
+FROM rows_ GROUP BY conv_id
+"""

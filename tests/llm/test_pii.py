@@ -1,0 +1,75 @@
+"""Anchor expansion against plain regular expressions, and defined edge cases."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from contrail.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(s):
+    digits = [int(c) for c in s if c.isdigit()][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def plain(text):
+    out = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    out += [("ip", m.start(), m.end()) for m in IP.finditer(text)
+            if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in CARD.finditer(text):
+        n = sum(c.isdigit() for c in m.group())
+        if 16 <= n <= 19 and luhn(m.group()):
+            out.append(("card", m.start(), m.end()))
+    out += [("phone", m.start(), m.end()) for m in PHONE.finditer(text)
+            if 8 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return out
+
+
+def base(text):
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+    return [s for s in pii.spans_of(text, lowered, pii.anchors()) if s[0] in pii.BASE_KINDS]
+
+
+@pytest.mark.parametrize("text", [
+    "", "@", "a@b.c@d.e.f", "a@b", "x.y@mail-1.example.com.", "1.2.3.4.5.6.7.8", "999.1.1.1 0001.2.3.4",
+    "4111 1111 1111 1111", "4111-1111-1111-1111 5", "+1 (743) 555-3824", "+1((((", "++49 30 1234567-", "é@ü.de aé@b.cd",
+    "1.2.3", "1" * 4000 + ".1.1.1", "İ a@b.co"])
+def test_base_kinds_equal_regular_expressions(text):
+    assert base(text) == plain(text)
+
+
+def test_random_texts_equal_regular_expressions():
+    rng = random.Random(7)
+    for _ in range(3000):
+        text = "".join(rng.choices("a1b2@@..+-  ()345 é\n4111", k=rng.randint(0, 60)))
+        assert base(text) == plain(text), text
+
+
+def added(text):
+    return [s for s in pii.spans_of(text, text.lower(), pii.anchors()) if s[0] in pii.ADDED_KINDS]
+
+
+def test_added_kinds():
+    assert added("IBAN: DE89 3704 0044 0532 0130 00 ok") == [("iban", 6, 33)]
+    assert added("account no. 12345678, accountant 99") == [("account", 12, 20)]
+    assert added('token = "04dbebab91ab85687d33"') == [("secret", 9, 29)]
+    assert added("see ftp://bob:pw@host.org/x.") == [("url", 4, 27)]
+    assert added("https://example.org/path and the token of thanks") == []
+
+
+def test_redaction_and_edge_rows(spark):
+    rows = [(1, "mail a.b@c.de now", "x", 17), (None, None, None, None), (2, "", "x", 0), (2, "", "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_chars long")
+    out = {tuple(r) for r in pii.redact_documents(docs).collect()}
+    assert out == {(1, "mail [EMAIL] now", "x", 16), (None, None, None, None), (2, "", "x", 0)}
+    found = pii.find_spans(docs).collect()
+    assert len(found) == 4 and sum(len(r.spans) for r in found) == 1
+    assert pii.find_spans(docs.limit(0)).count() == 0
