@@ -70,3 +70,20 @@ SELECT conv_id, count(*) AS n_turns,
   false AS rewrites_history
 FROM rows_ GROUP BY conv_id
 """
+
+
+@query("op9_zstd_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from contrail.llm import language
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
+    learned = language.learn(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return language.identify(docs, learned, keep=("doc_id", "held_out"))
+
+
+@query("op10_tree_model_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm import html_text
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract_pages(pages, html_text.train(pages))
