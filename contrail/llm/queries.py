@@ -87,3 +87,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm import html_text
     pages = read_table(spark, sf_dir, "pages")
     return html_text.extract_pages(pages, html_text.train(pages))
+
+
+@query("op3_mcd_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.quality_rules import verdicts
+    return verdicts(read_table(spark, sf_dir, "documents"))
