@@ -79,7 +79,7 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def whole_hash(hashes: np.ndarray) -> np.ndarray:
     """The hash of a whole short sequence, told apart from a window's by its length."""
-    total = np.uint64(0)
-    for k, h in enumerate(hashes):
-        total += h * multiplier(k)
-    return scramble(np.array([total + np.uint64(len(hashes))], dtype=np.uint64) ^ np.uint64(GOLDEN))
+    total = np.array([len(hashes)], dtype=np.uint64)
+    for k in range(len(hashes)):
+        total += hashes[k:k + 1] * multiplier(k)
+    return scramble(total ^ np.uint64(GOLDEN))
