@@ -105,10 +105,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_bottom_k_near_duplicates"] = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-      'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+      'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
 each AS (SELECT doc_id, unnest(s) AS x FROM sets),
 met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM each a JOIN each b ON a.x = b.x AND a.doc_id <> b.doc_id
@@ -119,3 +119,9 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT r.a, l.b FROM reac
 SELECT a AS doc_id, any_value(n) AS n_shingles, min(b) AS component_id, a = min(b) AS kept
 FROM reach JOIN sizes ON sizes.doc_id = a GROUP BY a
 """
+
+
+@query("op6_template_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.decontaminate import leaks
+    return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("content")
