@@ -125,3 +125,9 @@ FROM reach JOIN sizes ON sizes.doc_id = a GROUP BY a
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.decontaminate import leaks
     return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("content")
+
+
+@query("op2_sparse_suffix_repeats")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.repeats import repeated_passages
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
