@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import contrail.llm
 from contrail.session import shared_path
 
 # Arrow batches handed to Python hold at most so many rows and bytes, so a run
@@ -31,6 +33,8 @@ def bound_batches(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     bound_batches(df.sparkSession)
+    # tasks get this subpackage's functions themselves: executors need no copy of it
+    cloudpickle.register_pickle_by_value(contrail.llm)
     return df.mapInArrow(fn, schema)
 
 

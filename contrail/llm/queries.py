@@ -131,3 +131,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.repeats import repeated_passages
     return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_co_trained_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.quality_classifier import score, train
+    docs = read_table(spark, sf_dir, "documents")
+    return score(docs, train(docs, read_table(spark, sf_dir, "labels")))
