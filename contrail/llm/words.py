@@ -12,9 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-# Odd multipliers of the positions in a shingle, from the golden ratio.
 GOLDEN = 0x9E3779B97F4A7C15
-MASK = (1 << 64) - 1
 
 
 def as_large(column) -> pa.Array:
@@ -62,8 +60,9 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def multiplier(place: int) -> np.uint64:
-    return np.uint64(((2 * place + 1) * GOLDEN | 1) & MASK)
+# Odd multipliers of the places in a window, without relations among them: with
+# evenly spaced ones a, b, b, a and b, a, a, b would be alike.
+MULTIPLIERS = scramble(np.arange(1, 1025, dtype=np.uint64) * np.uint64(GOLDEN)) | np.uint64(1)
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -71,9 +70,9 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total = hashes[:n] * multiplier(0)
+    total = hashes[:n] * MULTIPLIERS[0]
     for k in range(1, width):
-        total += hashes[k:k + n] * multiplier(k)
+        total += hashes[k:k + n] * MULTIPLIERS[k]
     return scramble(total)
 
 
@@ -81,5 +80,5 @@ def whole_hash(hashes: np.ndarray) -> np.ndarray:
     """The hash of a whole short sequence, told apart from a window's by its length."""
     total = np.array([len(hashes)], dtype=np.uint64)
     for k in range(len(hashes)):
-        total += hashes[k:k + 1] * multiplier(k)
+        total += hashes[k:k + 1] * MULTIPLIERS[k]
     return scramble(total ^ np.uint64(GOLDEN))
