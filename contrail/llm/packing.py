@@ -18,7 +18,9 @@ the id and text columns are read, so extra columns of any name do no harm.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,38 +40,60 @@ PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_token
 IDS_SCHEMA = PIECE_SCHEMA + ", ids array<int>"
 
 
+def byte_letters() -> dict[int, str]:
+    """Byte-level tokenizers write each byte as one letter: visible Latin-1
+    characters as themselves, the other bytes as the characters from 256 on."""
+    seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+LETTERS_MARKS = re.compile(r"([^\W\d_]+)((?:[^\w\s]|_)+)")
+
+
 class UnitTokenizer:
     """Ids of whole texts by the ``tokenizers`` library.
 
     The tokenizer's rule never joins characters across a single space or line
     break between two others, so a text is cut there and each different unit
-    is tokenised once and kept (at most ``keep`` units). Texts with other white
-    space beside a cut are tokenised whole.
+    is tokenised once and kept (at most ``keep`` units). Nor does it join
+    letters and the marks after them. Texts with other white space beside a cut
+    are tokenised whole.
     """
 
     START = "\x00"  # marks a unit that no space precedes
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = byte_letters()
         self.keep = keep
-        self.known: dict[str, np.ndarray | None] = {}
+        self.known: dict[str, bytes | None] = {}
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _unit(self, unit: str) -> np.ndarray | None:
+    def _unit(self, unit: str) -> bytes | None:
         """The unit's ids, None if the text must be tokenised whole."""
         if unit == "\n":
             return self._whole(unit)
-        bare = unit[1:] if unit.startswith(self.START) else unit
+        started = unit.startswith(self.START)
+        bare = unit[1:] if started else unit
+        if bare.isalpha():
+            text = bare if bare.isascii() else bare.encode().decode("latin-1").translate(self.letters)
+            text = text if started else self.letters[32] + text
+            return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+        if (m := LETTERS_MARKS.fullmatch(bare)) and m.group(1).isalpha():
+            return self._ids(unit[:len(unit) - len(m.group(2))]) + self._ids(self.START + m.group(2))
         if not bare or bare[0].isspace() or bare[-1].isspace() or self.START in bare:
             return None
-        text = bare if unit.startswith(self.START) else " " + bare
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
-        tokenize = self.tokenizer.model.tokenize
-        return np.array([t.id for piece, _ in pieces for t in tokenize(piece)], dtype=np.uint32)
+        return self._whole(bare if started else " " + bare)
+
+    def _ids(self, unit: str) -> bytes | None:
+        if unit not in self.known:
+            self.known[unit] = self._unit(unit)
+        return self.known[unit]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -83,20 +107,16 @@ class UnitTokenizer:
         index = np.asarray(enc.indices, dtype=np.int64)
         if len(self.known) > self.keep:
             self.known.clear()
-        ids = []
-        for unit in enc.dictionary.to_pylist():
-            if unit not in self.known:
-                self.known[unit] = self._unit(unit)
-            ids.append(self.known[unit])
+        ids = list(map(self._ids, enc.dictionary.to_pylist()))
         none = np.array([x is None for x in ids], dtype=bool)
-        sizes = np.array([0 if x is None else len(x) for x in ids], dtype=np.int64)
-        joined = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.uint32)])
+        sizes = np.array([0 if x is None else len(x) // 4 for x in ids], dtype=np.int64)
+        joined = np.frombuffer(b"".join(x for x in ids if x is not None), dtype="<u4")
         first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         out = []
         for i in range(len(texts)):
             own = index[bounds[i]:bounds[i + 1]]
             if none[own].any():
-                out.append(self._whole(texts[i].as_py()))
+                out.append(np.frombuffer(self._whole(texts[i].as_py()), dtype="<u4"))
                 continue
             n = sizes[own]
             ends = np.cumsum(n)
