@@ -20,10 +20,6 @@ from contrail.functions.numeric import fround
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# The fixture warehouse calendar covers every date in the data.
-CALENDAR_START = "1990-01-01"
-CALENDAR_END = "2030-12-31"
-
 
 def normalize(df: DataFrame) -> DataFrame:
     cols = []
@@ -40,10 +36,13 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 def calendar(t: Tables) -> DataFrame:
-    from contrail.operators.dims import build_date_dimension, days_in_range
+    """The calendar of all dates in the data: one narrow min/max job, and a
+    broadcast only if the range it finds is small enough."""
+    from contrail.operators.dims import build_date_dimension, data_range, days_in_range
     from contrail.plans.joins import bounded_broadcast
-    return bounded_broadcast(build_date_dimension(t.spark, CALENDAR_START, CALENDAR_END),
-                             days_in_range(CALENDAR_START, CALENDAR_END))
+    found = data_range((t.orders, "o_orderdate"), (t.events, "ts"))
+    start, end = found or ("1970-01-01", "1970-01-01")
+    return bounded_broadcast(build_date_dimension(t.spark, start, end), days_in_range(start, end))
 
 
 def clock(t: Tables) -> DataFrame:
@@ -72,11 +71,15 @@ def q(name: str, normalized: bool = True):
     """Register a builder taking ``Tables``; its result is normalized."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            # Timestamps are compared as UTC wall-clock values whatever session runs us.
-            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
-            out = fn(tables(spark, sf_dir))
-            return normalize(out) if normalized else out
+            # Timestamps are UTC wall-clock values: the plan is analysed in that zone,
+            # and the caller's zone is given back.
+            zone = spark.conf.get("spark.sql.session.timeZone")
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            try:
+                out = fn(tables(spark, sf_dir))
+                return normalize(out) if normalized else out
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", zone)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

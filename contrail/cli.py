@@ -1,13 +1,14 @@
 """Command line for the jobs.
 
     python -m contrail.cli etl    --landing L --target T --log G (--date D | --backfill START END)
+                                  [--columns A,B,...] [--quarantine Q]
     python -m contrail.cli spark  --mode batch|stream|both --date D --raw R --fact F --kpis K
                                   [--events E | --brokers B --topic T] --sinks S
 
 ``etl`` cleans landed raw CSV for one day or a date range in one job (a
 range is a predicate, not a loop) and replaces those date partitions.
 ``spark`` runs the daily batch (enrich + route KPIs for one day, with the
-look-back rows the rolling window needs) and/or the two stream queries
+earlier rows the rolling window needs, kept in ``--tail``) and/or the two stream queries
 (KPIs and alerts) until either stops.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime, timedelta
 
-from contrail.schemas import BTS_RAW_COLUMNS
+from contrail.schemas import BTS_COLUMNS
 from contrail.session import get_session, shared_path
 
 
@@ -28,8 +29,9 @@ def _etl(args) -> None:
     else:
         d = args.date or (date.today() - timedelta(days=1)).isoformat()
         start = end = d
-    out = backfill(spark, args.landing, BTS_RAW_COLUMNS, start, end, args.target, args.log,
-                   datetime.now())
+    columns = args.columns.split(",") if args.columns else BTS_COLUMNS
+    out = backfill(spark, args.landing, columns, start, end, args.target, args.log, datetime.now(),
+                   quarantine_path=args.quarantine)
     print(f"loaded {out.filter(out.flight_date.between(start, end)).count()} rows for {start}..{end}")
 
 
@@ -38,7 +40,7 @@ def _spark(args) -> None:
     spark = get_session(app="contrail-spark", mode="streaming" if mode != "batch" else "batch")
     if mode in ("batch", "both"):
         from contrail.plans.jobs import daily_batch
-        info = daily_batch(spark, args.raw, args.date, args.fact, args.kpis)
+        info = daily_batch(spark, args.raw, args.date, args.fact, args.kpis, args.tail)
         print(f"batch {info}")
     if mode in ("stream", "both"):
         from contrail.streaming import kpis as SK
@@ -60,6 +62,8 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--landing", required=True)
     e.add_argument("--target", required=True)
     e.add_argument("--log", required=True)
+    e.add_argument("--columns", help="comma-separated raw columns to load (default: all 22)")
+    e.add_argument("--quarantine", help="folder for raw rows that fail a check")
     g = e.add_mutually_exclusive_group()
     g.add_argument("--date", help="YYYY-MM-DD (default: yesterday)")
     g.add_argument("--backfill", nargs=2, metavar=("START", "END"))
@@ -70,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--raw")
     s.add_argument("--fact")
     s.add_argument("--kpis")
+    s.add_argument("--tail", help="folder of the rolling frame's kept state")
     s.add_argument("--events", help="folder of JSON-lines event files")
     s.add_argument("--brokers")
     s.add_argument("--topic")

@@ -23,8 +23,8 @@ def to_int_or_zero(c) -> Column:
 def to_flag(c) -> Column:
     """``astype(float).fillna(0).astype(bool)``: ``"1.00"`` -> true, NULL -> false.
 
-    Text that does not parse becomes false here (pandas would raise); the
-    cleaning step reports such rows separately.
+    Text that does not parse becomes false here (pandas would raise);
+    ``cleaning.quarantine_raw`` keeps such rows out of a load.
     """
     v = _col(c).try_cast("double")
     return F.coalesce(v, F.lit(0.0)) != 0
@@ -34,8 +34,3 @@ def record_hash(*cols) -> Column:
     """MD5 of the concatenated values (NULL rendered as the empty token)."""
     parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols]
     return F.md5(F.concat(*parts))
-
-
-def row_checksum(*cols) -> Column:
-    """NULL-safe attribute checksum for change detection (SCD2)."""
-    return F.xxhash64(*[_col(c) for c in cols])

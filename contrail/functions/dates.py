@@ -33,10 +33,6 @@ def date_key_formatted(ts) -> Column:
     return F.date_format(_col(ts), "yyyyMMdd").cast("int")
 
 
-def key_to_date(key) -> Column:
-    return F.to_date(_col(key).cast("string"), "yyyyMMdd")
-
-
 def season(month) -> Column:
     m = _col(month)
     expr = None

@@ -99,6 +99,28 @@ def quarantine(df: DataFrame) -> DataFrame:
     return df.filter(missing_id(df)).withColumn("dq_reason", F.lit("missing_flight_id"))
 
 
+def raw_faults(raw: DataFrame) -> Column:
+    """Why a raw row cannot be loaded, NULL if it can: no flight number or
+    airline, a date that is not ``yyyy-MM-dd``, a flag that is not a number."""
+    text = lambda c: F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
+    reasons = [F.when(F.col("FlightNum").isNull() | F.col("Carrier").isNull(), "missing_flight_id"),
+               F.when(F.col("FlightDate").isNull()
+                      | F.try_to_timestamp(F.col("FlightDate"), F.lit("yyyy-MM-dd")).isNull(), "bad_date")]
+    reasons += [F.when(text(c) & F.col(c).try_cast("double").isNull(), "bad_flag")
+                for c in ("Cancelled", "Diverted") if c in raw.columns]
+    return F.coalesce(*reasons)
+
+
+def quarantine_raw(raw: DataFrame) -> DataFrame:
+    """The raw rows that cannot be loaded, as they came, with the first reason."""
+    return raw.withColumn("dq_reason", raw_faults(raw)).filter(F.col("dq_reason").isNotNull())
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    """The raw rows that ``quarantine_raw`` leaves."""
+    return raw.filter(raw_faults(raw).isNull())
+
+
 def dq_report(df: DataFrame) -> DataFrame:
     """One row of DQ counts over the coerced frame, in one aggregate pass."""
     kept = ~missing_id(df)

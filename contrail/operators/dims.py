@@ -43,6 +43,17 @@ def date_dimension_for(df: DataFrame, date_col: str,
     return _calendar(days, holidays)
 
 
+def data_range(*dated: tuple[DataFrame, str]) -> tuple[str, str] | None:
+    """First and last day (ISO) of the given frames' date columns, None without any date."""
+    both = None
+    for df, col in dated:
+        d = F.col(col).cast("date")
+        own = df.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
+        both = own if both is None else both.unionByName(own)
+    r = both.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    return (r["lo"].isoformat(), r["hi"].isoformat()) if r["lo"] else None
+
+
 def days_in_range(start: str, end: str) -> int:
     return (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
 

@@ -78,6 +78,16 @@ def tag_report(df: DataFrame, table: str) -> DataFrame:
             .select(F.lit(table).alias("table_name"), "*"))
 
 
+def with_keys(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Surrogate keys for the natural codes of cleaned flights (-1: unknown code):
+    ``airline`` and ``aircraft`` are dimensions with code and key."""
+    from contrail.operators.scd import resolve_key
+    for name, code in (("airline", "airline_code"), ("aircraft", "tail_number")):
+        if name in dims:
+            clean = resolve_key(clean, code, dims[name], code, f"{name}_key", f"{name}_key")
+    return clean
+
+
 RUN_LOG_SCHEMA = StructType([
     StructField("run_ts", TimestampType()), StructField("process_date", DateType()),
     StructField("status", StringType()), StructField("rows_loaded", LongType()),

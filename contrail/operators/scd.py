@@ -10,21 +10,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.operators.windows import latest_per_key
 from contrail.plans.ranking import global_index
 
 # Open-ended SCD2 expiry date.
 OPEN_END = "9999-12-31"
 
 
-def scd1_upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def one_row_per_key(feed: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """The feed's last row of each key by the ``order`` columns, equal rows by
+    their values; rows without a key are left out (``without_key`` has them)."""
+    return latest_per_key(feed.filter(F.col(key).isNotNull()), [key], [F.col(c) for c in order or []])
+
+
+def without_key(feed: DataFrame, key: str) -> DataFrame:
+    """The feed rows that an upsert rejects, to be counted or kept by the caller."""
+    return feed.filter(F.col(key).isNull())
+
+
+def scd1_upsert(target: DataFrame, source: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Matched keys take the source row; unmatched source rows are inserted.
 
-    Written as union + per-key ``max_by`` on a priority flag: one shuffle, a
-    partial aggregate (so a hot key is pre-reduced), and duplicate source keys
-    resolve deterministically to one row.
+    Of several source rows of a key the last by ``order`` counts; source rows
+    without a key are rejected. Written as union + per-key ``max_by`` on a
+    priority flag: one shuffle and a partial aggregate, so a hot key is
+    pre-reduced.
     """
     cols = target.columns
-    src = source.select(*cols).withColumn("_prio", F.lit(1))
+    src = one_row_per_key(source, key, order).select(*cols).withColumn("_prio", F.lit(1))
     tgt = target.withColumn("_prio", F.lit(0))
     both = tgt.unionByName(src)
     others = [c for c in cols if c != key]
@@ -50,8 +63,9 @@ def _changed(attrs: list[str], prefix: str) -> Column:
 
 
 def scd2_upsert(history: DataFrame, feed: DataFrame, key: str, attrs: list[str],
-                as_of: str) -> DataFrame:
-    """Type 2 merge as of ``as_of``.
+                as_of: str, order: list[str] | None = None) -> DataFrame:
+    """Type 2 merge as of ``as_of``. Of several feed rows of a key the last by
+    ``order`` counts; feed rows without a key are rejected.
 
     * current rows whose attributes differ (NULL-safe) from the feed are
       closed (expiry = as_of, is_current = false) and a new version is added;
@@ -64,7 +78,7 @@ def scd2_upsert(history: DataFrame, feed: DataFrame, key: str, attrs: list[str],
     d = F.lit(as_of).cast("date")
     closed_hist = history.filter(~F.col("is_current"))
     current = history.filter(F.col("is_current"))
-    f = feed.select(F.col(key).alias("_f_key"), *[F.col(a).alias(f"_f_{a}") for a in attrs]) \
+    f = one_row_per_key(feed, key, order).select(F.col(key).alias("_f_key"), *[F.col(a).alias(f"_f_{a}") for a in attrs]) \
         .withColumn("_f_present", F.lit(True))
     j = current.join(f, F.col(key) == F.col("_f_key"), "full_outer")
     has_cur = F.col(key).isNotNull()

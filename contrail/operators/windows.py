@@ -92,26 +92,21 @@ def partition_max(df: DataFrame, value: str, partition: list[str], out: str) ->
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Keep the row with the greatest ``order`` per key (ROW_NUMBER() = 1 of
-    the descending order).
+    the descending order); rows with equal ``order`` by their other columns, so
+    the result does not depend on the input's order.
 
     Written as a grouped ``max_by`` over a struct so the reduction is a
     partial aggregate: a hot key is pre-reduced on every task instead of being
     sorted in one.
     """
     others = [c for c in df.columns if c not in keys]
-    order_struct = F.struct(*order)
+    tie = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
+    order_struct = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], tie.alias("tie"))
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in others]), order_struct).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
 
 
-def row_number_top(df: DataFrame, partition: list[str], order: list[Column], n: int,
-                   out: str = "row_num") -> DataFrame:
-    """Top ``n`` rows per group with a plain window (bounded groups only)."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= n)
-
-
 def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
                     out: str = "row_num", key: list[str] | None = None,
                     order_cols: list[str] | None = None) -> DataFrame:

@@ -8,9 +8,10 @@ partitions they recompute, so re-running any job is idempotent.
 from __future__ import annotations
 
 import time
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.cases import delay_severity, primary_delay_cause
@@ -19,12 +20,12 @@ from contrail.operators import aggregates as agg
 from contrail.operators import cleaning as C
 from contrail.operators import governance as G
 from contrail.operators import windows as win
+from contrail.session import glob_paths, path_exists, shared_path
 from contrail.sources import readers as RD
 from contrail.sources import sinks as K
 
-# Rolling frame, look-back for the daily batch, incremental look-back.
+# Rows before the current one in the rolling frame, incremental look-back.
 ROLLING_ROWS = 7
-BATCH_LOOKBACK_DAYS = 30
 INCREMENTAL_LOOKBACK_DAYS = 3
 
 
@@ -45,74 +46,170 @@ def enrich_flights(df: DataFrame) -> DataFrame:
                                       "delay_percentile")
 
 
-def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path: str,
-                kpi_path: str, lookback_days: int = BATCH_LOOKBACK_DAYS) -> dict:
-    """Read the raw lake table with the look-back days the rolling window
-    needs, enrich, keep the processing day, write the fact partitions of that
-    day and the day's route KPIs. The enriched day is persisted once and
-    feeds both writes."""
-    d = date.fromisoformat(process_date)
-    lo = int((d - timedelta(days=lookback_days)).strftime("%Y%m%d"))
-    day = int(d.strftime("%Y%m%d"))
-    raw, obs = RD.read_table(spark, raw_path)
-    window_rows = raw.filter(F.col("date_key").between(lo, day))
-    enriched = enrich_flights(window_rows).filter(F.col("date_key") == day).persist()
+def last_rows(df: DataFrame, n: int) -> DataFrame:
+    """The ``n`` latest rows of every airline x origin, which is all that a
+    later day's rolling frame needs of the past. Every task keeps at most ``n``
+    rows of a pair before the shuffle (the rank limit is applied on both sides)."""
+    w = Window.partitionBy("airline_code", "origin_iata").orderBy(F.desc("date_key"), F.desc("flight_key"))
+    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+
+
+def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path: str, kpi_path: str,
+                tail_path: str | None = None) -> dict:
+    """Enrich one day of the raw lake table; write the day's fact partitions and
+    route KPIs, replacing whatever that day had.
+
+    The rolling frame's preceding rows are the pair's latest ones, whatever
+    their date. Without ``tail_path`` they are taken from all earlier days;
+    with it, from the newest kept state before the day (``state_day=<key>``)
+    plus the days since, and the day's own state is kept for the next run.
+    After correcting an earlier day, drop the states from that day on.
+    """
+    day = int(date.fromisoformat(process_date).strftime("%Y%m%d"))
+    known = [int(p.rsplit("=", 1)[1]) for p in glob_paths(spark, f"{tail_path}/state_day=*")] if tail_path else []
+    since = max((k for k in known if k < day), default=None)
+    where = F.col("date_key") <= day
+    if since is not None:
+        where = where & (F.col("date_key") > since)
+    raw, obs = RD.read_table(spark, raw_path, where=where)
+    past = raw.filter(F.col("date_key") < day)
+    if since is not None:
+        past = past.unionByName(spark.read.parquet(f"{tail_path}/state_day={since}"))
+    rows = last_rows(past, ROLLING_ROWS).unionByName(raw.filter(F.col("date_key") == day)).persist()
+    enriched = enrich_flights(rows).filter(F.col("date_key") == day).persist()
     try:
-        K.write_partitioned(enriched, fact_path, ["date_key", "airline_code"])
+        K.replace_partitions(enriched, fact_path, ["date_key", "airline_code"], lambda v: v == str(day))
         kpis = agg.route_kpis(enriched).withColumn("date_key", F.lit(day))
-        K.write_partitioned(kpis, kpi_path, ["date_key"])
+        K.replace_partitions(kpis, kpi_path, ["date_key"], lambda v: v == str(day))
+        if tail_path:
+            last_rows(rows, ROLLING_ROWS).write.mode("overwrite").parquet(f"{tail_path}/state_day={day}")
     finally:
         enriched.unpersist()
+        rows.unpersist()
     return {"rows_read": obs.get.get("rows"), "date_key": day}
 
 
+def month_key(col: str = "date_key"):
+    return F.floor(F.col(col) / 100).cast("int")
+
+
 def backfill(spark: SparkSession, landing: str, columns: list[str], start: str, end: str,
-             target_path: str, log_path: str, run_ts: datetime | None = None) -> DataFrame:
-    """Clean and load every date in ``[start, end]`` in one job (date-range
-    predicate), replacing those date partitions; one run-log row per date."""
+             target_path: str, log_path: str, run_ts: datetime | None = None,
+             quarantine_path: str | None = None, keys: dict[str, DataFrame] | None = None,
+             mart: dict | None = None) -> DataFrame:
+    """Clean and load every date in ``[start, end]`` in one job: the range's
+    monthly files are read, its dates replaced in the target (partitioned by
+    month, sorted by day), and one run-log row written per date.
+
+    ``keys`` (``airline``, ``aircraft``: dimensions with natural code and key)
+    adds surrogate keys, -1 for unknown codes. Raw rows that fail a check go to
+    ``quarantine_path`` with the reason. ``mart`` (``dim_date``,
+    ``dim_airline``, ``fact``, ``path``) refreshes the loaded months of the
+    daily mart. A failing run logs one ``failed`` row and raises.
+    """
     t0 = time.time()
     run_ts = run_ts or datetime.now()
-    raw = RD.read_bts_csv(spark, landing, columns).filter(
-        F.col("FlightDate").between(start, end))
-    clean = C.transform_flights(raw, load_ts=run_ts.isoformat(sep=" ")).drop("etl_load_ts").persist()
+    clean = None
     try:
-        K.write_partitioned(clean, target_path, ["date_key"])
+        raw = RD.read_bts_csv(spark, landing, columns, months=RD.months_between(start, end))
+        if quarantine_path:
+            C.quarantine_raw(raw).withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(quarantine_path)
+        clean = C.transform_flights(C.well_formed(raw), load_ts=run_ts.isoformat(sep=" ")).drop("etl_load_ts")
+        clean = clean.filter(F.col("flight_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        clean = G.with_keys(clean, keys) if keys else clean
+        clean = clean.withColumn("month_key", month_key()).persist()
+        _replace_days(clean, target_path, start, end)
         per_date = clean.groupBy(F.col("flight_date").alias("process_date")) \
             .agg(F.count(F.lit(1)).alias("rows_loaded"))
+        if mart:
+            months = [int(m.replace("_", "")) for m in RD.months_between(start, end)]
+            refresh_mart(mart["fact"], months, mart["dim_date"], mart["dim_airline"], mart["path"])
         G.append_run_log(G.run_log_entries(per_date, run_ts, "success", time.time() - t0), log_path)
+    except Exception as e:
+        failed = spark.range(1).select(F.lit(start).cast("date").alias("process_date"), F.lit(0).alias("rows_loaded"))
+        G.append_run_log(G.run_log_entries(failed, run_ts, "failed", time.time() - t0, str(e)[:500]), log_path)
+        raise
     finally:
-        clean.unpersist()
-    return spark.read.parquet(target_path)
-
-
-def month_key(col: str = "date_key"):
-    return F.floor(F.col(col) / 100).cast("int")
-
-
-def build_daily_mart(fact: DataFrame, dim_date: DataFrame, dim_airline: DataFrame,
-                     mart_path: str) -> None:
+        if clean is not None:
+            clean.unpersist()
+    return spark.read.parquet(target_path).drop("month_key")
+
+
+def _replace_days(rows: DataFrame, path: str, start: str, end: str) -> None:
+    """Replace the dates of ``[start, end]`` in a table partitioned by
+    ``month_key``: whole months are replaced, the first and last month keep
+    their days outside the range."""
+    spark = rows.sparkSession
+    months = {m.replace("_", "") for m in RD.months_between(start, end)}
+    if path_exists(spark, path) and glob_paths(spark, f"{path}/month_key=*"):
+        edge = spark.read.parquet(path).filter(F.col("month_key").isin(*[int(m) for m in (min(months), max(months))]))
+        edge = edge.filter(~F.col("flight_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        both = shared_path(spark, "staging", "replace_days")  # the table is read here and replaced below
+        rows.unionByName(edge.select(*rows.columns)).write.parquet(both)
+        rows = spark.read.parquet(both)
+    K.replace_partitions(rows, path, ["month_key"], lambda v: v in months, sort_by=["date_key"])
+
+
+def build_daily_mart(fact: DataFrame, dim_date: DataFrame, dim_airline: DataFrame, mart_path: str,
+                     months: set[int] | None = None) -> None:
+    """Write the daily mart by month; with ``months`` (the months that ``fact``
+    holds all rows of), a month without rows loses its partition."""
     mart = agg.daily_airline_mart(fact, dim_date, dim_airline).withColumn(
         "month_key", (F.year("full_date") * 100 + F.month("full_date")).cast("int"))
-    K.write_partitioned(mart, mart_path, ["month_key"])
+    if months is None:
+        K.write_partitioned(mart, mart_path, ["month_key"])
+    else:
+        K.replace_partitions(mart, mart_path, ["month_key"], lambda v: v.isdigit() and int(v) in months)
 
 
-def refresh_mart(fact: DataFrame, loaded: DataFrame, dim_date: DataFrame, dim_airline: DataFrame,
+def refresh_mart(fact: DataFrame, loaded: DataFrame | Iterable[int], dim_date: DataFrame, dim_airline: DataFrame,
                  mart_path: str) -> None:
-    """Recompute the mart only for the months touched by a load (a semi join
-    with the loaded months), replacing just those partitions."""
-    touched = loaded.select(month_key().alias("month_key")).distinct()
-    f = fact.withColumn("month_key", month_key()).join(touched, "month_key", "left_semi").drop("month_key")
-    build_daily_mart(f, dim_date, dim_airline, mart_path)
+    """Recompute the mart for the months a load touched -- those of its rows, or
+    a list of months, which may also be empty by now -- and replace them."""
+    if isinstance(loaded, DataFrame):  # one row per month
+        months = {r[0] for r in loaded.select(month_key()).distinct().collect() if r[0] is not None}
+    else:
+        months = set(loaded)
+    if not months:
+        return
+    lo, hi = min(months) * 100, max(months) * 100 + 99
+    f = fact.filter(F.col("date_key").between(lo, hi) & month_key().isin(*sorted(months)))
+    build_daily_mart(f, dim_date, dim_airline, mart_path, months)
 
 
 def incremental_load(spark: SparkSession, table_path: str, increment: DataFrame,
-                     lookback_days: int = INCREMENTAL_LOOKBACK_DAYS) -> DataFrame:
-    """Re-process the last ``lookback_days`` before the table's high-water mark:
-    rows of the increment from ``hwm - lookback`` on replace those date
-    partitions, keeping the latest row per record hash."""
-    hwm = spark.read.parquet(table_path).agg(F.max("flight_date")).first()[0]
-    start = hwm - timedelta(days=lookback_days) if hwm else date(1900, 1, 1)
-    inc = increment.filter(F.col("flight_date") >= F.lit(start))
-    latest = win.latest_per_key(inc, ["record_hash"], [F.col("etl_load_ts")])
-    K.write_partitioned(latest, table_path, ["date_key"])
-    return spark.read.parquet(table_path)
+                     lookback_days: int = INCREMENTAL_LOOKBACK_DAYS) -> dict:
+    """Merge an increment into a table partitioned by ``month_key``: rows from
+    ``high-water mark - lookback_days`` on are merged with the rows of the
+    months they touch, the latest row per record hash stays.
+
+    Returns the table and the counts ``merged`` and ``rejected`` (rows before
+    the look-back or without a date).
+    """
+    start = None
+    held = sorted(int(p.rsplit("=", 1)[1]) for p in glob_paths(spark, f"{table_path}/month_key=[0-9]*"))
+    if held:  # the newest month's partition alone tells the high-water mark
+        newest = spark.read.parquet(table_path).filter(F.col("month_key") == held[-1])
+        top = newest.agg(F.max("flight_date")).first()[0]
+        start = top - timedelta(days=lookback_days) if top else None
+    taken = F.col("flight_date").isNotNull()
+    if start is not None:
+        taken = taken & (F.col("flight_date") >= F.lit(start))
+    taken = F.coalesce(taken, F.lit(False))
+    staged = shared_path(spark, "staging", "increment")
+    increment.withColumn("month_key", month_key()).withColumn("_taken", taken).write.parquet(staged)
+    staged_rows = spark.read.parquet(staged)
+    counts = {r["_taken"]: r["count"] for r in staged_rows.groupBy("_taken").count().collect()}
+    inc = staged_rows.filter("_taken").drop("_taken")
+    months = sorted(r[0] for r in inc.select("month_key").distinct().collect())
+    if months:
+        rows = inc
+        if held:
+            old = spark.read.parquet(table_path).filter(F.col("month_key").isin(*months))
+            rows = inc.unionByName(old, allowMissingColumns=True)
+        latest = win.latest_per_key(rows, ["record_hash"], [F.col("etl_load_ts")])
+        merged = shared_path(spark, "staging", "merged")  # the table is read here and replaced below
+        latest.write.parquet(merged)
+        K.write_partitioned(spark.read.parquet(merged), table_path, ["month_key"], sort_by=["date_key"])
+    return {"table": spark.read.parquet(table_path).drop("month_key") if held or months else inc.drop("month_key"),
+            "merged": counts.get(True, 0), "rejected": counts.get(False, 0)}

@@ -13,7 +13,7 @@ from contrail.functions.cases import rfm_segment, route_tier, safe_div
 from contrail.functions.numeric import fround
 from contrail.operators import aggregates as agg
 from contrail.operators import windows as win
-from contrail.plans.ranking import global_index, successor
+from contrail.plans.ranking import global_index
 
 # ---------------------------------------------------------------- R1
 
@@ -38,18 +38,6 @@ def on_time_performance(fact: DataFrame, dim_date: DataFrame, dim_airline: DataF
 # ---------------------------------------------------------------- R2
 
 
-def next_leg_edges(fact: DataFrame) -> DataFrame:
-    """Each flight with the aircraft's next leg by (date_key, hour_24, flight_key).
-
-    Deterministic replacement for the scalar-subquery ``LIMIT 1`` aircraft
-    lookup; computed skew-free through the global index (see plans.ranking).
-    """
-    legs = fact.select("flight_key", "aircraft_key", "date_key", "hour_24", "flight_number",
-                       "arr_delay_min")
-    return successor(legs, ["aircraft_key"], ["date_key", "hour_24", "flight_key"],
-                     key="flight_key", carry=["flight_number", "arr_delay_min"])
-
-
 def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
                 year: int, max_depth: int = 5, base_late_aircraft: int = 30,
                 follow_delay: int | None = 15) -> DataFrame:
@@ -66,7 +54,11 @@ def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
     """
     cols = ["flight_key", "aircraft_key", "date_key", "hour_24", "flight_number", "arr_delay_min",
             "late_aircraft_delay", "airline_key", "origin_airport_key", "dest_airport_key"]
-    legs = fact.select(*cols, *(["full_date"] if "full_date" in fact.columns else []))
+    # a chain starts in the year, so no earlier leg is needed
+    since = F.col("date_key") >= agg.year_key_range(year)[0]
+    if "full_date" in fact.columns:
+        since = since & (F.col("full_date") >= F.lit(f"{year}-01-01").cast("date"))
+    legs = fact.filter(since).select(*cols, *(["full_date"] if "full_date" in fact.columns else []))
     # Dense position in (aircraft, date, hour, flight key) order: the k-th next
     # leg of the aircraft at position p sits at p + k (if still that aircraft).
     idx = global_index(legs, ["aircraft_key", "date_key", "hour_24", "flight_key"], "_rn")
@@ -117,9 +109,17 @@ def rfm_scores(fact_reservation: DataFrame, dim_passenger: DataFrame, dim_date:
     """
     base = agg.rfm_base(fact_reservation, dim_passenger, dim_date, as_of)
     pid = F.col("passenger_id").asc()
-    s = win.ntile(base, 5, [F.col("recency_days").desc(), pid], "r_score", distributed)
-    s = win.ntile(s, 5, [F.col("frequency").asc(), pid], "f_score", distributed)
-    s = win.ntile(s, 5, [F.col("monetary").asc(), pid], "m_score", distributed)
+    s = base
+    for col, order, out in (("recency_days", F.col("recency_days").desc(), "r_score"),
+                            ("frequency", F.col("frequency").asc(), "f_score"),
+                            ("monetary", F.col("monetary").asc(), "m_score")):
+        # only the key and the ranked measure are sorted; the score joins back by key
+        keys = ["passenger_id", "passenger_name", "loyalty_tier"]
+        one = win.ntile(base.select(*keys, col), 5, [order, pid, F.col("passenger_name"), F.col("loyalty_tier")],
+                        out, distributed).drop(col)
+        one = one.withColumnsRenamed({k: f"_{out}_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"_{out}_{k}")) for k in keys]
+        s = s.join(one, same).drop(*(f"_{out}_{k}" for k in keys))
     return (s.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
             .withColumn("segment", rfm_segment()))
 
@@ -138,34 +138,20 @@ def rfm_segments(fact_reservation: DataFrame, dim_passenger: DataFrame, dim_date
 # ---------------------------------------------------------------- R4
 
 
-# Largest route set ranked with single-partition windows.
-MAX_SINGLE_TASK_ROUTES = 5_000_000
-
-
-def route_bound(dim_airport: DataFrame, dim_airline: DataFrame) -> int:
-    """Upper bound on routes: origins x destinations x airlines (two small counts)."""
-    airports = dim_airport.count()
-    return airports * airports * dim_airline.count()
-
-
 def route_ranked(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
-                 year: int, distributed: bool | None = None) -> DataFrame:
+                 year: int) -> DataFrame:
     """Route metrics with revenue/load/RPM percentiles and smoothed revenue.
 
-    The route set is an aggregate bounded by origins x destinations x
-    airlines, whatever the fact's size. Its global windows run in one task
-    only when that bound is small (``distributed=None`` checks it); beyond
-    it, percent ranks and the centered average use the global index.
+    Percent ranks and the centered average over all routes use the global
+    index, whatever the number of routes.
     """
-    if distributed is None:
-        distributed = route_bound(dim_airport, dim_airline) > MAX_SINGLE_TASK_ROUTES
     r = agg.route_metrics(fact, dim_airport, dim_airline, year)
     keys = [F.col("origin"), F.col("destination"), F.col("airline_code")]
     for col, out in (("total_revenue", "revenue_percentile"), ("avg_load_factor", "load_percentile"),
                      ("revenue_per_mile", "rpm_percentile")):
-        r = win.percent_rank_global(r, col, out, descending=True, distributed=distributed)
+        r = win.percent_rank_global(r, col, out, descending=True)
     return win.moving_avg(r, "total_revenue", [F.col("total_miles"), *keys], 3, 3,
-                          "smoothed_revenue", distributed=distributed)
+                          "smoothed_revenue", distributed=True)
 
 
 def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
@@ -176,11 +162,9 @@ def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: Da
     the >= 0.8 "Platinum" tier holds the weakest routes, as written;
     ``"best_first"`` ranks ASC so Platinum is the top revenue band.
     """
-    distributed = route_bound(dim_airport, dim_airline) > MAX_SINGLE_TASK_ROUTES
-    r = route_ranked(fact, dim_airport, dim_airline, year, distributed=distributed)
+    r = route_ranked(fact, dim_airport, dim_airline, year)
     if tier_order == "best_first":
-        r = win.percent_rank_global(r, "total_revenue", "revenue_percentile", descending=False,
-                                    distributed=distributed)
+        r = win.percent_rank_global(r, "total_revenue", "revenue_percentile", descending=False)
     out = r.select(
         "origin", "destination", "airline_code", "flight_count",
         F.round("total_revenue", 0).alias("total_revenue"),

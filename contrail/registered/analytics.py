@@ -149,10 +149,8 @@ def win_centered_avg(t: Tables) -> DataFrame:
 
 @q("case_route_tier")
 def case_route_tier(t: Tables) -> DataFrame:
-    distributed = R.route_bound(t.dim_airport, t.dim_airline) > R.MAX_SINGLE_TASK_ROUTES
-    r = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, REPORT_YEAR, distributed)
-    r = win.percent_rank_global(r, "total_revenue", "_pct_asc", descending=False,
-                                distributed=distributed)
+    r = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, REPORT_YEAR)
+    r = win.percent_rank_global(r, "total_revenue", "_pct_asc", descending=False)
     return r.select("origin", "destination", "airline_code",
                     cases.route_tier("revenue_percentile").alias("route_tier"),
                     cases.route_tier("_pct_asc").alias("route_tier_best_first"))

@@ -11,6 +11,7 @@ from contrail.catalog import calendar, q, routed_flights
 from contrail.fixtures import Tables
 from contrail.operators import cleaning as C
 from contrail.operators import governance as G
+from contrail.operators.dims import data_range
 from contrail.plans import jobs as J
 from contrail.schemas import BTS_RAW_COLUMNS
 from contrail.session import shared_path
@@ -19,10 +20,10 @@ from contrail.sources import sinks as K
 
 # Job scenario dates.
 BATCH_DAY = "1996-06-14"
+STATE_DAY = "1996-05-02"
 RUN_TS = datetime(2001, 8, 2, 6, 0, 0)
 FIRST_LOAD_BEFORE = "1998-01-01"
 INCREMENT_HWM_BEFORE = "1999-01-01"
-BACKFILL_RANGE = ("1990-01-01", "2030-12-31")
 
 
 def scheduled_flights(t: Tables) -> DataFrame:
@@ -49,12 +50,29 @@ def batch_run(t: Tables) -> DataFrame:
     return t.spark.read.parquet(kpis)
 
 
+@q("batch_day")
+def batch_day(t: Tables) -> DataFrame:
+    """The enriched day that the daily batch writes, with the rolling frame's
+    earlier rows from the state that an earlier day's run kept."""
+    raw = shared_path(t.spark, "lake", "raw_flights")
+    scheduled_flights(t).write.mode("overwrite").parquet(raw)
+    fact, kpis = shared_path(t.spark, "lake", "fact_flight"), shared_path(t.spark, "lake", "agg_route_kpis")
+    tail = shared_path(t.spark, "lake", "rolling_state")
+    for day in (STATE_DAY, BATCH_DAY):
+        J.daily_batch(t.spark, raw, day, fact, kpis, tail)
+    day = t.spark.read.parquet(fact).filter(F.col("date_key") == int(BATCH_DAY.replace("-", "")))
+    return day.select("flight_key", "date_key", "dep_hour", "delay_severity", "primary_delay_cause",
+                      "rolling_7d_avg_delay", "delay_percentile")
+
+
 def _backfilled(t: Tables) -> tuple[DataFrame, str]:
     landing = shared_path(t.spark, "landing", "bts_csv")
     L.land_csv_by_month(t.bts_raw, landing)
     target = shared_path(t.spark, "warehouse", "fact_flight_clean")
     log = shared_path(t.spark, "warehouse", "etl_run_log")
-    out = J.backfill(t.spark, landing, BTS_RAW_COLUMNS, *BACKFILL_RANGE, target, log, RUN_TS)
+    start, end = data_range((t.orders, "o_orderdate"))
+    out = J.backfill(t.spark, landing, BTS_RAW_COLUMNS, start, end, target, log, RUN_TS,
+                     keys={"airline": t.dim_airline, "aircraft": t.dim_aircraft})
     return out, log
 
 
@@ -65,7 +83,17 @@ _CLEAN_COLS = ["flight_date", "airline_code", "tail_number", "flight_number", "a
 @q("etl_backfill")
 def etl_backfill(t: Tables) -> DataFrame:
     out, _ = _backfilled(t)
-    return out.select(*_CLEAN_COLS)
+    return out.select(*_CLEAN_COLS, "airline_key", "aircraft_key")
+
+
+@q("etl_quarantine")
+def etl_quarantine(t: Tables) -> DataFrame:
+    """Raw rows kept out of the load: no id, a date or flag that does not parse."""
+    n = F.col("FlightNum").cast("long")
+    raw = t.bts_raw.withColumns({
+        "FlightDate": F.when(n % 59 == 0, F.date_format(F.to_date("FlightDate"), "MM/dd/yyyy")).otherwise(F.col("FlightDate")),
+        "Cancelled": F.when(n % 61 == 0, "yes").otherwise(F.col("Cancelled"))})
+    return C.quarantine_raw(raw).select("FlightDate", "Carrier", "FlightNum", "TailNum", "Cancelled", "dq_reason")
 
 
 @q("run_log_report")
@@ -89,12 +117,13 @@ def mart_refresh(t: Tables) -> DataFrame:
 
 @q("incremental_load")
 def incremental_load(t: Tables) -> DataFrame:
-    """Initial load up to a high-water mark, then an increment re-processed
-    from three days before it."""
+    """Initial load up to a high-water mark, then a partial increment: half of
+    the flights, with a changed delay. Those from three days before the mark on
+    are merged; the loaded rows that the increment lacks stay."""
     path = shared_path(t.spark, "warehouse", "fact_flight_incremental")
     first = C.transform_flights(t.bts_raw, load_ts="2001-08-01 06:00:00")
     first = first.filter(F.col("flight_date") < F.lit(INCREMENT_HWM_BEFORE).cast("date"))
-    K.write_partitioned(first, path, ["date_key"])
-    increment = C.transform_flights(t.bts_raw, load_ts="2001-08-02 06:00:00")
-    out = J.incremental_load(t.spark, path, increment)
-    return out.select(*_CLEAN_COLS)
+    K.write_partitioned(first.withColumn("month_key", J.month_key()), path, ["month_key"], sort_by=["date_key"])
+    half = t.bts_raw.filter(F.col("FlightNum").cast("long") % 2 == 0).withColumn("DepDelay", F.lit("7"))
+    increment = C.transform_flights(half, load_ts="2001-08-02 06:00:00")
+    return J.incremental_load(t.spark, path, increment)["table"].select(*_CLEAN_COLS)

@@ -38,5 +38,10 @@ def all_string(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-# Raw BTS columns present in the landed files of this fixture.
+# The raw BTS columns of a full file (cleaning.BTS_COLUMN_MAP names
+# the warehouse column of each), and those in the landed files of this fixture.
+BTS_COLUMNS = ["FlightDate", "Carrier", "TailNum", "FlightNum", "OriginAirportID", "DestAirportID", "CRSDepTime",
+               "DepTime", "DepDelay", "CRSArrTime", "ArrTime", "ArrDelay", "Cancelled", "CancellationCode", "Diverted",
+               "CRSElapsedTime", "Distance", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay",
+               "LateAircraftDelay"]
 BTS_RAW_COLUMNS = ["FlightDate", "Carrier", "FlightNum", "TailNum", "DepTime", "DepDelay", "Cancelled"]

@@ -1,13 +1,14 @@
 """Session construction and shared-storage helpers.
 
 Every job reads the checkpoint root from the session (``spark.checkpoint.dir``
-or the SparkContext checkpoint dir). Only when neither is set -- local tests --
-do we create one, so on a cluster all staging, snapshots and lineage cuts land
-on the shared filesystem the cluster names.
+or the SparkContext checkpoint dir). Only a ``local[...]`` master without one
+gets a temporary folder; any other master without one is an error, so on a
+cluster all staging and lineage cuts land on the shared filesystem it names.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,7 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
     Reads ``spark.checkpoint.dir`` (or an already-set SparkContext checkpoint
-    dir). Sets a private one only when the session has none, as in tests.
+    dir). A ``local[...]`` session without one, as in tests, gets a private
+    folder; on any other master a missing setting raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +71,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir is not set on master {sc.master}: a shared folder is needed")
         configured = tempfile.mkdtemp(prefix="contrail-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
@@ -90,6 +94,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, on the pattern's own filesystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [f.getPath().toString() for f in found or []]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names in the first line of a CSV file or of a folder's first file."""
+    inside = [p for p in glob_paths(spark, f"{path}/*") if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    line = spark.read.text(sorted(inside)[0] if inside else path).first()
+    import csv
+    return tuple(c.strip() for c in next(csv.reader([line[0]]))) if line else ()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     checkpoint_root(df.sparkSession)

@@ -7,35 +7,59 @@ declares its schema, so nothing is inferred from a sample.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from contrail.schemas import all_string
+from contrail.session import csv_header, glob_paths
 
 # Weather data types kept from the long-form results.
 WEATHER_TYPES = ["AWND", "PRCP", "SNOW", "TMAX", "TMIN", "WDF2"]
 
 
-def bts_csv_glob(landing: str, month: str | None = None) -> str:
-    """``<landing>/month=YYYY_MM*`` folders of landed monthly CSV files."""
-    return f"{landing}/month={month or ''}*"
+def months_between(start: str, end: str) -> list[str]:
+    """``YYYY_MM`` of every month from ``start`` to ``end`` (ISO dates)."""
+    lo, hi = (int(d[:4]) * 12 + int(d[5:7]) - 1 for d in (start, end))
+    return [f"{m // 12:04d}_{m % 12 + 1:02d}" for m in range(lo, hi + 1)]
+
+
+def bts_csv_paths(spark: SparkSession, landing: str, months: list[str] | None = None) -> list[str]:
+    """Landed monthly files ``bts_otd_YYYY_MM*.csv`` (or folders of that name, as
+    Spark writes them) and ``month=YYYY_MM*`` folders, of the given months or of all."""
+    names = [f"{kind}{m}*{end}" for m in (months if months is not None else [""])
+             for kind, end in (("bts_otd_", ".csv"), ("month=", ""))]
+    found = {p for name in names for p in glob_paths(spark, f"{landing}/{name}")}
+    return sorted(found)
 
 
 def read_bts_csv(spark: SparkSession, landing: str, columns: list[str],
-                 flight_date: str | None = None) -> DataFrame:
-    """Monthly CSV files for the month of ``flight_date`` (or all months),
-    unioned by the multi-path reader, then one ``FlightDate`` kept.
+                 flight_date: str | None = None, months: list[str] | None = None) -> DataFrame:
+    """The landed files of ``months`` (``YYYY_MM``; else all) as text columns
+    chosen by header name; with ``flight_date`` its month's files and its rows.
 
-    A glob with no match raises ``PATH_NOT_FOUND``, like the missing-file
-    error of a local extractor.
+    Each file's header line is read first (files are few: one a month), files
+    with one header are one scan, and a file that lacks a column is an error.
+    Without a file of the asked months ``FileNotFoundError`` is raised.
     """
-    month = flight_date[:7].replace("-", "_") if flight_date else None
-    df = (spark.read.schema(all_string(columns)).option("header", True)
-          .option("mode", "PERMISSIVE").csv(bts_csv_glob(landing, month)))
     if flight_date:
-        df = df.filter(F.col("FlightDate") == flight_date)
-    return df
+        months = months_between(flight_date, flight_date)
+    paths = bts_csv_paths(spark, landing, months)
+    if not paths:
+        raise FileNotFoundError(f"no file of {f'{months[0]} to {months[-1]}' if months else 'any month'} in {landing}")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        header = csv_header(spark, path)
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        by_header.setdefault(header, []).append(path)
+    out = None
+    for header, same in by_header.items():
+        one = spark.read.schema(all_string(list(header))).option("header", True) \
+            .option("mode", "PERMISSIVE").csv(same).select(*columns)
+        out = one if out is None else out.unionByName(one)
+    return out.filter(F.col("FlightDate") == flight_date) if flight_date else out
 
 
 def read_record_envelopes(spark: SparkSession, path: str, record_schema: StructType,
@@ -75,9 +99,12 @@ def read_weather(spark: SparkSession, path: str, stations: list[str] | None = No
     return df
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, Observation]:
-    """Lake table read; its row count is observed during the first action
-    instead of by a separate ``count()`` scan."""
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+               where: Column | None = None) -> tuple[DataFrame, Observation]:
+    """Lake table read; the rows that ``where`` lets through are counted during
+    the first action instead of by a separate ``count()`` scan. The filter
+    stands below the observation, so it reaches the scan."""
     obs = Observation("rows_read")
-    df = spark.read.format(fmt).load(path).observe(obs, F.count(F.lit(1)).alias("rows"))
-    return df, obs
+    df = spark.read.format(fmt).load(path)
+    df = df if where is None else df.filter(where)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -1,16 +1,21 @@
 """Sinks: staging Parquet, load-by-name, table writes, partition replace, layout.
 
-Every write goes to shared storage; loads that replace data replace only the
-partitions present in the new data (dynamic partition overwrite), so a
-re-run of the same day is idempotent instead of appending duplicates.
+Every write goes to shared storage. A write replaces the partitions present in
+the new data (dynamic partition overwrite); a load of a whole range also removes
+the range's partitions that get no rows, so a re-run leaves just its own result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from contrail.session import delete_path, glob_paths
+
 # Upper bound on rows per written file (keeps files splittable when one
 # partition value is hot).
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -57,29 +62,53 @@ def write_table(df: DataFrame, table: str, path: str, mode: str = "append",
     df.write.mode(mode).format(fmt).option("path", path).saveAsTable(table)
 
 
-def partition_layout(df: DataFrame, partition_by: list[str]) -> DataFrame:
+def partition_layout(df: DataFrame, partition_by: list[str], sort_by: list[str] | None = None) -> DataFrame:
     """Rows arranged for a partitioned write.
 
     Range partitioning on (partition columns, row hash) gives each task a
     contiguous run of partition values, so the file count is about tasks +
     partition values instead of tasks x values, and the row hash splits a hot
     partition value over several tasks instead of funnelling it into one.
-    Sorting inside the task keeps one file open at a time.
+    Sorting inside the task keeps one file open at a time; ``sort_by`` orders
+    the rows of a partition further, so file statistics prune on it.
     """
     keys = [F.col(c) for c in partition_by]
     return (df.repartitionByRange(*keys, F.xxhash64(*[F.col(c) for c in df.columns]))
-            .sortWithinPartitions(*partition_by))
+            .sortWithinPartitions(*partition_by, *(sort_by or [])))
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
+                      sort_by: list[str] | None = None) -> None:
     """Partitioned lake write replacing only the partitions present in ``df``
     (dynamic partition overwrite): re-running a load is idempotent."""
-    (partition_layout(df, partition_by).write
+    (partition_layout(df, partition_by, sort_by).write
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .option("partitionOverwriteMode", "dynamic")
      .mode("overwrite").partitionBy(*partition_by).parquet(path))
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], covered: Callable[[str], bool],
+                       sort_by: list[str] | None = None) -> None:
+    """Partitioned write of all rows of a range of the first partition column:
+    partitions of that range that get no rows are removed. ``covered`` tells by
+    a first-column value (as text) whether it is in the range. New partitions
+    are written before stale ones go, so a failed run loses nothing."""
+    spark = df.sparkSession
+    before = glob_paths(spark, "/".join([path.rstrip("/"), *(f"{c}=*" for c in partition_by)]))
+    df = df.persist()
+    try:
+        write_partitioned(df, path, partition_by, sort_by)
+        # one row per partition of the range
+        kept = {tuple("__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in r)
+                for r in df.select(*partition_by).distinct().collect()}
+    finally:
+        df.unpersist()
+    for old in before:
+        values = tuple(unquote(part.split("=", 1)[1]) for part in old.split("/")[-len(partition_by):])
+        if covered(values[0]) and values not in kept:
+            delete_path(spark, old)
+
+
 def write_clustered(df: DataFrame, path: str, keys: list[str],
                     num_partitions: int | None = None) -> None:
     """Clustered layout: range partitioning on the keys plus a sort inside each

@@ -112,3 +112,15 @@ def test_scd2_same_day_second_change_replaces_version(spark):
     rows = sorted((r.tier, str(r.effective_date), str(r.expiry_date), r.is_current) for r in h2.collect())
     assert rows == [("Bronze", "2024-05-01", "9999-12-31", True),
                     ("Gold", "2020-01-01", "2024-05-01", False)]
+
+
+def test_upserts_take_one_feed_row_per_key_and_reject_null_keys(spark):
+    feed = spark.createDataFrame([("p1", "Gold", 2), ("p1", "Silver", 1), (None, "x", 3)], "pid string, tier string, at int")
+    hist = S.scd2_init(spark.createDataFrame([("p1", "Bronze")], "pid string, tier string"), "2024-01-01")
+    out = S.scd2_upsert(hist, feed, "pid", ["tier"], "2024-05-01", order=["at"])
+    assert sorted((r.tier, r.is_current) for r in out.collect()) == [("Bronze", False), ("Gold", True)]
+    again = S.scd2_upsert(out, feed, "pid", ["tier"], "2024-05-02", order=["at"])
+    assert again.count() == 2 and S.without_key(feed, "pid").count() == 1
+    tgt = spark.createDataFrame([("p1", "Bronze"), ("p2", "Tin")], "pid string, tier string")
+    got = {tuple(r) for r in S.scd1_upsert(tgt, feed, "pid", order=["at"]).collect()}
+    assert got == {("p1", "Gold"), ("p2", "Tin")}
