@@ -11,12 +11,14 @@
    that order and drop out.
 3. Pairs of a list pass a size test and an estimate from the union's sketch,
    and are confirmed on the full sets of both texts.
-4. Links make classes. A list whose nodes are all in one class needs no
-   further pairs. Short lists pair all their nodes at once; in a long one only
-   ``hubs`` nodes (those with the commonest hashes) are paired with the nodes
-   outside their class and then leave the list, with twice as many hubs in
-   each round, until no list spans two classes. So no link between classes is
-   lost, and a large group of near copies costs about one pair for each copy.
+4. Links make classes. Short lists pair all their nodes; a long one pairs its
+   hub, the node with the commonest hashes, with the others, so a large group
+   of near copies costs about one pair for each copy. A list whose nodes are
+   then in one class needs no more. The nodes of the other long lists, once
+   for all lists of a hub, are compared in blocks of ``block`` on their full
+   sets inside tasks, which give only links that join classes; a class that
+   fills blocks is not compared with itself. So no link between classes is
+   lost whatever a list's length.
 
 ``least_shared`` is 37 of 64 where 0.85 of the union's sketch is 54 on average
 (six standard deviations): a pair at exactly 0.85 is overlooked with a chance
@@ -33,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
@@ -43,7 +45,9 @@ WIDTH = 5
 PERCENT = 85
 K = 64
 LEAST_SHARED = 37
-SMALL_LIST = 8
+SMALL_LIST = 16
+BLOCK = 256
+COLUMNS = 8192          # shingles that a block's comparison holds at a time
 
 
 def shingle_set(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -148,8 +152,74 @@ def classes(links: DataFrame) -> DataFrame:
             return label
 
 
+def block_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes inside each group (ball, x, y) of the rows
+    (ball, x, y, node, class, text): a group is two blocks, so of bounded size.
+    Of a group's links those that join classes are enough."""
+    def joins(nodes: list[int], own: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        size = np.array([len(s) for s in sets])
+        values, place, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), size)
+        shared = n[place] > 1
+        column, row = (np.cumsum(n > 1) - 1)[place[shared]], row[shared]
+        inter = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        for at in range(0, int((n > 1).sum()), COLUMNS):
+            part = (column >= at) & (column < at + COLUMNS)
+            x = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+            x[row[part], column[part] - at] = 1
+            inter += x @ x.T
+        close = 100 * inter >= percent * (size[:, None] + size[None, :] - inter)
+        label, out = np.array(own), []
+        for i, j in zip(*np.nonzero(np.triu(close, 1))):
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                out.append((nodes[i], nodes[j]))
+        return out
+
+    def run(batches):
+        now, nodes, own, texts = None, [], [], []
+
+        def finish():
+            links = joins(nodes, own, text_sets(pa.array(texts, pa.large_string()), width)) if len(nodes) > 1 else []
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+
+        for batch in batches:
+            for ball, x, y, node, cls, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (ball, x, y) != now:
+                    yield from finish()
+                    now, nodes, own, texts = (ball, x, y), [], [], []
+                nodes.append(node)
+                own.append(cls)
+                texts.append(text)
+        yield from finish()
+
+    keys = ("ball", "x", "y")
+    dealt = rows.select(*keys, "node", "class", "text").repartition(*keys).sortWithinPartitions(*keys)
+    return map_arrow(dealt, run, "a long, b long")
+
+
+def balls(rows: DataFrame, block: int) -> DataFrame:
+    """(ball, x, y, node, class) of the lists' rows (h, node, weight, class, hub):
+    the nodes of all lists with one hub, once, in pairs of blocks. A class that
+    fills a block has blocks of its own, which need no pairs among them."""
+    member = rows.select(F.col("hub").alias("ball"), "node", "class").distinct()
+    sized = member.join(member.groupBy("ball", "class").agg(F.count("*").alias("of_class")), ["ball", "class"])
+    side = F.when(F.col("of_class") >= block, F.col("class")).otherwise(F.lit(-1))
+    sized = sized.withColumn("side", side)
+    sides = sized.groupBy("ball", "side").agg(F.ceil(F.count("*") / block).alias("parts"))
+    put = sized.join(sides, ["ball", "side"]).select(
+        "ball", "side", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "class")
+    put = stage(put.withColumn("z", F.struct("side", "part")), "balls")
+    blocks = put.groupBy("ball", "z").agg(F.count("*").alias("n")).drop("n")
+    pairs = blocks.select("ball", F.col("z").alias("x")).join(blocks.select("ball", F.col("z").alias("y")), "ball")
+    pairs = pairs.where((F.col("x") <= F.col("y")) & ((F.col("x.side") != F.col("y.side")) | (F.col("x.side") == -1)))
+    ends = pairs.select("ball", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("z"))
+    return ends.join(put.select("ball", "z", "node", "class"), ["ball", "z"]).select("ball", "x", "y", "node", "class")
+
+
 def linked(lists: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, least_shared: int, width: int,
-           percent: int, small: int) -> DataFrame:
+           percent: int, small: int, block: int) -> DataFrame:
     """(node, class) of all nodes with links. ``lists`` are (h, node, weight, n)
     with n the list's length. Pairs (a, b) have the node of greater weight, that
     is a list's hub, first."""
@@ -158,43 +228,25 @@ def linked(lists: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, least_s
     later = F.transform("m", lambda x: F.struct(x["node"].alias("a"), F.filter("m", lambda y: y > x).alias("bs")))
     pairs = few.select(F.explode(later).alias("p")).select("p.a", F.explode("p.bs.node").alias("b"))
     many = lists.where(F.col("n") > small).select("h", "node", "weight")
-    links = label = tried = None
-    hubs = 1
-    while True:
-        if label is None:
-            rows = many.withColumn("class", F.col("node"))
-        else:
-            rows = many.join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
-            spread = rows.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-            rows = stage(rows.join(spread.select("h"), "h", "left_semi"), "lists")
-            if rows.limit(1).count() == 0:
-                return label
-        order = Window.partitionBy("h").orderBy(F.desc("weight"), "node")
-        hub = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= hubs)
-        hub = hub.select("h", F.col("node").alias("hub"), F.col("class").alias("hub_class"),
-                         F.col("weight").alias("hub_weight"))
-        near = rows.join(hub, "h").where("node <> hub and class <> hub_class")
-        first = (F.col("hub_weight") > F.col("weight")) | ((F.col("hub_weight") == F.col("weight"))
-                                                          & (F.col("hub") < F.col("node")))
-        found = near.select(F.when(first, F.col("hub")).otherwise(F.col("node")).alias("a"),
-                            F.when(first, F.col("node")).otherwise(F.col("hub")).alias("b"))
-        found = (found.union(pairs) if tried is None else found).distinct()
-        if tried is not None:
-            found = found.join(tried, ["a", "b"], "left_anti")
-        found = stage(found, "pairs")
-        tried = found if tried is None else tried.union(found)
-        new = confirmed(estimated(found, nodes, k, least_shared, percent), texts, width, percent)
-        links = stage(new if links is None else links.union(new), "links")
-        label = classes(links)
-        # a hub has met its whole list
-        many = rows.select("h", "node", "weight").join(hub.select("h", F.col("hub").alias("node")), ["h", "node"],
-                                                       "left_anti")
-        hubs *= 2
+    hub = many.groupBy("h").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("x"))
+    many = stage(many.join(hub.select("h", F.col("x.node").alias("hub")), "h"), "lists")
+    spokes = many.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    found = stage(pairs.union(spokes).distinct(), "pairs")
+    links = stage(confirmed(estimated(found, nodes, k, least_shared, percent), texts, width, percent), "links")
+    label = classes(links)
+    # long lists whose nodes are in several classes yet
+    rows = many.join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    spread = rows.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
+    rows = stage(rows.join(spread.select("h"), "h", "left_semi"), "lists")
+    if rows.limit(1).count() == 0:
+        return label
+    more = block_links(balls(rows, block).join(texts, "node"), width, percent)
+    return classes(stage(links.union(more), "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
                     least_shared: int = LEAST_SHARED, width: int = WIDTH, percent: int = PERCENT,
-                    small: int = SMALL_LIST) -> DataFrame:
+                    small: int = SMALL_LIST, block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, content (a hash of its text), n_shingles, class (null for
     an empty set), component_id, kept."""
     rows = stage(signatures(docs, id_col, text_col, k, width), "signatures")
@@ -211,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("d"), text.alias("text"), F.xxhash64(text).alias("c"))
     texts = source.join(wanted, (F.col("c") == F.col("content")) & F.col("d").eqNullSafe(F.col("doc_id")))
     texts = stage(texts.select("node", "text").dropDuplicates(["node"]), "texts")
-    label = linked(lists, nodes, texts, k, least_shared, width, percent, small)
+    label = linked(lists, nodes, texts, k, least_shared, width, percent, small, block)
     named = nodes.join(label, "node", "left").select("set_key", F.coalesce("class", "node").alias("class"),
                                                      F.col("doc_id").alias("least_id"))
     named = stage(named, "named")

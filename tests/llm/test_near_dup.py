@@ -59,17 +59,32 @@ def corpus(seed):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed,small", [(1, 8), (2, 1)])
-def test_against_all_pairs(spark, seed, small):
+@pytest.mark.parametrize("seed,small,block", [(1, 8, 256), (2, 1, 3), (3, 2, 256)])
+def test_against_all_pairs(spark, seed, small, block):
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    out = N.near_duplicates(docs, small=small).collect()
+    out = N.near_duplicates(docs, small=small, block=block).collect()
     want = brute(rows)
     assert len(out) == len(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_window_hashes_tell_orders_apart():
+    import itertools
+
+    import numpy as np
+
+    from contrail.llm import words as W
+    two = np.array([0x1234567890ABCDEF, 0xFEDCBA0987654321], dtype=np.uint64)
+    for width in (5, 25):
+        rng = random.Random(width)
+        orders = (list(itertools.product([0, 1], repeat=5)) if width == 5
+                  else [tuple(rng.choices([0, 1], k=width)) for _ in range(3000)])
+        seen = {o: int(W.window_hashes(two[list(o)], width)[0]) for o in orders}
+        assert len(set(seen.values())) == len(seen)
+
+
 def test_classes_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r["class"] for r in N.classes(links).collect()}
