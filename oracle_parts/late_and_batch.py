@@ -1,24 +1,8 @@
 """Oracle SQL: the daily batch's KPIs, and the stream state after late data."""
 
-from oracle_sql import ROUTED, add, dround, exact_avg_round, r6
+from oracle_sql import add, r6, route_kpi_sql
 
-add("batch_run", f"""
-WITH {ROUTED},
-k AS (
-  SELECT airline_code, origin_iata, dest_iata, COUNT(*) AS total_flights,
-    CAST(SUM(CASE WHEN arr_delay_min > 15 THEN 1 ELSE 0 END) AS BIGINT) AS delayed_flights,
-    CAST(SUM(CAST(is_cancelled AS INT)) AS BIGINT) AS cancelled,
-    AVG(arr_delay_min) AS avg_arr_delay, AVG(dep_delay_min) AS avg_dep_delay,
-    SUM(load_factor * 100) AS lf_scaled, COUNT(load_factor) AS lf_n,
-    SUM(total_revenue) AS total_revenue, AVG(distance_miles) AS avg_distance
-  FROM routed WHERE date_key = 19960614 GROUP BY 1, 2, 3)
-SELECT airline_code, origin_iata, dest_iata, total_flights, delayed_flights, cancelled,
-  {r6("avg_arr_delay")} AS avg_arr_delay, {r6("avg_dep_delay")} AS avg_dep_delay,
-  {exact_avg_round("lf_scaled", "lf_n", 2, 6)} AS avg_load_factor,
-  CAST(total_revenue AS DOUBLE) AS total_revenue, {r6("avg_distance")} AS avg_distance,
-  {dround("100.0::DOUBLE * (total_flights - delayed_flights - cancelled) / total_flights", 2)} AS on_time_pct,
-  19960614 AS date_key
-FROM k""", "fact_flight", "dim_airport")
+add("batch_run", route_kpi_sql("WHERE date_key = 19960614", ", 19960614 AS date_key"), "fact_flight", "dim_airport")
 
 add("stream_late_data", f"""
 WITH ev AS (
