@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from contrail.plans.ranking import distributed_ntile, global_index
 
 UNBOUNDED = Window.unboundedPreceding
+# Rows of the global index that one window task sorts at a time.
+FRAME_BLOCK = 1 << 17
 
 
 def running_sum(df: DataFrame, value: str, partition: list[str], order: list[str],
@@ -140,11 +142,10 @@ def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list,
     one task; ``partition`` may be empty.
 
     Rows get a dense index in (partition, order) order (range partitioned, see
-    plans.ranking). Each row then contributes its value to the
-    ``before + after + 1`` positions whose frame contains it; grouping by
-    (target position, partition) and joining back on the unique position gives
-    the frame. Work is ``(before + after + 1) x`` a narrow projection,
-    independent of key skew. ``order`` must make the order total.
+    plans.ranking), which is cut into blocks of ``FRAME_BLOCK`` rows. Only the
+    ``before`` last and ``after`` first rows of a block are copied to its
+    neighbour, and one plain window runs per block, so no task sorts more than
+    a block of a hot partition. ``order`` must make the order total.
 
     With ``key`` (unique row key columns; ``order`` given as names) only the
     partition, order, key and value columns are indexed and the result is
@@ -158,16 +159,14 @@ def rows_frame_avg(df: DataFrame, value: str, partition: list[str], order: list,
         cond = [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in key]
         return df.join(res, cond, "left").select(*df.columns, out)
     idx = global_index(df, [*partition, *order], "_rf_rn")
-    parts = [F.col(p) for p in partition]
-    contrib = (idx.select(*parts, "_rf_rn", F.col(value).alias("_rf_v"))
-               .withColumn("_rf_i", F.explode(F.sequence(F.lit(-after), F.lit(before))))
-               .select(*parts, (F.col("_rf_rn") + F.col("_rf_i")).alias("_rf_rn"), "_rf_v"))
-    frame = (contrib.groupBy(*partition, "_rf_rn").agg(F.avg("_rf_v").alias(out))
-             .withColumnsRenamed({p: f"_rf_p_{p}" for p in partition}))
-    cond = [F.col("_rf_rn") == F.col("_rf_t")] + \
-        [F.col(p).eqNullSafe(F.col(f"_rf_p_{p}")) for p in partition]
-    return (idx.join(frame.withColumnRenamed("_rf_rn", "_rf_t"), cond, "left")
-            .select(*df.columns, out))
+    size = max(FRAME_BLOCK, before, after, 1)
+    own = F.floor(F.col("_rf_rn") / size)
+    needed = F.array_distinct(F.array(own, F.floor((F.col("_rf_rn") + before) / size),
+                                      F.floor((F.col("_rf_rn") - after) / size)))
+    w = Window.partitionBy("_rf_b", *partition).orderBy("_rf_rn").rowsBetween(-before, after)
+    return (idx.withColumn("_rf_b", F.explode(needed))
+            .withColumn(out, F.avg(value).over(w))
+            .filter(F.col("_rf_b") == own).select(*df.columns, out))
 
 
 def day_range_avg(df: DataFrame, value: str, partition: list[str], day: str, days_before: int,

@@ -8,6 +8,8 @@ sink, whose latest-per-key view is returned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +46,24 @@ def land_messages(t: Tables, path: str) -> None:
         .write.mode("overwrite").text(path)
 
 
-def land_time_slices(t: Tables, path: str, slices: int = SLICES) -> None:
-    """Messages in ``slices`` equal time ranges, one file each, written in time
-    order (so the file source, which orders by modification time, replays
-    them in event-time order, as a Kafka topic would deliver them)."""
-    m = event_messages(t)
+def time_slices(t: Tables, path: str, slices: int = SLICES) -> Iterator[None]:
+    """Lands the messages slice by slice of equal time ranges, in event-time
+    order as a topic would deliver them; the caller runs its query after each.
+    The messages are made once, and a slice is as many files as it has tasks."""
+    staged = shared_path(t.spark, "stream", "staged")
+    event_messages(t).write.parquet(staged)
+    m = t.spark.read.parquet(staged)
     lo, hi = m.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return
     step = (hi - lo) / slices
     for i in range(slices):
         start = lo + step * i
         cond = F.col("ts") >= F.lit(start)
         if i < slices - 1:
             cond = cond & (F.col("ts") < F.lit(start + step))
-        (m.filter(cond).sortWithinPartitions("ts").coalesce(1).select("value")
-         .write.mode("overwrite" if i == 0 else "append").text(path))
+        m.filter(cond).select("value").write.mode("append").text(path)
+        yield
 
 
 def _ntz(df: DataFrame) -> DataFrame:
@@ -94,11 +100,11 @@ def stream_sink_upsert(t: Tables) -> DataFrame:
     """Several micro-batches (one time slice each) in update mode: windows are
     re-emitted as they change and the sink keeps the latest version."""
     src = shared_path(t.spark, "stream", "flight_events_sliced")
-    land_time_slices(t, src)
     sink = UpsertSink(shared_path(t.spark, "sinks", "airport_kpi"), KPI_KEYS)
-    qy = start_upsert(SK.windowed_kpis(SK.file_events(t.spark, src, max_files_per_trigger=1)), sink,
-                      shared_path(t.spark, "checkpoints", "airport_kpi"), available_now=True)
-    qy.awaitTermination()
+    checkpoint = shared_path(t.spark, "checkpoints", "airport_kpi")
+    for _ in time_slices(t, src):
+        start_upsert(SK.windowed_kpis(SK.file_events(t.spark, src)), sink, checkpoint,
+                     available_now=True).awaitTermination()
     return _ntz(sink.read(t.spark))
 
 
@@ -132,12 +138,12 @@ def stream_source(t: Tables) -> DataFrame:
     """The decoded event stream itself, appended batch by batch to the sink
     folder (every event once; keys are unique event ids)."""
     src = shared_path(t.spark, "stream", "flight_events_raw")
-    land_time_slices(t, src)
     sink = UpsertSink(shared_path(t.spark, "sinks", "flight_events"), ["event_id"])
-    events = SK.file_events(t.spark, src, max_files_per_trigger=1)
-    (events.writeStream.foreachBatch(sink).outputMode("append")
-     .option("checkpointLocation", shared_path(t.spark, "checkpoints", "flight_events"))
-     .trigger(availableNow=True).start().awaitTermination())
+    checkpoint = shared_path(t.spark, "checkpoints", "flight_events")
+    for _ in time_slices(t, src):
+        events = SK.file_events(t.spark, src)
+        (events.writeStream.foreachBatch(sink).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     out = sink.read(t.spark)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz")
                             for c in ("event_ts", "sched_dep_ts", "actual_dep_ts")})

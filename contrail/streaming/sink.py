@@ -11,12 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from contrail.session import glob_paths
 
 
 class UpsertSink:
-    def __init__(self, path: str, keys: list[str]):
+    def __init__(self, path: str, keys: list[str], schema: StructType | None = None):
+        """``schema`` is what ``read`` returns, without rows, before any batch was written."""
         self.path = path.rstrip("/")
         self.keys = keys
+        self.schema = schema
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -31,6 +36,8 @@ class UpsertSink:
     def read(self, spark: SparkSession) -> DataFrame:
         """Latest version of every key (per-key ``max_by`` on the batch id,
         a partial aggregate)."""
+        if self.schema is not None and not glob_paths(spark, f"{self.path}/batch_id=*"):
+            return spark.createDataFrame([], self.schema)
         df = spark.read.parquet(self.path).drop("batch_id")
         others = [c for c in df.columns if c not in self.keys and c != "_written_batch"]
         return (df.groupBy(*self.keys)

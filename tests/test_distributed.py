@@ -107,12 +107,18 @@ def test_percent_rank_global_matches(spark):
 def test_route_ranking_distributed_equals_single_task(spark):
     from conftest import MEDIUM
     from contrail.fixtures import tables
+    from contrail.operators import aggregates as agg
     from contrail.plans import reports as R
     t = tables(spark, MEDIUM)
     cols = ["origin", "destination", "airline_code", "revenue_percentile", "load_percentile",
             "rpm_percentile", "smoothed_revenue"]
-    a = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, 1996, distributed=True).select(*cols)
-    b = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, 1996, distributed=False).select(*cols)
+    a = R.route_ranked(t.fact_flight, t.dim_airport, t.dim_airline, 1996).select(*cols)
+    plain = agg.route_metrics(t.fact_flight, t.dim_airport, t.dim_airline, 1996)
+    for col, out in (("total_revenue", "revenue"), ("avg_load_factor", "load"), ("revenue_per_mile", "rpm")):
+        w = Window.orderBy(F.col(col).desc_nulls_last())
+        plain = plain.withColumn(f"{out}_percentile", F.percent_rank().over(w))
+    near = Window.orderBy("total_miles", "origin", "destination", "airline_code").rowsBetween(-3, 3)
+    b = plain.withColumn("smoothed_revenue", F.avg("total_revenue").over(near)).select(*cols)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -160,3 +166,13 @@ def test_top_n_keyed_path_matches(spark):
     b = win.top_n_per_group(df, ["grp"], order, 4, "rn")
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_rows_frame_over_many_blocks_matches_window(spark, monkeypatch):
+    monkeypatch.setattr(win, "FRAME_BLOCK", 10)
+    df = _skewed(spark)
+    for parts in ([], ["grp"]):
+        got = win.rows_frame_avg(df, "v", parts, ["day", "k"], 7, "c", after=2)
+        w = Window.partitionBy(*parts).orderBy("day", "k").rowsBetween(-7, 2)
+        j = got.join(df.withColumn("ref", F.avg("v").over(w)).select("k", "ref"), "k")
+        assert j.count() == df.count() and j.filter(~F.col("c").eqNullSafe(F.col("ref"))).count() == 0
