@@ -145,11 +145,12 @@ LOAD_TARGET = (StructType().add("flight_date", "date").add("flight_number", "str
 def sink_match_by_name(t: Tables) -> DataFrame:
     """Cleaned flights with upper-case names and an extra column, loaded by
     name into a target that also has a column the source lacks."""
-    clean = C.transform_flights(t.bts_raw)
+    clean = C.transform_flights(t.bts_raw).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
     src = clean.select(*[F.col(c).alias(c.upper()) for c in clean.columns])
     path = shared_path(t.spark, "warehouse", "fact_flight_load")
-    K.load_by_name(src, path, LOAD_TARGET, partition_by=["date_key"])
-    return t.spark.read.parquet(path)
+    target = StructType(LOAD_TARGET.fields).add("month_key", "integer")
+    K.load_by_name(src, path, target, partition_by=["month_key"])
+    return t.spark.read.parquet(path).drop("month_key")
 
 
 @q("sink_table_mode")
