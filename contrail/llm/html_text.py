@@ -3,7 +3,8 @@
 A page's elements and text blocks form a tree. Each node is in one of three
 states: structure (holds content somewhere below), content, boilerplate.
 Parent-child potentials connect the nodes; each node's tag, class words and
-text measures are its evidence. One pass upward and one downward of
+text measures are its evidence: words and tags that name boilerplate (comments,
+menus, notices) all but settle it, a page that is one big form does not. One pass upward and one downward of
 sum-product messages give every node's marginal, and the text blocks that are
 more likely content than not are the page's text, in page order.
 
@@ -47,11 +48,9 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table".split())
-KNOWN = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td "
-                  "th blockquote pre nav header footer aside form menu dialog figure figcaption center "
-                  "details summary fieldset address".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
+TELLING_TAGS = BOILER_TAGS | CONTENT_TAGS | frozenset("html body p h1 blockquote pre".split())
 BOILER_WORDS = frozenset("""ad ads adv advert advertisement banner sponsor sponsored promo promotion nav navbar
 navigation menu header footer sidebar aside side breadcrumb breadcrumbs cookie cookies consent gdpr notice notification
 alert popup modal overlay comment comments disqus reply replies respond discussion related recommended share sharing
@@ -66,8 +65,10 @@ MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 STRUCTURE, CONTENT, BOILER = 0, 1, 2
-# Pseudo-counts of child states by parent state, and of the top node's state.
-MOVES = ((10.0, 5.0, 30.0), (0.01, 100.0, 8.0), (0.01, 0.5, 100.0))
+# Pseudo-counts of child states by parent state, for children that are marked as
+# boilerplate and for others, and of the top node's state.
+MOVES = {"marked": ((0.1, 0.1, 30.0), (0.1, 0.1, 30.0), (0.001, 0.001, 100.0)),
+         "plain": ((10.0, 5.0, 30.0), (0.001, 100.0, 0.05), (0.001, 0.001, 100.0))}
 START = (0.98, 0.01, 0.01)
 
 
@@ -97,10 +98,13 @@ class Page:
         if attributes:
             for m in MARKED.finditer(attributes):
                 words.update(w.lower() for w in WORDS.findall(m.group(1) or m.group(2) or m.group(3) or ""))
-        hint = "boiler" if words & BOILER_WORDS else "content" if words & CONTENT_WORDS else "none"
+        good, bad = words & CONTENT_WORDS, words & BOILER_WORDS
+        hint = "none" if bool(good) == bool(bad) else "boiler" if bad else "content"
         mark = BOILER if tag in BOILER_TAGS or hint == "boiler" else CONTENT if tag in CONTENT_TAGS else None
-        seen = "section" if tag in CONTENT_TAGS and hint == "boiler" else tag if tag in KNOWN else "other"
-        return self._node(parent, tag, (("tag", seen), ("hint", hint)), None, mark)
+        # boxes, lists and tables stand in menus and texts alike: no evidence by themselves
+        tells = tag in TELLING_TAGS and not (tag in CONTENT_TAGS and hint == "boiler")
+        own = (("tag", tag), ("hint", hint)) if tells else (("hint", hint),)
+        return self._node(parent, tag, own, None, mark)
 
     def _parse(self, source: str) -> None:
         root = self._node(-1, "html", (("tag", "html"), ("hint", "none")), None, None)
@@ -204,6 +208,10 @@ class Page:
                 stack.append((tag, self._element(stack[-1][1], tag, attributes)))
         flush()
 
+    def edge(self, i: int) -> str:
+        """The kind of the potential between a node and its parent."""
+        return "marked" if self.marks[i] == BOILER else "plain"
+
     def labels(self) -> list[int] | None:
         """Every node's state by the page's own marks; None if it marks no content."""
         n = len(self.parent)
@@ -231,14 +239,13 @@ class Page:
 def prior() -> Counter:
     """Pseudo-counts of evidence by state."""
     out: Counter = Counter()
-    for tag in KNOWN | {"other"}:
-        odds = ((0.1, 0.5, 50) if tag in BOILER_TAGS else (0.5, 20, 0.1) if tag in CONTENT_TAGS
-                else (20, 0.1, 0.1) if tag in ("html", "body") else (5, 3, 5) if tag in ("div", "section", "center")
-                else (0.5, 10, 1) if tag == "h1"
-                else (0.5, 8, 4) if tag in ("p", "h2", "h3", "blockquote", "pre") else (0.5, 3, 4))
+    for tag in TELLING_TAGS:
+        odds = ((1e-4, 1e-4, 50) if tag in ("form", "fieldset") else (1e-9, 1e-9, 50) if tag in BOILER_TAGS
+                else (0.005, 20, 0.1) if tag == "article" else (0.5, 20, 0.1) if tag == "main" else (20, 0.1, 0.1) if tag in ("html", "body")
+                else (0.5, 10, 1) if tag == "h1" else (0.5, 8, 4))
         for state, n in enumerate(odds):
             out["tag", tag, state] = n
-    for key, odds in {("hint", "none"): (50, 100, 60), ("hint", "content"): (8, 20, 1), ("hint", "boiler"): (0.1, 0.2, 50),
+    for key, odds in {("hint", "none"): (50, 100, 60), ("hint", "content"): (8, 20, 1), ("hint", "boiler"): (1e-9, 1e-9, 50),
                       ("size", "short"): (1, 15, 40), ("size", "line"): (1, 8, 20), ("size", "some"): (1, 20, 8),
                       ("size", "long"): (1, 40, 3), ("link", "none"): (1, 50, 20), ("link", "part"): (1, 10, 5),
                       ("link", "most"): (1, 2, 40), ("stop", "stop"): (1, 40, 15), ("stop", "open"): (1, 20, 40)}.items():
@@ -257,7 +264,7 @@ def page_counts(source: str) -> Counter:
         for name, value in page.evidence[i]:
             out[name, value, state] += 1
         if i:
-            out["move", str(label[page.parent[i]]), state] += 1
+            out["move", f"{page.edge(i)} {label[page.parent[i]]}", state] += 1
     return out
 
 
@@ -275,7 +282,8 @@ class Model:
     labelled pages' odds."""
 
     def __init__(self, counts: Counter | dict):
-        fixed = {**prior(), **{("move", str(up), s): MOVES[up][s] for up in range(3) for s in range(3)}}
+        fixed = {**prior(), **{("move", f"{kind} {up}", s): rows[up][s] for kind, rows in MOVES.items()
+                               for up in range(3) for s in range(3)}}
         fixed, learned = shares(fixed), shares(dict(counts))
         counted = {(k[0], k[1]) if k[0] == "move" else (k[0], k[2]) for k in learned}
 
@@ -283,9 +291,10 @@ class Model:
             own, key = fixed[name, value, state], (name, value, state)
             if ((name, value) if name == "move" else (name, state)) in counted:
                 own = (own + learned.get(key, 0.0)) / 2
-            return max(own, 1e-6)
+            return max(own, 1e-12)
 
-        self.move = [tuple(odds("move", str(up), s) for s in range(3)) for up in range(3)]
+        self.move = {kind: [tuple(odds("move", f"{kind} {up}", s) for s in range(3)) for up in range(3)]
+                     for kind in MOVES}
         self.likely = {(name, value): tuple(odds(name, value, s) for s in range(3))
                        for name, value, _ in fixed if name != "move"}
         for key, (_, *rest) in self.likely.items():
@@ -294,7 +303,8 @@ class Model:
 
     def marginals(self, page: Page) -> list[tuple[float, float, float]]:
         """Sum-product: messages from the leaves up, then from the top down."""
-        n, parent, move, likely = len(page.parent), page.parent, self.move, self.likely
+        n, parent, likely = len(page.parent), page.parent, self.likely
+        moves = [self.move[page.edge(i)] for i in range(n)]
         below: list[list[float]] = []
         for evidence in page.evidence:
             a = b = c = 1.0
@@ -307,7 +317,7 @@ class Model:
             a, b, c = below[i]
             s = a + b + c
             a, b, c = below[i] = [a / s + 1e-30, b / s + 1e-30, c / s + 1e-30]
-            x, y, z = (r[0] * a + r[1] * b + r[2] * c for r in move)
+            x, y, z = (r[0] * a + r[1] * b + r[2] * c for r in moves[i])
             up[i] = (x, y, z)
             q = below[parent[i]]
             q[0] *= x
@@ -323,7 +333,7 @@ class Model:
                 x, y, z = out[parent[i]]
                 u, v, w = up[i]
                 x, y, z = x / u, y / v, z / w      # the parent's belief without this child
-                (r0, r1, r2), (s0, s1, s2), (t0, t1, t2) = move
+                (r0, r1, r2), (s0, s1, s2), (t0, t1, t2) = moves[i]
                 a, b, c = (a * (x * r0 + y * s0 + z * t0), b * (x * r1 + y * s1 + z * t1),
                            c * (x * r2 + y * s2 + z * t2))
             else:

@@ -25,7 +25,7 @@ def brute(model, page):
             for key in page.evidence[i]:
                 p *= model.likely[key][s]
             if i:
-                p *= model.move[states[page.parent[i]]][s]
+                p *= model.move[page.edge(i)][states[page.parent[i]]][s]
         for i, s in enumerate(states):
             total[i][s] += p
     return [[x / sum(row) for x in row] for row in total]
@@ -85,3 +85,18 @@ def test_edge_rows(spark):
     out = H.extract_pages(pages, H.train(pages)).collect()
     assert sorted((r.n_chars for r in out)) == [0, 0, 0, 0, len(TEXT) - 1, len(TEXT) - 1]
     assert H.extract_pages(pages.limit(0), H.train(pages.limit(0))).count() == 0
+
+
+def test_boilerplate_inside_and_after_the_article():
+    inner = f"""<h1>Title</h1><p>{TEXT}</p><p>Short.</p><ul><li>one</li><li><a href=1>two</a></li></ul><div class="ad">Buy</div>
+    <form><label>Mail</label></form><aside><p>{TEXT}</p><p>{TEXT}</p></aside><div class="share"><a href=1>Tweet</a></div>
+    <section class="comments"><h3>Comments</h3><p>{TEXT}</p><p>{TEXT}</p><p>nice</p></section>"""
+    after = f'<div id="comments"><p>{TEXT * 2}</p><p>{TEXT}</p></div><div class="cookie">{TEXT}</div>'
+    pages = [f"<body><nav><a href=x>Home</a></nav><article>{inner}</article>{after}<footer>c</footer></body>"] * 2
+    for model in (MODEL, H.Model(sum((H.page_counts(p) for p in pages), H.Counter()))):
+        assert model.extract(pages[0]).split("\n\n") == ["Title", TEXT.strip(), "Short.", "one", "two"]
+
+
+def test_a_page_inside_one_form():
+    source = f"<body><form><div><h1>Title</h1><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p></div></form></body>"
+    assert MODEL.extract(source).count(TEXT.strip()) == 4
