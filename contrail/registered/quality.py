@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from contrail.catalog import calendar, q
+from contrail.catalog import calendar, clock, event_legs, q
 from contrail.fixtures import Tables
 from contrail.functions import coerce, dates
 from contrail.operators import cleaning as C
@@ -142,7 +142,14 @@ def chk_fk_orphans(t: Tables) -> DataFrame:
         ("dest_airport_key", t.dim_airport, "airport_key", "fact_flight.dest_airport_key"),
         ("aircraft_key", t.dim_aircraft, "aircraft_key", "fact_flight.aircraft_key"),
     ])
-    bookings = I.fk_orphans(t.fact_reservation, "passenger_key", t.dim_passenger, "passenger_key",
-                            "fact_reservation.passenger_key")
-    return flights.unionByName(bookings)
+    bookings = I.fk_orphans_multi(t.fact_reservation, [
+        ("passenger_key", t.dim_passenger, "passenger_key", "fact_reservation.passenger_key"),
+        ("date_key", calendar(t), "date_key", "fact_reservation.date_key"),
+        ("airline_code", t.dim_airline, "airline_code", "fact_reservation.airline_code"),
+    ])
+    departures = I.fk_orphans_multi(event_legs(t), [
+        ("dep_time_key", clock(t), "time_key", "flight_events.dep_time_key"),
+        ("origin_airport_key", t.dim_airport, "airport_key", "flight_events.origin_airport_key"),
+    ])
+    return flights.unionByName(bookings).unionByName(departures)
 
