@@ -107,3 +107,17 @@ def test_query_equals_sql(spark):
     from oracle_harness import compare
     problems, n, _ = compare(spark, KEY, QUERIES[KEY], ORACLE[KEY], MEDIUM)
     assert not problems and n == 1000
+
+
+def test_words_are_split_at_six_characters_only():
+    import re
+
+    import pyarrow as pa
+
+    from contrail.llm import words as W
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab\x00\x08\t\n\x0b\x0c\r\x0e\x1c\x1f \x85\xa0 éÀK", k=rng.randint(0, 12)))
+        flat, offsets = W.split_words(pa.array([text, "x"]))
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        assert flat.to_pylist()[:offsets[1]] == [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
