@@ -148,7 +148,7 @@ def sink_match_by_name(t: Tables) -> DataFrame:
     clean = C.transform_flights(t.bts_raw).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
     src = clean.select(*[F.col(c).alias(c.upper()) for c in clean.columns])
     path = shared_path(t.spark, "warehouse", "fact_flight_load")
-    target = StructType(LOAD_TARGET.fields).add("month_key", "integer")
+    target = StructType([*LOAD_TARGET.fields]).add("month_key", "integer")
     K.load_by_name(src, path, target, partition_by=["month_key"])
     return t.spark.read.parquet(path).drop("month_key")
 
