@@ -4,7 +4,7 @@
    sequence). Texts with equal sets are one *node*; its sketch is the ``k``
    smallest hashes of the set.
 2. Inverted lists: a hash that several sketches retain lists their nodes. Two
-   sets with similarity 0.85 or more share at least ``least_shared`` retained
+   sets with similarity ``percent`` or more share at least ``least_shared`` retained
    hashes, so with one order of hashes (rarest first) they meet in a list even
    if each node is listed only under its first ``size - least_shared + 1``
    hashes. Hashes that many texts share, as of a common passage, come last in
@@ -20,9 +20,10 @@
    fills blocks is not compared with itself. So no link between classes is
    lost whatever a list's length.
 
-``least_shared`` is 37 of 64 where 0.85 of the union's sketch is 54 on average
-(six standard deviations): a pair at exactly 0.85 is overlooked with a chance
-near 1e-8; sets of up to 64 shingles are compared exactly.
+``least_shared`` follows from ``percent`` and ``k``, six standard deviations below
+the average: 32 of 64 where 0.80 of the union's sketch is 51 on average, 37 where
+0.85 is 54. So a pair at exactly ``percent`` is overlooked with a chance near
+1e-8; sets of up to 64 shingles are compared exactly.
 
 Null and empty texts have an empty set and are linked with nothing. Rows are
 never dropped: repeated rows and null ids get a row each. Empty tables give no
@@ -42,14 +43,21 @@ from contrail.llm import words as W
 from contrail.llm.common import map_arrow, stage
 
 WIDTH = 5
-PERCENT = 85
+PERCENT = 85            # the op1 query's contract
+WORD_PERCENT = 80       # of stages on word shingles
 K = 64
-LEAST_SHARED = 37
 SMALL_LIST = 16
 BLOCK = 256
 COLUMNS = 8192          # shingles that a block's comparison holds at a time
 
 
+def least_of(percent: int, k: int) -> int:
+    """The retained hashes that two sets of this similarity share at least: six
+    standard deviations below the average."""
+    p = percent / 100
+    return max(1, int(k * p - 6 * (k * p * (1 - p)) ** 0.5))
+
+
 def shingle_set(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """The sorted distinct shingle hashes (signed) of one text's word hashes."""
     if len(hashes) == 0:
@@ -245,10 +253,11 @@ def linked(lists: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, least_s
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
-                    least_shared: int = LEAST_SHARED, width: int = WIDTH, percent: int = PERCENT,
+                    least_shared: int | None = None, width: int = WIDTH, percent: int = PERCENT,
                     small: int = SMALL_LIST, block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, content (a hash of its text), n_shingles, class (null for
     an empty set), component_id, kept."""
+    least_shared = least_of(percent, k) if least_shared is None else least_shared
     rows = stage(signatures(docs, id_col, text_col, k, width), "signatures")
     nodes = rows.where("n_shingles > 0").groupBy("set_key").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("r"),

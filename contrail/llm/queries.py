@@ -98,7 +98,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_bottom_k_near_duplicates")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.near_dup import near_duplicates
-    return near_duplicates(read_table(spark, sf_dir, "documents")).select(
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 

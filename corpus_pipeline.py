@@ -22,9 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
-    from contrail.llm.near_dup import keep_one_each
-    return keep_one_each(docs)
+    """One document of each class of near duplicates (80 % of their word shingles)."""
+    from contrail.llm.near_dup import WORD_PERCENT, keep_one_each
+    return keep_one_each(docs, percent=WORD_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

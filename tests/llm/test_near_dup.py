@@ -121,3 +121,21 @@ def test_words_are_split_at_six_characters_only():
         flat, offsets = W.split_words(pa.array([text, "x"]))
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
         assert flat.to_pylist()[:offsets[1]] == [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
+
+
+def test_pipeline_stage_drops_copies_of_80_percent(spark):
+    import corpus_pipeline
+    words = [f"w{k}" for k in range(204)]                       # 200 shingles
+    copy = words[:50] + ["x"] + words[51:100] + ["y"] + words[101:150] + ["z"] + words[151:]   # 185 of 215: 0.86
+    near = copy[:180] + ["v"] + copy[181:]                      # 180 of 220: 0.818
+    rows = [(1, " ".join(words)), (2, " ".join(near))]
+    a, b = (shingles(t) for _, t in rows)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [1]
+    assert sorted(r.component_id for r in N.near_duplicates(docs, percent=85).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("percent,k,least", [(85, 64, 37), (80, 64, 32), (80, 128, 75)])
+def test_least_shared_follows_from_percent_and_k(percent, k, least):
+    assert N.least_of(percent, k) == least
