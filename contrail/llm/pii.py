@@ -47,7 +47,7 @@ USER_URL = re.compile(r"[^\s/?#@<>\"']+@[A-Za-z0-9.\-\[\]:]*[A-Za-z0-9\]](?:[/?#
 AFTER_CUE = re.compile(r"[ \t]{0,4}(?:number|no\.?|nr\.?|id)?[ \t]{0,4}[:=#]?[ \t]{0,4}[\"']?")
 ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){5,33}(?![0-9])")
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
-SECRET = re.compile(r"[A-Za-z0-9_\-+/.]{8,512}")
+SECRET = re.compile(r"[A-Za-z0-9_\-+/.]{8,}")   # to the token's own end, however long
 
 SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 SPAN_SCHEMA = "array<struct<kind: string, start: bigint, end: bigint>>"
@@ -104,6 +104,7 @@ def spans_of(text: str, lowered: str, automaton) -> list[tuple[str, int, int]]:
     with A-Z in lower case (the same positions)."""
     found: dict[str, list[tuple[int, int]]] = {}
     done = dict.fromkeys(("email", "ip", "card", "phone", *ADDED_KINDS), 0)
+    barren = 0  # end of a cued run that is no secret; what ends with it is none either
 
     def keep(kind: str, start: int, end: int) -> None:
         found.setdefault(kind, []).append((start, end))
@@ -155,10 +156,12 @@ def spans_of(text: str, lowered: str, automaton) -> list[tuple[str, int, int]]:
                     keep("iban", gap, gap + n)
             elif kind == "account" and (m := ACCOUNT.match(text, gap)):
                 keep("account", gap, m.end())
-            elif kind == "secret" and (m := SECRET.match(text, gap)):
+            elif kind == "secret" and gap >= barren and (m := SECRET.match(text, gap)):
                 value = m.group().rstrip(".")
                 if sum(c in "0123456789" for c in value) >= 4 and any(c.isalpha() for c in value):
                     keep("secret", gap, gap + len(value))
+                else:
+                    barren = m.end()
     return [(kind, a, b) for kind in KINDS for a, b in sorted(set(found.get(kind, ())))]
 
 

@@ -65,6 +65,16 @@ def test_added_kinds():
     assert added("https://example.org/path and the token of thanks") == []
 
 
+def test_long_secrets_end_with_their_token():
+    for n in (512, 513, 3000):
+        key = ("aB3_" * n)[:n]
+        text = f"token: {key} and more"
+        assert added(text) == [("secret", 7, 7 + n)]
+        assert pii.redacted(text, added(text)) == "token: [SECRET] and more"
+    assert added("token: my_token=abcd1234") == [("secret", 16, 24)]
+    assert added("tokenid" * 100_000) == []   # a cue in each, and one run
+
+
 def test_redaction_and_edge_rows(spark):
     rows = [(1, "mail a.b@c.de now", "x", 17), (None, None, None, None), (2, "", "x", 0), (2, "", "x", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_chars long")
