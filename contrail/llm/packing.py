@@ -57,8 +57,8 @@ class UnitTokenizer:
     The tokenizer's rule never joins characters across a single space or line
     break between two others, so a text is cut there and each different unit
     is tokenised once and kept (at most ``keep`` units). Nor does it join
-    letters and the marks after them. Texts with other white space beside a cut
-    are tokenised whole.
+    letters and the marks after them. Texts with other white space beside a cut,
+    and texts that hold the marker themselves, are tokenised whole.
     """
 
     START = "\x00"  # marks a unit that no space precedes
@@ -97,6 +97,7 @@ class UnitTokenizer:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        holds = np.asarray(pc.match_substring(texts, self.START))
         marked = pc.replace_substring(texts, "\n", " \n " + self.START)
         marked = pc.binary_join_element_wise(pa.scalar(self.START, pa.large_string()), marked,
                                              pa.scalar("", pa.large_string()))
@@ -115,7 +116,7 @@ class UnitTokenizer:
         out = []
         for i in range(len(texts)):
             own = index[bounds[i]:bounds[i + 1]]
-            if none[own].any():
+            if holds[i] or none[own].any():
                 out.append(np.frombuffer(self._whole(texts[i].as_py()), dtype="<u4"))
                 continue
             n = sizes[own]

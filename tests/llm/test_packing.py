@@ -70,6 +70,14 @@ def test_unit_ids_equal_whole_ids():
         assert units.encode(pa.array([text]))[0].tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_texts_that_hold_the_marker():
+    import pyarrow as pa
+    whole, units = tokenizer(), UnitTokenizer(tokenizer_path())
+    texts = ["foo \x00bar", "foo bar", "a \x00.", "\x00\x00a", "x\n\x00y z", "\x00", "end \x00"]
+    for text, ids in zip(texts, units.encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_placement_minimises_the_sum_of_squares():
     rng, packer = random.Random(5), WindowPacker(16)
     for _ in range(500):
