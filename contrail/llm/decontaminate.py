@@ -1,8 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: words without the marks around them, in lower case,
-with numbers, units and names replaced by typed placeholders whose values are
-kept as slots. Windows of five template words of every document are joined by
+with units and runs of numbers or names replaced by typed placeholders whose
+values are kept as slots. A capitalised word at a sentence's start is read both
+ways, as itself and as a name (or the start of one). Windows of five template
+words of every document are joined by
 hash with those of the benchmark. The windows that a document shares with an
 item are grouped by how far they are shifted; in each group the slots must
 correspond one to one (each benchmark value to one value of the document and
@@ -14,8 +16,10 @@ How it scales: a bit filter of the benchmark's window hashes (of bounded size,
 built by Spark) goes to the tasks that read the documents, so only windows that
 may match leave them; the join and the grouping by document are Spark's.
 
-Windows with fewer than three ordinary words are not used, so an item needs
-five template words. Items with equal templates are one item, reported by the
+Windows with fewer than three ordinary words are not used (words at a sentence's
+start count; two must be left where such words are read as names). Items of
+fewer than five windows are looked for whole too: their template, with two
+ordinary words or more, as whole sentences of the document. Items with equal templates are one item, reported by the
 smallest id. Null and empty texts match nothing; repeated rows, null ids and
 ties are defined: a (doc_id, item) pair is reported once for each different
 text of that id. Empty tables give no rows. Other columns are not read.
@@ -38,6 +42,8 @@ from contrail.llm.common import map_arrow, stage
 
 WIDTH = 5
 LITERALS = 3            # ordinary words that a window needs
+LEAST_LITERALS = 2      # and that are left where words at a sentence's start are read as names
+FEW = 5                 # windows: items of fewer are looked for whole as well
 SHARE_PERCENT = 80
 MAX_SHIFT = 5           # words put in or left out between parts of one occurrence
 MAX_FILTER_BITS = 26    # of the filter's size: 8 MB
@@ -46,40 +52,99 @@ MAX_FILTER_BITS = 26    # of the filter's size: 8 MB
 NUMBERS = frozenset("""zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million
 billion dozen""".split())
-UNITS = frozenset("""mm cm dm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms
-ton tons tonne tonnes lb lbs pound pounds ounce ounces oz ml cl l liter liters litre litres gallon gallons second seconds
-sec minute minutes min hour hours hr hrs day days week weeks month months year years usd eur gbp dollar dollars euro
-euros cent cents percent kmh mph km/h m/s watt watts kw kwh volt volts hz khz mhz ghz kb mb gb tb degree degrees celsius
+UNITS = frozenset("""mm cm dm m km millimeter millimeters millimetre millimetres centimeter centimeters centimetre
+centimetres meter meters metre metres kilometer kilometers kilometre kilometres inch inches foot feet yard yards mile miles milligram milligrams mg g kg gram grams kilogram kilograms
+ton tons tonne tonnes lb lbs pound pounds ounce ounces oz milliliter milliliters millilitre millilitres ml cl l liter liters litre litres gallon gallons pint pints quart quarts cup cups second seconds
+sec minute minutes min hour hours hr hrs day days week weeks month months year years decade decades century centuries usd eur gbp dollar dollars euro
+euros cent cents penny pennies pence rupee rupees yen peso pesos franc francs acre acres hectare hectares percent kmh
+mph km/h m/s watt watts kw kwh volt volts hz khz mhz ghz kb mb gb tb degree degrees celsius
 fahrenheit kelvin""".split())
 LITERAL, NUMBER, UNIT, NAME, NOTHING = range(5)
 
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 NUMERIC = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th)?")
 STOP = re.compile(r"[.!?:;…][\"'»”’)\]]*$")
+NUMBER_PARTS = NUMBERS | {"one"}
 
 
-def word_kind(word: str) -> tuple[int, int, bool]:
-    """Kind (a capitalised word counts as a name), hash of its value, and
-    whether a sentence ends after it."""
+def word_kind(word: str) -> tuple[int, int, bool, bool, bool]:
+    """Kind (a capitalised word counts as a name), hash of its value, whether a
+    sentence ends after it, whether a run of names or numbers does, and whether
+    it is *one*, a number only beside another."""
+    stop = bool(STOP.search(word))
     core = EDGES.sub("", word)
     if not core:
-        return NOTHING, 0, bool(STOP.search(word))
+        return NOTHING, 0, stop, True, False
     low = core.lower()
-    kind = (NUMBER if NUMERIC.fullmatch(low) or low in NUMBERS else UNIT if low in UNITS
+    kind = (NUMBER if NUMERIC.fullmatch(low) or low in NUMBERS or "-" in low and NUMBER_PARTS.issuperset(low.split("-"))
+            else UNIT if low in UNITS
             else NAME if core[0].isupper() and core[1:] != core[1:].upper() else LITERAL)
-    return kind, xxhash.xxh3_64_intdigest(low), bool(STOP.search(word))
+    return kind, xxhash.xxh3_64_intdigest(low), stop, not word[-1].isalnum(), low == "one"
+
+
+# A run's value is that of its words by place, of one word its own.
+PLACES = np.uint64(0x9E3779B97F4A7C15)
+BACK = np.uint64(pow(int(PLACES), -1, 1 << 64))
+SALT = np.uint64(0xD6E8FEB86659FD93)
+
+
+class Template:
+    """Template words of a batch of texts, one after the other: ``literal`` is
+    each word's hash in the text's literal reading and ``slot`` its slot there (0:
+    none); ``open`` marks the words at a sentence's start that may be names too,
+    with ``name_slot`` as their slot. ``plain`` marks ordinary words, ``first`` and
+    ``last`` a sentence's ends; ``word`` is the place in the text, ``bounds`` the texts'."""
+
+    def __init__(self, kind, value, stop, breaks, one, offsets):
+        first = np.ones(len(kind), dtype=bool)
+        first[1:] = stop[:-1]
+        first[offsets[:-1][offsets[:-1] < len(kind)]] = True
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        ends = np.cumsum(breaks)
+        real = np.flatnonzero(kind != NOTHING)
+        kind, value, first, one, text = kind[real], value[real], first[real], one[real], text[real]
+        word = real - offsets[text]
+        # nothing between a word and the one before ends a run
+        near = np.zeros(len(real), dtype=bool)
+        if len(real):
+            before = ends - breaks
+            near[1:] = (text[1:] == text[:-1]) & (before[real[1:]] == before[real[:-1]])
+        number = kind == NUMBER
+        beside = np.zeros(len(real), dtype=bool)
+        beside[1:] |= near[1:] & number[:-1]
+        beside[:-1] |= near[1:] & number[1:]
+        kind = np.where(one & beside, np.int8(NUMBER), kind)
+        joins = near.copy()
+        joins[1:] &= (kind[1:] == kind[:-1]) & ((kind[1:] == NAME) | (kind[1:] == NUMBER))
+        start = np.flatnonzero(~joins)
+        group = np.cumsum(~joins) - 1
+        place = np.arange(len(real)) - start[group] if len(real) else group
+        power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(place.max(initial=0), PLACES))))
+        run = np.add.reduceat(value * power[place], start) if len(start) else value
+        kind, own = kind[start], value[start]
+        rest = (run - own) * BACK
+        self.open = (kind == NAME) & first[start]
+        self.plain = (kind == LITERAL) | self.open
+        self.literal = np.where(self.plain, own, kind.astype(np.uint64))
+        self.literal = np.where(self.open & (rest != 0), W.scramble(own ^ SALT), self.literal)
+        self.slot = np.where(self.open, rest, np.where(kind == LITERAL, np.uint64(0), run))
+        self.name_slot = np.where(self.open, run, self.slot)
+        self.word, self.first, text = word[start], first[start], text[start]
+        self.bounds = np.searchsorted(text, np.arange(len(offsets)))
+        # a sentence ends with a template word if the next one starts a sentence or there is none
+        self.last = np.ones(len(start), dtype=bool)
+        self.last[:-1] = self.first[1:] | (text[1:] != text[:-1])
+        self.text = text
 
 
 class Canonical:
-    """Template words of a batch of texts; what is known of a word is kept."""
+    """Templates of batches of texts; what is known of a word is kept."""
 
     def __init__(self, keep: int = 400_000):
-        self.known: dict[str, tuple[int, int, bool]] = {}
+        self.known: dict[str, tuple] = {}
         self.keep = keep
 
-    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per text: window hashes, whether each window is used, slots (one per
-        template word, 0 for ordinary words), and the template words' places."""
+    def __call__(self, texts: pa.Array) -> Template:
         flat, offsets = W.split_words(texts, lower=False)
         words, index = W.encode(flat)
         if len(self.known) > self.keep:
@@ -89,59 +154,119 @@ class Canonical:
             if w not in known:
                 known[w] = word_kind(w)
             facts.append(known[w])
-        kind = np.array([f[0] for f in facts], dtype=np.int8)[index]
-        value = np.array([f[1] for f in facts], dtype=np.uint64)[index]
-        stop = np.array([f[2] for f in facts], dtype=bool)[index]
-        first = np.ones(len(kind), dtype=bool)
-        first[1:] = stop[:-1]
-        first[offsets[:-1][offsets[:-1] < len(kind)]] = True
-        kind = np.where((kind == NAME) & first, np.int8(LITERAL), kind)
-        template = np.where(kind == LITERAL, value, kind.astype(np.uint64))
-        for a, b in zip(offsets, offsets[1:]):
-            real = np.flatnonzero(kind[a:b] != NOTHING)
-            own = template[a:b][real]
-            hashes = W.window_hashes(own, WIDTH)
-            plain = np.concatenate(([0], np.cumsum(kind[a:b][real] == LITERAL)))
-            used = plain[WIDTH:] - plain[:len(plain) - WIDTH] >= LITERALS if len(hashes) else np.zeros(0, bool)
-            yield hashes, used, np.where(kind[a:b][real] == LITERAL, np.uint64(0), value[a:b][real]), real
+        columns = (np.array([f[k] for f in facts], dtype=t)[index]
+                   for k, t in enumerate((np.int8, np.uint64, bool, bool, bool)))
+        return Template(*columns, offsets)
+
+
+def read_windows(t: Template) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(places, hashes, mask) of the used windows: in the literal reading (mask 0)
+    and in each reading with the open words of the mask as names."""
+    n = len(t.literal) - WIDTH + 1
+    if n <= 0:
+        return
+    sums = np.concatenate(([0], np.cumsum(t.plain)))
+    plain = sums[WIDTH:] - sums[:n]
+    used = (t.text[WIDTH - 1:] == t.text[:n]) & (plain >= LITERALS)
+    at = np.flatnonzero(used)
+    yield at, W.window_hashes(t.literal, WIDTH)[at], 0
+    mask = np.zeros(n, dtype=np.int64)
+    for k in range(WIDTH):
+        mask |= t.open[k:k + n].astype(np.int64) << k
+    some = np.flatnonzero(used & (mask > 0))
+    for names in range(1, 1 << WIDTH):
+        chosen = some[((mask[some] & names) == names) & (plain[some] - names.bit_count() >= LEAST_LITERALS)]
+        if len(chosen):
+            own = t.literal[chosen[:, None] + np.arange(WIDTH)]
+            own[:, [k for k in range(WIDTH) if names >> k & 1]] = np.uint64(NAME)
+            yield chosen, W.scramble((own * W.MULTIPLIERS[:WIDTH]).sum(axis=1, dtype=np.uint64)), names
+
+
+def read_whole(t: Template, starts: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(places, hashes, with names) of runs of ``size`` words from these places on:
+    in the literal reading, and with every open word as a name."""
+    places = starts[:, None] + np.arange(size)
+    for names in (False, True):
+        own, plain = t.literal[places], t.plain[places]
+        keep = plain.sum(axis=1) >= LEAST_LITERALS
+        if names:
+            own = np.where(t.open[places], np.uint64(NAME), own)
+            keep = t.open[places].any(axis=1) & ((plain & ~t.open[places]).sum(axis=1) >= LEAST_LITERALS)
+        power = np.multiply.accumulate(np.full(size, PLACES, dtype=np.uint64))
+        yield starts[keep], W.scramble((own[keep] * power).sum(axis=1, dtype=np.uint64) ^ SALT), names
 
 
 SLOTS = pa.list_(pa.int64())
 
 
-def windows(rows: DataFrame, id_col: str, text_col: str, bits: np.ndarray | None = None) -> DataFrame:
-    """(id, content, h, at, word, slots, total): the used windows, of those that
-    the bit filter lets through; total counts the text's used windows."""
+WINDOW_SCHEMA = "id long, content long, h long, at long, word long, slots array<long>, total long, size long"
+
+
+def windows(rows: DataFrame, id_col: str, text_col: str, bits: np.ndarray | None = None,
+            sizes: list[int] | None = None) -> DataFrame:
+    """(id, content, h, at, word, slots, total, size): the used windows in all
+    their readings, of those that the bit filter lets through; total counts the
+    text's used windows. Texts of few windows, and runs of whole sentences of one
+    of the ``sizes`` if given, have rows of their whole template too (``at`` -1;
+    ``size`` is its words, 0 of a window)."""
     def run(batches):
         canonical = Canonical()
         mask = None if bits is None else np.uint64(len(bits) * 64 - 1)
         for b in batches:
-            ids, content, hs, ats, places, slots, totals = [], [], [], [], [], [], []
-            for doc, key, (h, used, slot, place) in zip(b.column(0).to_pylist(), b.column(2).to_pylist(),
-                                                        canonical(b.column(1))):
-                total, sel = int(used.sum()), used
-                if mask is not None and total:
+            t = canonical(b.column(1))
+            counts = np.zeros(len(b), dtype=np.int64)
+            parts = []
+
+            def put(at, h, slot, size, parts=parts):
+                if mask is not None:
                     low = h & mask
-                    sel = used & ((bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
-                at = np.flatnonzero(sel)
+                    sel = ((bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
+                    at, h, slot = at[sel], h[sel], slot(sel)
+                else:
+                    slot = slot(np.ones(len(at), dtype=bool))
                 if len(at):
-                    ids += [doc] * len(at)
-                    content += [key] * len(at)
-                    totals += [total] * len(at)
-                    hs.append(h[at].view(np.int64))
-                    ats.append(at)
-                    places.append(place[at])
-                    slots.extend(slot[at[:, None] + np.arange(WIDTH)].view(np.int64))
-            if ids:
+                    parts.append((t.text[at], h.view(np.int64), np.full(len(at), -1) if size else at - t.bounds[t.text[at]],
+                                  t.word[at], slot, np.full(len(at), size)))
+
+            for at, h, names in read_windows(t):
+                if not names:
+                    counts = np.bincount(t.text[at], minlength=len(b))
+
+                def slot(sel, at=at, names=names):
+                    places = at[sel][:, None] + np.arange(WIDTH)
+                    named = (names >> np.arange(WIDTH) & 1).astype(bool)
+                    return list(np.where(named, t.name_slot[places], t.slot[places]).view(np.int64))
+                put(at, h, slot, 0)
+            length = np.diff(t.bounds)
+            if sizes is None:
+                few = np.flatnonzero((counts < FEW) & (length > 0))
+                runs = [(t.bounds[i:i + 1], int(length[i])) for i in few]
+            else:
+                begins = np.flatnonzero(t.first)
+                runs = [(begins, n) for n in sizes]
+            for starts, size in runs:
+                end = starts + size - 1
+                starts = starts[end < len(t.text)]
+                end = starts + size - 1
+                starts = starts[(t.text[end] == t.text[starts]) & t.last[end]]
+                for at, h, names in read_whole(t, starts, size) if len(starts) else ():
+                    def slot(sel, at=at, names=names, size=size):
+                        places = at[sel][:, None] + np.arange(size)
+                        return list((t.name_slot if names else t.slot)[places].view(np.int64))
+                    put(at, h, slot, size)
+            if parts:
+                text = np.concatenate([p[0] for p in parts])
+                order = pa.array(text)
+                columns = [np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (1, 2, 3, 5)]
+                slots = pa.array([x for p in parts for x in p[4]], SLOTS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(content, pa.int64()), pa.array(np.concatenate(hs)),
-                     pa.array(np.concatenate(ats).astype(np.int64)), pa.array(np.concatenate(places).astype(np.int64)),
-                     pa.array(slots, SLOTS), pa.array(totals, pa.int64())],
-                    ["id", "content", "h", "at", "word", "slots", "total"])
+                    [b.column(0).take(order), b.column(2).take(order), *map(pa.array, columns[:3]), slots,
+                     pa.array(counts[text].astype(np.int64)), pa.array(columns[3])],
+                    ["id", "content", "h", "at", "word", "slots", "total", "size"])
 
     text = F.col(text_col).cast("string")
     own = rows.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("content"))
-    return map_arrow(own, run, "id long, content long, h long, at long, word long, slots array<long>, total long")
+    return map_arrow(own, run, WINDOW_SCHEMA)
 
 
 def bit_filter(items: DataFrame) -> np.ndarray:
@@ -171,12 +296,22 @@ def consistent(pairs: list[tuple]) -> list[bool]:
     return [all(there.get(x) == y for x, y in zip(own, other) if x or y) for own, other in pairs]
 
 
+WHOLE = -1
+
+
 def best_match(rows: list[tuple]) -> tuple[int, int, int, bool]:
     """Of one document and item: the most item windows that one occurrence holds,
-    its first and last word in the document, and whether its slots are equal.
+    its first and last word in the document, and whether its slots are equal. An
+    item that is there with its whole template holds ``WHOLE`` windows.
     ``rows`` are (at, item_at, word, slots, item_slots)."""
-    rows = sorted(rows, key=lambda r: (r[0] - r[1], r[0], r[1]))
+    rows = sorted((r[:5] for r in rows), key=lambda r: (r[0] - r[1], r[0], r[1]))
     best, begin = (0, 0, 0, False), 0
+    for at, item_at, word, slots, own in (r for r in rows if r[1] < 0):   # the whole item, as it is
+        if all(consistent([(own, slots)])) and not best[3]:
+            best = (WHOLE, word, word, list(slots) == list(own))
+    if best[0]:
+        return best
+    rows = [r for r in rows if r[1] >= 0]
     for k in range(1, len(rows) + 1):
         if k < len(rows) and (rows[k][0] - rows[k][1]) - (rows[k - 1][0] - rows[k - 1][1]) <= MAX_SHIFT:
             continue
@@ -196,14 +331,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     (hash of the text), item_id, n_windows of the item, n_matched, share, the
     first and last matched windows' word places, and whether it is verbatim."""
     items = stage(windows(benchmark, item_col, item_text_col), "benchmark-windows")
+    # the whole lengths of items with few windows: few different small numbers
+    sizes = sorted(r["size"] for r in items.where("size > 0").select("size").distinct().collect())
     # items with equal templates are one item
     whole = items.groupBy("id", "content", "total").agg(F.sort_array(F.collect_list(F.struct("at", "h"))).alias("t"))
     chosen = whole.groupBy("t", "total").agg(F.min(F.struct("id", "content")).alias("r")).select("r.*")
-    items = items.join(chosen, ["id", "content"], "left_semi").dropDuplicates(["id", "content", "at"])
+    items = items.join(chosen, ["id", "content"], "left_semi").dropDuplicates(["id", "content", "at", "h"])
     items = stage(items.select(F.col("id").alias("item_id"), F.col("content").alias("item_content"), "h",
                                F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
                                F.col("total").alias("n_windows")), "benchmark-items")
-    found = windows(docs, id_col, text_col, bit_filter(items)).drop("total").join(items, "h")
+    found = windows(docs, id_col, text_col, bit_filter(items), sizes).drop("total", "size").join(items, "h")
     keys = ["id", "content", "item_id", "item_content"]
     dealt = found.repartition(*keys).sortWithinPartitions(*keys, "at", "item_at")
 
@@ -212,7 +349,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
         def finish():
             n, first, last, same = best_match(rows)
-            total = rows[0][5]
+            total = max(rows[0][5], 1)
+            n = total if n == WHOLE else n
             if 100 * n >= percent * total:
                 return now[0], now[1], now[2], total, n, n / total, first, last, same
             return None

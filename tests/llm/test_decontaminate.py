@@ -67,3 +67,30 @@ def test_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4] and kept.columns == docs.columns
     assert D.leaks(docs.limit(0), bench).count() == 0 and D.leaks(docs, bench.limit(0)).count() == 0
     assert D.drop_leaks(docs, bench.limit(0)).count() == 6
+
+
+CLIPS = ("Natalia sold 48 clips to her friends in April. Natalia then sold half as many clips in May near the old school. "
+         "Natalia kept the rest. How many clips did Natalia sell in all of these weeks?")
+
+
+def test_names_at_a_sentence_start_and_other_word_counts(spark):
+    long_name = CLIPS.replace("Natalia", "Mary Ann")
+    words = ITEM.replace("12", "twenty five").replace("5 dollars", "thirty-one dollars").replace("Carla", "Mary Ann")
+    got = run(spark, [CLIPS.replace("Natalia", "Weng"), f"Some words before. {long_name} And after.", words, CLIPS,
+                      ITEM.replace("12", "twenty one")], [CLIPS, ITEM])
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (3, 0), (4, 1)}
+    assert all(got[k].share == 1.0 for k in got) and [k for k in got if got[k].verbatim] == [(3, 0)]
+    assert set(run(spark, [CLIPS, ITEM], [long_name, words])) == {(0, 0), (1, 1)}
+
+
+def test_units_are_placeholders(spark):
+    item = "The blue train runs 30 kilometers past the river and then 5 meters along the wall"
+    got = run(spark, [item.replace("kilometers", "miles").replace("meters", "feet")], [item])
+    assert got[0, 0].share == 1.0
+
+
+def test_items_of_few_windows_are_matched_whole(spark):
+    items = ["What is 5 + 3?", "Yes.", "Does Anna know 7 people in Rome?"]
+    got = run(spark, ["Try this one. What is 7 + 8? Good.", "he asked what is 7 8 of them", "Yes. It is.",
+                      "Does Mary Ann know 12 people in New York?", "What is 5 + 3?"], items)
+    assert set(got) == {(0, 0), (3, 2), (4, 0)} and got[4, 0].verbatim and not got[0, 0].verbatim
