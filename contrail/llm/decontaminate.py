@@ -19,8 +19,11 @@ may match leave them; the join and the grouping by document are Spark's.
 Windows with fewer than three ordinary words are not used (words at a sentence's
 start count; two must be left where such words are read as names). Items of
 fewer than five windows are looked for whole too: their template, with two
-ordinary words or more, as whole sentences of the document. Items with equal templates are one item, reported by the
-smallest id. Null and empty texts match nothing; repeated rows, null ids and
+ordinary words or more, as whole sentences of the document. Items of equal
+templates whose slots repeat alike are compared once, and each is reported under
+its own id and judged verbatim by its own values; items that are equal in those
+too are one row, of the smallest id, that names them all. Null and empty texts
+match nothing; repeated rows, null ids and
 ties are defined: a (doc_id, item) pair is reported once for each different
 text of that id. Empty tables give no rows. Other columns are not read.
 """
@@ -299,16 +302,17 @@ def consistent(pairs: list[tuple]) -> list[bool]:
 WHOLE = -1
 
 
-def best_match(rows: list[tuple]) -> tuple[int, int, int, bool]:
+def best_match(rows: list[tuple]) -> tuple[int, int, int, list[tuple]]:
     """Of one document and item: the most item windows that one occurrence holds,
-    its first and last word in the document, and whether its slots are equal. An
-    item that is there with its whole template holds ``WHOLE`` windows.
-    ``rows`` are (at, item_at, word, slots, item_slots)."""
-    rows = sorted((r[:5] for r in rows), key=lambda r: (r[0] - r[1], r[0], r[1]))
-    best, begin = (0, 0, 0, False), 0
-    for at, item_at, word, slots, own in (r for r in rows if r[1] < 0):   # the whole item, as it is
-        if all(consistent([(own, slots)])) and not best[3]:
-            best = (WHOLE, word, word, list(slots) == list(own))
+    its first and last word in the document, and for each window its place among
+    the item's and the document's slots. An item that is there with its whole
+    template holds ``WHOLE`` windows.
+    ``rows`` are (at, item_at, word, slots, item_slots, place)."""
+    rows = sorted(rows, key=lambda r: (r[0] - r[1], r[0], r[1], r[5]))
+    best, begin = (0, 0, 0, []), 0
+    for at, item_at, word, slots, own, place in (r for r in rows if r[1] < 0):   # the whole item, as it is
+        if all(consistent([(own, slots)])) and (not best[0] or list(slots) == list(own)):
+            best = (WHOLE, word, word, [(place, list(slots))])
     if best[0]:
         return best
     rows = [r for r in rows if r[1] >= 0]
@@ -321,71 +325,110 @@ def best_match(rows: list[tuple]) -> tuple[int, int, int, bool]:
         good = [r for r, ok in zip(group, fit) if ok]
         n = len({r[1] for r in good})
         if n > best[0]:
-            best = (n, min(r[2] for r in good), max(r[2] for r in good), all(list(r[3]) == list(r[4]) for r in good))
+            best = (n, min(r[2] for r in good), max(r[2] for r in good), [(r[5], list(r[3])) for r in good])
     return best
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text", percent: int = SHARE_PERCENT) -> DataFrame:
-    """One row per document text and benchmark item that it leaks: doc_id, content
-    (hash of the text), item_id, n_windows of the item, n_matched, share, the
-    first and last matched windows' word places, and whether it is verbatim."""
+def item_classes(items: DataFrame) -> DataFrame:
+    """The different (id, content) of the items' windows with ``class``, equal for
+    items of equal templates whose slots are equal to each other alike, ``values``,
+    a hash of the slots' values, and ``t``, the windows in one order for the class."""
+    whole = items.groupBy("id", "content", "total").agg(
+        F.sort_array(F.collect_set(F.struct("size", "at", "h", "slots"))).alias("t"))
+
+    def run(batches):
+        for b in batches:
+            keys, values = [], []
+            for t in b.column(3).to_pylist():
+                slots = np.array([0, *(x for w in t for x in w["slots"])], dtype=np.int64)
+                _, first, back = np.unique(slots, return_index=True, return_inverse=True)
+                form = np.array([x for w in t for x in (w["size"], w["at"], w["h"])], dtype=np.int64)
+                keys.append(xxhash.xxh3_128_digest(form.tobytes() + first[back].astype(np.int64).tobytes()))
+                values.append(xxhash.xxh3_128_digest(slots.tobytes()))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
+                                             ["id", "content", "total", "t", "class", "values"])
+
+    return map_arrow(whole, run, "id long, content long, total long, t array<struct<size: bigint, at: bigint, h: bigint, "
+                                 "slots: array<bigint>>>, class binary, values binary")
+
+
+def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
+           percent: int) -> tuple[DataFrame, DataFrame]:
+    """The classes of items that documents leak, one row per document text and
+    class, and the classes' items."""
     items = stage(windows(benchmark, item_col, item_text_col), "benchmark-windows")
     # the whole lengths of items with few windows: few different small numbers
     sizes = sorted(r["size"] for r in items.where("size > 0").select("size").distinct().collect())
-    # items with equal templates are one item
-    whole = items.groupBy("id", "content", "total").agg(F.sort_array(F.collect_list(F.struct("at", "h"))).alias("t"))
-    chosen = whole.groupBy("t", "total").agg(F.min(F.struct("id", "content")).alias("r")).select("r.*")
-    items = items.join(chosen, ["id", "content"], "left_semi").dropDuplicates(["id", "content", "at", "h"])
-    items = stage(items.select(F.col("id").alias("item_id"), F.col("content").alias("item_content"), "h",
-                               F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
-                               F.col("total").alias("n_windows")), "benchmark-items")
-    found = windows(docs, id_col, text_col, bit_filter(items), sizes).drop("total", "size").join(items, "h")
-    keys = ["id", "content", "item_id", "item_content"]
+    items = stage(item_classes(items), "benchmark-items")
+    # any item stands for its class: slots correspond one to one to all of them or to none
+    chosen = items.groupBy("class").agg(F.min_by(F.struct("total", "t"), F.struct("id", "content")).alias("r"))
+    one = chosen.select("class", F.col("r.total").alias("n_windows"), F.posexplode("r.t").alias("place", "x"))
+    one = stage(one.select("class", "n_windows", "place", "x.h", F.col("x.at").alias("item_at"),
+                           F.col("x.slots").alias("item_slots")), "benchmark-classes")
+    found = windows(docs, id_col, text_col, bit_filter(one), sizes).drop("total", "size").join(one, "h")
+    keys = ["id", "content", "class"]
     dealt = found.repartition(*keys).sortWithinPartitions(*keys, "at", "item_at")
 
     def run(batches):
         now, rows = None, []
 
         def finish():
-            n, first, last, same = best_match(rows)
-            total = max(rows[0][5], 1)
+            n, first, last, good = best_match([r[:6] for r in rows])
+            total = max(rows[0][6], 1)
             n = total if n == WHOLE else n
             if 100 * n >= percent * total:
-                return now[0], now[1], now[2], total, n, n / total, first, last, same
+                return (*now, total, n, n / total, first, last, [{"place": p, "slots": s} for p, s in good])
             return None
 
         def batch(done):
-            kinds = [*[pa.int64()] * 5, pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
-            names = ["doc_id", "content", "item_id", "n_windows", "n_matched", "share", "first_word", "last_word",
-                     "verbatim"]
+            good = pa.list_(pa.struct([("place", pa.int64()), ("slots", SLOTS)]))
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), good]
+            names = ["doc_id", "content", "class", "n_windows", "n_matched", "share", "first_word", "last_word", "good"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
 
         for b in batches:
             done = []
             for r in zip(*(b.column(c).to_pylist() for c in (*keys, "at", "item_at", "word", "slots", "item_slots",
-                                                             "n_windows"))):
-                if r[:4] != now:
+                                                             "place", "n_windows"))):
+                if r[:3] != now:
                     if rows and (row := finish()):
                         done.append(row)
-                    now, rows = r[:4], []
-                rows.append(r[4:])
+                    now, rows = r[:3], []
+                rows.append(r[3:])
             if done:
                 yield batch(done)
         if rows and (row := finish()):
             yield batch([row])
 
-    return map_arrow(dealt, run, "doc_id long, content long, item_id long, n_windows long, n_matched long, share double, "
-                                 "first_word long, last_word long, verbatim boolean")
+    return map_arrow(dealt, run, "doc_id long, content long, class binary, n_windows long, n_matched long, share double, "
+                                 "first_word long, last_word long, "
+                                 "good array<struct<place: bigint, slots: array<bigint>>>"), items
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text", percent: int = SHARE_PERCENT) -> DataFrame:
+    """One row per document text and benchmark item that it leaks: doc_id, content
+    (hash of the text), item_id, n_windows of the item, n_matched, share, the
+    first and last matched windows' word places, whether it is verbatim, and
+    item_ids: all items of the same template and values (item_id is the smallest)."""
+    found, items = leaked(docs, benchmark, id_col, text_col, item_col, item_text_col, percent)
+    members = items.groupBy("class", "values").agg(
+        F.min("id").alias("item_id"), F.sort_array(F.collect_set("id")).alias("item_ids"),
+        F.first("t")["slots"].alias("own"))
+    same = F.forall("good", lambda g: F.get("own", g["place"].cast("int")) == g["slots"])
+    return found.join(members, "class").select(
+        "doc_id", "content", "item_id", "n_windows", "n_matched", "share", "first_word", "last_word",
+        same.alias("verbatim"), "item_ids")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               **options) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", percent: int = SHARE_PERCENT) -> DataFrame:
     """The documents that leak no benchmark item, with their own columns."""
     key = "__leak"
     while any(c.startswith(key) for c in docs.columns):
         key += "_"
-    found = stage(leaks(docs, benchmark, id_col, text_col, **options).select(
+    found, _ = leaked(docs, benchmark, id_col, text_col, item_col, item_text_col, percent)
+    found = stage(found.select(
         F.col("doc_id").alias(f"{key}_id"), F.col("content").alias(f"{key}_content")).distinct(), "leaks")
     own = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
     same = F.col(id_col).cast("long").eqNullSafe(F.col(f"{key}_id")) & (F.col(key) == F.col(f"{key}_content"))

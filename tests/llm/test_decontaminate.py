@@ -94,3 +94,18 @@ def test_items_of_few_windows_are_matched_whole(spark):
     got = run(spark, ["Try this one. What is 7 + 8? Good.", "he asked what is 7 8 of them", "Yes. It is.",
                       "Does Mary Ann know 12 people in New York?", "What is 5 + 3?"], items)
     assert set(got) == {(0, 0), (3, 2), (4, 0)} and got[4, 0].verbatim and not got[0, 0].verbatim
+
+
+def test_items_of_one_template_keep_their_ids_and_slots(spark):
+    base = "The old farmer packs 5 apples and {} pears into the wooden box and sells 5 apples at the market"
+    a, b, c = base.format(5), base.format(7), base.format(9)
+    got = run(spark, [b, a, base.format(8)], [a, b, c, b])
+    assert {k for k, r in got.items() if r.verbatim} == {(0, 1), (1, 0)}
+    assert {(0, 1), (0, 2), (2, 1), (2, 2)} <= set(got) and (0, 3) not in got
+    assert got[0, 1].share == got[0, 2].share == got[1, 0].share == 1.0
+    assert got[0, 1].item_ids == [1, 3] and got[0, 2].item_ids == [2] and got[1, 0].item_ids == [0]
+    names = "Yesterday the teacher asked {} to help {} with the long homework about rivers and mountains"
+    kept = D.drop_leaks(spark.createDataFrame([(1, names.format("Ann", "Bob"))], "doc_id long, text string"),
+                        spark.createDataFrame([(1, names.format("Ann", "Ann")), (2, names.format("Ann", "Bob"))],
+                                              "item_id long, text string"))
+    assert kept.count() == 0
