@@ -19,7 +19,9 @@ Scripts, styles, form controls and embedded objects are never text. Character
 references are decoded, white space inside a block is one space, blocks are
 joined by two line feeds. A null or empty page has an empty text; repeated
 rows give repeated results; unclosed tags, quotes and comments end with the
-page. Only the page id, url and html columns are read.
+page; ``head`` ends at the first tag or text that cannot stand in it, and another
+skipped element that is not closed at its parent's closing tag or the next block.
+Only the page id, url and html columns are read.
 """
 
 from __future__ import annotations
@@ -39,9 +41,11 @@ SAMPLE_PAGES = 2000
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rt s "
-                   "samp small span strike strong sub sup time tt u var".split())
+                   "samp small span strike strong sub sup time tt u var math mi mn mo ms mtext mspace mrow mfrac msqrt "
+                   "mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover "
+                   "mmultiscripts mprescripts mtable mtr mtd maction semantics annotation annotation-xml".split())
 RAW = frozenset("script style".split())
-NEVER = frozenset("head noscript template iframe object svg math canvas audio video select textarea button "
+NEVER = frozenset("head noscript template iframe object svg canvas audio video select textarea button "
                   "datalist map frameset".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul".split())
@@ -50,6 +54,12 @@ SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
 SCOPES = frozenset("ul ol dl table".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
+# What may stand in head: elements with text of their own, and without.
+HEAD_TEXT = frozenset("script style title template noscript noframes".split())
+HEAD_EMPTY = frozenset("head base basefont bgsound link meta".split())
+# Tags that end a skipped element that is not closed.
+BLOCKS = CLOSES_P | BOILER_TAGS | CONTENT_TAGS | frozenset("body html li dt dd tr td th tbody thead tfoot caption "
+                                                           "figure figcaption hgroup details summary center".split())
 TELLING_TAGS = BOILER_TAGS | CONTENT_TAGS | frozenset("html body p h1 blockquote pre".split())
 BOILER_WORDS = frozenset("""ad ads adv advert advertisement banner sponsor sponsored promo promotion nav navbar
 navigation menu header footer sidebar aside side breadcrumb breadcrumbs cookie cookies consent gdpr notice notification
@@ -72,6 +82,41 @@ MOVES = {"marked": ((0.1, 0.1, 30.0), (0.1, 0.1, 30.0), (0.001, 0.001, 100.0)),
 START = (0.98, 0.01, 0.01)
 
 
+def raw_end(source: str, tag: str, at: int) -> int | None:
+    """Where the text of an element that holds no markup ends, with its closing tag."""
+    stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+    return stop.end() if stop else None
+
+
+def closed_at(source: str) -> dict[int, int]:
+    """Of each element of ``NEVER`` that is closed inside its parent: where its
+    opening tag ends, and where its closing tag does."""
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    open_: Counter = Counter()
+    at, end = 0, len(source)
+    while at < end and (m := TOKEN.search(source, at)):
+        at = m.end()
+        tag = (m.group(2) or m.group(5) or "").lower()
+        if not tag or tag == "head" or tag in VOID or tag in INLINE:
+            continue
+        if not (m.group(1) or m.group(4)):
+            if tag in RAW:
+                at = raw_end(source, tag, at) or end
+            elif tag not in NEVER or not (m.group(3) or m.group(6) or "").endswith("/"):
+                stack.append((tag, at))
+                open_[tag] += 1
+        elif open_[tag]:
+            while True:
+                name, begin = stack.pop()
+                open_[name] -= 1
+                if name == tag:
+                    break
+            if tag in NEVER:
+                out[begin] = at
+    return out
+
+
 class Page:
     """The tree: for each node its parent, evidence and, for a text block, its
     text. Parents come before children; ``marks`` is the hand-made label of an
@@ -111,7 +156,9 @@ class Page:
         stack: list[tuple[str, int]] = [("html", root)]   # open elements that are nodes
         inline: list[str] = []
         buffer: list[str] = []
-        links = never = 0
+        links = 0
+        never = ""    # the element that is skipped: head, or one that is not closed
+        closed = closed_at(source)
         linked = [0]
 
         def flush() -> None:
@@ -140,13 +187,15 @@ class Page:
             inline.clear()
             links = 0
 
-        at, never_tag, end = 0, "", len(source)
+        at, end = 0, len(source)
         while at < end:
             m = TOKEN.search(source, at)
+            before = source[at:m.start() if m else end]
+            if never == "head" and before.strip():
+                never = ""
+            add(before)
             if not m:
-                add(source[at:])
                 break
-            add(source[at:m.start()])
             at = m.end()
             tag = (m.group(2) or m.group(5) or "").lower()
             if not tag:
@@ -155,19 +204,38 @@ class Page:
                 continue
             closing = bool(m.group(1) or m.group(4))
             attributes = m.group(3) or m.group(6) or ""
-            if never:
-                if tag == never_tag:
-                    never += -1 if closing else 0 if attributes.endswith("/") else 1
-                elif never_tag == "head" and tag == "body" and not closing:
-                    never = 0
-                if never or closing:
-                    continue
             if tag in RAW and not closing:
-                stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = stop.end() if stop else end
-            elif tag in NEVER:
-                if not closing and not attributes.endswith("/"):
-                    never, never_tag = 1, tag
+                at = raw_end(source, tag, at) or end
+                continue
+            if never == "head":
+                if closing:
+                    never = "" if tag == "head" else never
+                    continue
+                if tag in HEAD_TEXT:
+                    stop = raw_end(source, tag, at)
+                    if stop is None and tag == "title":   # up to the next tag
+                        stop = source.find("<", at) if "<" in source[at:] else end
+                    at = at if stop is None else stop
+                    continue
+                if tag in HEAD_EMPTY:
+                    continue
+                never = ""
+            elif never:
+                if tag == never and closing:
+                    never = ""
+                    continue
+                parent = closing and (tag in inline or any(name == tag for name, _ in stack[1:]))
+                if not parent and (closing or tag not in BLOCKS):
+                    continue
+                never = ""
+            if tag in NEVER:
+                if not closing and tag == "head":
+                    never = tag
+                elif not closing and not attributes.endswith("/"):
+                    if at in closed:
+                        at = closed[at]
+                    else:
+                        never = tag
             elif tag == "br" or tag == "wbr" or tag == "img":
                 add(" " if tag == "br" else "")
             elif tag in INLINE:

@@ -100,3 +100,22 @@ def test_boilerplate_inside_and_after_the_article():
 def test_a_page_inside_one_form():
     source = f"<body><form><div><h1>Title</h1><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p></div></form></body>"
     assert MODEL.extract(source).count(TEXT.strip()) == 4
+
+
+@pytest.mark.parametrize("start", ["<head><title>x</title>", "<head><script>a('<div>')</script><noscript><img></noscript><title>x</title>",
+                                   "<head><meta charset=a><link href=b>", "<head><title>x</title></head><body>"])
+def test_head_ends_at_the_first_tag_that_cannot_stand_in_it(start):
+    assert MODEL.extract(f"{start}<article><p>{TEXT}</p></article>") == TEXT.strip()
+
+
+@pytest.mark.parametrize("tag", ["button", "iframe", "select", "object", "noscript"])
+def test_unclosed_elements_drop_only_what_is_theirs(tag):
+    for source in (f"<article><div><{tag}>Menu</div><p>{TEXT}</p></article>", f"<article><{tag}>Menu<p>{TEXT}</p></article>",
+                   f"<article><{tag}>Menu<p>{TEXT}</p><{tag}>More</{tag}></article>"):
+        assert MODEL.extract(source) == TEXT.strip()
+    assert MODEL.extract(f"<article><{tag}><p>Menu</p></{tag}><p>{TEXT}</p></article>") == TEXT.strip()
+
+
+def test_math_is_text():
+    assert MODEL.extract(f"<article><p>{TEXT}So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p></article>") \
+        == TEXT + "So x=2 here."
