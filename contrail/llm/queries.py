@@ -138,3 +138,36 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from contrail.llm.quality_classifier import score, train
     docs = read_table(spark, sf_dir, "documents")
     return score(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query("op11_fenwick_fill_in_middle")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from contrail.llm.fill_in_middle import fill_in_middle, restored
+    out = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLE["op11_fenwick_fill_in_middle"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+    CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2, CAST('0x' || h[17:24] AS BIGINT) % 100 AS d3,
+    CAST('0x' || h[25:32] AS BIGINT) % 100 AS d4 FROM docs),
+parts AS (
+  SELECT doc_id, text, n, coalesce(array_to_string(u[:least(c1, c2)], ''), '') AS p,
+    coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS m,
+    coalesce(array_to_string(u[greatest(c1, c2) + 1:], ''), '') AS s,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d3 >= 50
+      THEN 'plain' WHEN d4 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
