@@ -194,3 +194,35 @@ s AS (
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k, vec_id, score FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5
 """
+
+
+@query("op13_rabin_karp_collocations")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.llm.collocations import collocations
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_rabin_karp_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+runs AS (SELECT lang, s, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM places, (SELECT unnest(range(1, 6)) AS s) t
+  WHERE i + s - 1 <= len(w)),
+f AS (SELECT lang, s, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT lang, s, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE s >= 2),
+kept AS (SELECT * FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand d WHERE d.lang = c.lang AND d.s > c.s
+    AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 100 * c.a)),
+cuts AS (SELECT kept.*, unnest(range(1, s)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n,
+    CAST((1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
