@@ -2,18 +2,20 @@
 
 A task hashes the words of its texts and takes the prefix sums of the
 polynomial of word hashes modulo 2^64; the fingerprint of any phrase is a
-difference of two sums, so numpy hashes every phrase of a batch at once.
-Fingerprints are counted in the task, then summed by a shuffle. Since a phrase is never more
-frequent than its parts, passes go by length: words, pairs of frequent words,
-then runs of three to five words whose pairs are all frequent. Between passes a
-bit filter of the frequent fingerprints (bounded size; a false hit only adds
-rows to the shuffle) goes to the tasks.
-
-The last pass reads the texts again. In each batch every frequent fingerprint
-points to its first occurrence, each further one is compared with the words
-there, and the phrase is written out from that place; so only frequent phrases
-become strings, and the final counts are of phrases, not of fingerprints:
-fingerprints that collide are told apart.
+difference of two sums, so numpy hashes every phrase of a batch at once. A
+shuffle adds up, per fingerprint, its occurrences and a second hash of each,
+and keeps the smallest pointer: the bucket, by a hash of its text, of a document
+with the phrase. A phrase is never more frequent than its parts, so passes go
+by length: words, pairs of frequent words, then runs of three to five words
+whose pairs are all frequent. Between passes a bit filter of the frequent
+fingerprints (bounded size; a false hit only adds rows to a shuffle) goes to
+the tasks. The empty phrase, which occurs before every word, counts a language's words.
+
+Only frequent phrases become strings: the documents in the buckets that were
+pointed to are read again, and the phrase is written out from its place there.
+It stands for all occurrences if the sum of their second hashes is that of its
+own. Fingerprints for which it is not (two phrases collide) are counted again by
+their words, so the counts are of phrases, not of fingerprints.
 
 Scores are computed in DECIMAL(38, 0): exact while 1000 * a * n and l * r have at
 most 38 digits. The first rows of a language are ranked in two steps (shares of
@@ -27,6 +29,7 @@ language columns are read, so extra columns of any name do no harm.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import map_arrow, stage
-from contrail.llm.words import GOLDEN, as_large, encode, hash_words, scramble, split_words
+from contrail.llm.words import GOLDEN, as_large, encode, scramble, split_words
 
 # Fixed values of the contract.
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
@@ -51,7 +54,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 MAX_FILTER_BITS = 26
 PIECE_BITS = 19                     # a filter is put together from pieces of 64 KB
 HELD = 2_000_000                    # fingerprints a task holds before it passes its counts on
-HELD_PHRASES = 200_000
+POINTER_BITS = 20                   # documents are pointed to by bucket
+CHECK_BITS = 24                     # of the second hash
 SHARES = 64                         # a language's phrases are ranked in so many shares first
 
 BYTES = np.arange(256, dtype=np.uint8)
@@ -67,6 +71,13 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def two_hashes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word."""
+    both = b"".join(xxhash.xxh3_128_digest(w) for w in words.cast(pa.large_binary()).to_pylist())
+    both = np.frombuffer(both, np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 class Phrases:
     """All phrases of one batch of texts, by first word and length."""
 
@@ -91,36 +102,47 @@ class Phrases:
         self.piece = np.cumsum(BREAKS[data], dtype=np.int64)[starts] + self.lang   # changes at separators and texts
 
         n = len(self.codes)
-        hashes = hash_words(self.words)[self.codes] if n else np.zeros(0, np.uint64)
-        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers(BASE, n), dtype=np.uint64)))
+        up = powers(BASE, n)
+        self.sums, self.check_sums = (
+            np.concatenate((np.zeros(1, np.uint64), np.cumsum(h[self.codes] * up, dtype=np.uint64)))
+            for h in two_hashes(self.words))
         self.back = powers(INVERSE, n)
         self.salts = np.array([xxhash.xxh3_64_intdigest(x) for x in self.langs], dtype=np.uint64)
 
     def fingerprints(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Of every run of ``length`` words its fingerprint, and whether it lies within a piece."""
-        n = max(0, len(self.codes) - length + 1)
+        n = len(self.codes) - max(length - 1, 0)
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
         value = (self.sums[length:length + n] - self.sums[:n]) * self.back[:n]
         value = scramble(value ^ self.salts[self.lang[:n]] ^ np.uint64(length * GOLDEN % (1 << 64)))
-        return value, self.piece[:n] == self.piece[length - 1:length - 1 + n]
+        return value, self.piece[:n] == self.piece[max(length - 1, 0):][:n]
+
+    def checks(self, length: int, first: np.ndarray) -> np.ndarray:
+        """The second hashes of the phrases that begin at the words ``first``."""
+        value = (self.check_sums[first + length] - self.check_sums[first]) * self.back[first]
+        return (scramble(value ^ np.uint64(length)) >> np.uint64(64 - CHECK_BITS)).astype(np.int64)
 
     def frequent(self, filters: dict[int, np.ndarray], lengths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per length the first words and fingerprints of phrases that may be frequent: their
         own filter lets them through if there is one, and so do those of their words and pairs."""
         parts, size = None, 0   # may a part of ``size`` words be frequent, by its first word
-        for length in range(1, max(lengths) + 1):
+        for length in range(max(lengths) + 1):
+            own = filters.get(length)
+            narrows = own is not None and length in (1, 2)
+            if length not in lengths and not narrows:
+                continue
             value, whole = self.fingerprints(length)
             if parts is not None:
                 for k in range(length - size + 1):
                     whole &= parts[k:k + len(whole)]
-            own = filters.get(length)
-            if length in lengths or (own is not None and length <= 2):
-                if own is not None:
-                    whole &= has(own, value)
-                if length in lengths:
-                    chosen = np.flatnonzero(whole)
-                    yield length, chosen, value[chosen]
-                if own is not None and length <= 2:
-                    parts, size = whole, length
+            if own is not None:
+                whole &= has(own, value)
+            if length in lengths:
+                chosen = np.flatnonzero(whole)
+                yield length, chosen, value[chosen]
+            if narrows:
+                parts, size = whole, length
 
 
 def has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -128,11 +150,34 @@ def has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def counted(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(values, kind="stable")
-    values = values[order]
-    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
-    return values[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+class Counts:
+    """Fingerprints with occurrences, sum of second hashes and smallest pointer."""
+
+    HOW = (np.add, np.add, np.minimum)
+
+    def __init__(self):
+        self.columns = np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in self.HOW)
+        self.waiting, self.held = [], 0
+
+    def add(self, fp: np.ndarray, check: np.ndarray, pointer: np.ndarray) -> None:
+        self.waiting.append((fp, np.ones(len(fp), np.int64), check, pointer))
+        self.held += len(fp)
+
+    def fold(self) -> int:
+        fp, *values = (np.concatenate(c) for c in zip(self.columns, *self.waiting))
+        order = np.argsort(fp, kind="stable")
+        fp = fp[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(fp)), bool), fp[1:] != fp[:-1])))
+        if len(first):
+            values = [how.reduceat(v[order], first) for how, v in zip(self.HOW, values)]
+        self.columns = fp[first], *values
+        self.waiting, self.held = [], 0
+        return len(first)
+
+    def batch(self) -> pa.RecordBatch:
+        fp, *values = self.columns
+        return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), *map(pa.array, values)],
+                                          names=["fp", "f", "checks", "pointer"])
 
 
 def count_fingerprints(texts: DataFrame, lengths: list[int], filters: dict, min_count: int) -> DataFrame:
@@ -140,34 +185,26 @@ def count_fingerprints(texts: DataFrame, lengths: list[int], filters: dict, min_
     filters = texts.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(values, counts):
-            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["fp", "f"])
-
-        values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        waiting, held = [], 0
+        counts = Counts()
         for batch in batches:
             phrases = Phrases(batch.column("text"), batch.column("lang").to_pylist())
-            for _, _, found in phrases.frequent(filters.value, lengths):
-                waiting.append(found)
-                held += len(found)
-            if held > HELD:
-                more = np.concatenate(waiting)
-                values, counts = counted(np.concatenate((values, more)),
-                                         np.concatenate((counts, np.ones(len(more), np.int64))))
-                waiting, held = [], 0
-                if len(values) > HELD:
-                    yield out(values, counts)
-                    values, counts = values[:0], counts[:0]
-        more = np.concatenate(waiting) if waiting else values[:0]
-        yield out(*counted(np.concatenate((values, more)), np.concatenate((counts, np.ones(len(more), np.int64)))))
-
-    found = map_arrow(texts, run, "fp long, f long").groupBy("fp").agg(F.sum("f").alias("f"))
-    return stage(found.where(F.col("f") >= min_count).select("fp"), "collocation-fingerprints")
-
-
-def bit_filter(fingerprints: DataFrame) -> np.ndarray:
-    """The fingerprints' leading bits as a bitmap of at most 2^26 bits: 16 for each of them."""
-    size = min(MAX_FILTER_BITS, max(PIECE_BITS, (16 * fingerprints.count()).bit_length()))
+            pointer = np.asarray(batch.column("pointer"))
+            for length, first, found in phrases.frequent(filters.value, lengths):
+                counts.add(found, phrases.checks(length, first), pointer[phrases.lang[first]])
+            if counts.held > HELD and counts.fold() > HELD:
+                yield counts.batch()
+                counts = Counts()
+        counts.fold()
+        yield counts.batch()
+
+    found = map_arrow(texts, run, "fp long, f long, checks long, pointer long").groupBy("fp").agg(
+        F.sum("f").alias("f"), F.sum("checks").alias("checks"), F.min("pointer").alias("pointer"))
+    return stage(found.where(F.col("f") >= min_count), "collocation-fingerprints")
+
+
+def bit_filter(values: DataFrame) -> np.ndarray:
+    """The leading bits of the column ``fp`` as a bitmap of at most 2^26 bits: 16 for each row."""
+    size = min(MAX_FILTER_BITS, max(POINTER_BITS, PIECE_BITS, (16 * values.count()).bit_length()))
 
     def piece(table: pa.Table) -> pa.Table:
         bits = np.zeros(1 << PIECE_BITS, np.uint8)
@@ -175,33 +212,18 @@ def bit_filter(fingerprints: DataFrame) -> np.ndarray:
         return pa.table({"piece": table["piece"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
 
     at = F.shiftrightunsigned("fp", 64 - size)
-    places = fingerprints.select(at.alias("at"), F.shiftright(at, PIECE_BITS).alias("piece")).distinct()
+    places = values.select(at.alias("at"), F.shiftright(at, PIECE_BITS).alias("piece")).distinct()
     out = np.zeros((1 << (size - PIECE_BITS), 1 << (PIECE_BITS - 3)), np.uint8)
     for row in places.groupBy("piece").applyInArrow(piece, "piece long, bits binary").collect():
         out[row.piece] = np.frombuffer(row.bits, np.uint8)
     return out.ravel()
 
 
-def verified(phrases: Phrases, length: int, first: np.ndarray, values: np.ndarray) -> Iterator[tuple[str, str, int]]:
-    """Language, phrase and count of the occurrences. Each fingerprint points to its first
-    occurrence; the others' words are compared with the words there."""
-    _, pointer, group = np.unique(values, return_index=True, return_inverse=True)
-    there = first[pointer]
-    same = np.ones(len(first), bool)
-    for k in range(length):
-        same &= phrases.codes[first + k] == phrases.codes[there[group] + k]
-    number = {x: k for k, x in enumerate(dict.fromkeys(phrases.langs))}
-    of = np.array([number[x] for x in phrases.langs], dtype=np.int64)
-    same &= of[phrases.lang[first]] == of[phrases.lang[there[group]]]
-
-    def written(at: int) -> tuple[str, str]:
-        return phrases.langs[phrases.lang[at]], " ".join(spelled[phrases.codes[at + k]] for k in range(length))
-
+def written(phrases: Phrases, length: int, first: np.ndarray) -> list[tuple[str, str]]:
+    """Language and phrase at each of the words ``first``."""
     spelled = Spelled(phrases.words)
-    for at, count in zip(there.tolist(), np.bincount(group[same], minlength=len(there)).tolist()):
-        yield *written(at), count
-    for at in first[~same].tolist():
-        yield *written(at), 1
+    return [(phrases.langs[phrases.lang[at]], " ".join(spelled[c] for c in phrases.codes[at:at + length].tolist()))
+            for at in first.tolist()]
 
 
 class Spelled(dict):
@@ -216,44 +238,86 @@ class Spelled(dict):
         return word
 
 
-def materialise(texts: DataFrame, filters: dict, min_count: int) -> DataFrame:
-    """Frequent phrases (lang, phrase, f) of one to five words, and a row with a null
-    phrase per language that counts its words; staged."""
-    filters = texts.sparkSession.sparkContext.broadcast(filters)
+def pointed(found: DataFrame) -> DataFrame:
+    """Fingerprint and pointer as one value, for a filter of the pairs."""
+    return found.select(F.col("fp").bitwiseXOR(F.shiftleft("pointer", 64 - POINTER_BITS)).alias("fp"))
+
+
+def materialise(texts: DataFrame, found: DataFrame, filters: dict) -> DataFrame:
+    """``found`` with language, phrase and its second hash, from the documents pointed
+    to; staged. Colliding phrases in these documents give a row each."""
+    wanted = bit_filter(found.select(F.shiftleft("pointer", 64 - POINTER_BITS).alias("fp")).distinct())
+    shared = texts.sparkSession.sparkContext.broadcast((filters, wanted, bit_filter(pointed(found))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            keys = list(held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 pa.array(list(held.values()), pa.int64())], names=["lang", "phrase", "f"])
+        filters, wanted, pairs = shared.value
+        for batch in batches:
+            high = np.asarray(batch.column("pointer")).astype(np.uint64) << np.uint64(64 - POINTER_BITS)
+            rows = np.flatnonzero(has(wanted, high))
+            if not len(rows):
+                continue
+            batch, high = batch.take(pa.array(rows)), high[rows]
+            phrases = Phrases(batch.column("text"), batch.column("lang").to_pylist())
+            for length, first, values in phrases.frequent(filters, list(range(LONGEST + 1))):
+                near = has(pairs, values ^ high[phrases.lang[first]])
+                first, values = first[near], values[near]
+                at = high[phrases.lang[first]]
+                checks = phrases.checks(length, first)
+                order = np.lexsort((checks, at, values))
+                first, values, at, checks = first[order], values[order], at[order], checks[order]
+                new = np.ones(len(first), bool)   # one row for each fingerprint, bucket and second hash
+                new[1:] = (values[1:] != values[:-1]) | (at[1:] != at[:-1]) | (checks[1:] != checks[:-1])
+                first = first[new]
+                langs, spelled = zip(*written(phrases, length, first)) if len(first) else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[new].view(np.int64)), pa.array((at[new] >> np.uint64(64 - POINTER_BITS)).view(np.int64)),
+                     pa.array(langs, pa.string()), pa.array(spelled, pa.string()), pa.array(checks[new])],
+                    names=["fp", "pointer", "lang", "phrase", "check"])
+
+    spelled = map_arrow(texts, run, "fp long, pointer long, lang string, phrase string, check long")
+    return stage(spelled.distinct().join(found, ["fp", "pointer"]), "collocation-phrases")
+
+
+def recount(texts: DataFrame, collided: DataFrame, filters: dict, min_count: int) -> DataFrame:
+    """Counts by language and phrase, from the texts, of all phrases whose fingerprints collide."""
+    shared = texts.sparkSession.sparkContext.broadcast((filters, bit_filter(collided)))
 
-        held: dict[tuple[str, str | None], int] = {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, chosen = shared.value
         for batch in batches:
             phrases = Phrases(batch.column("text"), batch.column("lang").to_pylist())
-            for text, n in zip(*(x.tolist() for x in np.unique(phrases.lang, return_counts=True))):
-                key = phrases.langs[text], None
-                held[key] = held.get(key, 0) + n
-            for length, first, values in phrases.frequent(filters.value, list(range(1, LONGEST + 1))):
-                for lang, phrase, count in verified(phrases, length, first, values):
-                    held[lang, phrase] = held.get((lang, phrase), 0) + count
-            if len(held) > HELD_PHRASES:
-                yield out()
-                held.clear()
-        yield out()
+            for length, first, values in phrases.frequent(filters, list(range(LONGEST + 1))):
+                near = has(chosen, values)
+                rows = Counter(zip(values[near].view(np.int64).tolist(), written(phrases, length, first[near])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k[0] for k in rows], pa.int64()), pa.array([k[1][0] for k in rows], pa.string()),
+                     pa.array([k[1][1] for k in rows], pa.string()), pa.array(list(rows.values()), pa.int64())],
+                    names=["fp", "lang", "phrase", "f"])
 
-    found = map_arrow(texts, run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return stage(found.where(F.col("phrase").isNull() | (F.col("f") >= min_count)), "collocation-phrases")
+    rows = map_arrow(texts, run, "fp long, lang string, phrase string, f long").groupBy("fp", "lang", "phrase").agg(
+        F.sum("f").alias("f"))
+    return rows.where(F.col("f") >= min_count).join(collided, "fp", "semi").select("lang", "phrase", "f")
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Exact counts (lang, phrase, f) of the phrases of one to five words that occur
-    ``min_count`` times in a language; with a null phrase, its number of words."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    words = bit_filter(count_fingerprints(texts, [1], {}, min_count))
-    pairs = bit_filter(count_fingerprints(texts, [2], {1: words}, min_count))
-    longer = bit_filter(count_fingerprints(texts, [3, 4, 5], {1: words, 2: pairs}, min_count))
-    return materialise(texts, {1: words, 2: pairs, 3: longer, 4: longer, 5: longer}, min_count)
+    """Exact counts (lang, phrase, f) of the phrases of up to five words that occur
+    ``min_count`` times in a language; the empty phrase counts its words."""
+    text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
+    texts = docs.select(text.alias("text"), lang.alias("lang"),
+                        F.shiftrightunsigned(F.xxhash64(lang, text), 64 - POINTER_BITS).alias("pointer"))
+    filters, found = {}, []
+    for lengths in ([0, 1], [2], list(range(3, LONGEST + 1))):
+        found.append(count_fingerprints(texts, lengths, filters, min_count))
+        filters = filters | dict.fromkeys(lengths, bit_filter(found[-1]))
+    found = found[0].unionByName(found[1]).unionByName(found[2])
+    phrases = materialise(texts, found, filters)
+    one = (F.col("f") * F.col("check") == F.col("checks")) & (F.count("*").over(Window.partitionBy("fp")) == 1)
+    phrases = phrases.withColumn("one", one)
+    counts = phrases.where("one").select("lang", "phrase", "f")
+    collided = phrases.where(~F.col("one")).select("fp").distinct()
+    if collided.isEmpty():
+        return stage(counts, "collocation-counts")
+    return stage(counts.unionByName(recount(texts, collided, filters, min_count)), "collocation-counts")
 
 
 def exact_score(a: Column, l: Column, r: Column, n: Column) -> Column:
@@ -275,8 +339,8 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, subsumed_percent:
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Each language's first ``top`` phrases by the score of their weakest cut."""
     counts = frequent_phrases(docs, min_count, text_col, lang_col)
-    sizes = counts.where("phrase is null").select("lang", F.col("f").alias("n"))
-    known = counts.where("phrase is not null")
+    sizes = counts.where("phrase = ''").select("lang", F.col("f").alias("n"))
+    known = counts.where("phrase <> ''")
     words, size = F.col("words"), F.size("words")
     phrases = (known.withColumn("words", F.split("phrase", " ")).where(size >= 2)
                .select("lang", "phrase", F.col("f").alias("a"), "words"))
