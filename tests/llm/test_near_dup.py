@@ -20,7 +20,7 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets, parent = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
 
     def top(i):
@@ -33,7 +33,7 @@ def brute(rows):
         for j in ids:
             if i < j and sets[i] and sets[j]:
                 n = len(sets[i] & sets[j])
-                if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
                     a, b = sorted((top(i), top(j)))
                     parent[b] = a
     return {i: (len(sets[i]), top(i)) for i in ids}

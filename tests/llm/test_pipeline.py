@@ -11,6 +11,7 @@ from test_quality_rules import counts
 
 from contrail.llm import pii
 from contrail.llm.common import stage
+from contrail.llm.near_dup import WORD_PERCENT
 from contrail.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def test_stages(spark):
     assert all(now[i] == rows[i] for i in now)
 
     docs = stage(functions["near_duplicates"](spark, docs, SMALL), "t")
-    want = {i for i, (_, top) in brute([(i, r.text) for i, r in now.items()]).items() if i == top}
+    want = {i for i, (_, top) in brute([(i, r.text) for i, r in now.items()], WORD_PERCENT).items() if i == top}
     now = {r.doc_id: r for r in docs.collect()}
     assert set(now) == want and docs.columns == columns and docs.count() == len(want)
 
