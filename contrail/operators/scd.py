@@ -7,7 +7,7 @@ path by the caller, never over the one being read).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.operators.windows import latest_per_key
@@ -99,6 +99,62 @@ def scd2_upsert(history: DataFrame, feed: DataFrame, key: str, attrs: list[str],
             .unionByName(new_versions))
 
 
+def without_key_or_date(feed: DataFrame, key: str, date_col: str) -> DataFrame:
+    """The feed rows that an interval rebuild rejects."""
+    return feed.filter(F.col(key).isNull() | F.col(date_col).isNull())
+
+
+def scd2_late_feed(history: DataFrame, feed: DataFrame, key: str, attrs: list[str], date_col: str,
+                   order: list[str] | None = None) -> DataFrame:
+    """Type 2 merge of feed rows that carry their own effective dates, in any
+    order and as late as they like: the intervals of the keys in the feed are
+    rebuilt from their change points.
+
+    * A version starts at its effective date; a version that ends without a
+      successor ends its key there until a later point.
+    * A feed row on the date of a version replaces it; of several feed rows of
+      a key and date the last by ``order`` counts, then the greatest values.
+    * A point whose attributes equal those in force (NULL-safe) changes nothing and
+      is dropped; each other one lasts until the next.
+    * Feed rows without a key or date are rejected (``without_key_or_date``); keys
+      that the feed does not name pass through. Running the feed again changes nothing.
+
+    Points are first reduced to one for each key and date (a partial aggregate), so
+    the window that follows sorts at most one row a day for a key, however
+    many rows the feed has of it.
+    """
+    cols = [key, *attrs, "effective_date", "expiry_date", "is_current"]
+    feed = feed.filter(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+    named = feed.select(key).distinct()
+    touched = history.join(named, key, "left_semi")
+
+    values = F.struct(*[F.col(a) for a in attrs])
+    last = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order or [])],
+                    *[F.col(a).alias(f"v{i}") for i, a in enumerate(attrs)])
+
+    def points(rows: DataFrame, at: Column, rank: int, live: bool, by: Column) -> DataFrame:
+        return rows.select(F.col(key), at.cast("date").alias("_at"), F.lit(rank).alias("_rank"), F.lit(live).alias("_live"),
+                           values.alias("_values"), by.alias("_by"))
+
+    # a feed row beats a version that starts on its day, which beats one that ends
+    of_feed = points(feed, F.col(date_col), 2, True, last)
+    no_order = F.lit(None).cast(of_feed.schema["_by"].dataType)
+    ended = touched.filter(F.col("expiry_date") < F.lit(OPEN_END).cast("date"))
+    change = (of_feed.unionByName(points(touched, F.col("effective_date"), 1, True, no_order))
+              .unionByName(points(ended, F.col("expiry_date"), 0, False, no_order))
+              .groupBy(key, "_at")
+              .agg(F.max_by(F.struct("_live", "_values"), F.struct("_rank", "_by", "_values")).alias("_s")))
+    w = Window.partitionBy(key).orderBy("_at")
+    state = F.struct(F.col("_s._live").alias("live"), F.when(F.col("_s._live"), F.col("_s._values")).alias("v"))
+    change = change.withColumn("_s", state).withColumn("_before", F.lag("_s").over(w))
+    change = change.filter(~F.col("_s").eqNullSafe(F.col("_before")))
+    until = F.coalesce(F.lead("_at").over(w), F.lit(OPEN_END).cast("date"))
+    rebuilt = change.withColumn("_until", until).filter("_s.live").select(
+        key, *[F.col(f"_s.v.{a}").alias(a) for a in attrs], F.col("_at").alias("effective_date"),
+        F.col("_until").alias("expiry_date"), (F.col("_until") == F.lit(OPEN_END).cast("date")).alias("is_current"))
+    return history.join(named, key, "left_anti").select(*cols).unionByName(rebuilt.select(*cols))
+
+
 def scd2_as_of(facts: DataFrame, history: DataFrame, key: str, date_col: str,
                attrs: list[str], prefix: str = "") -> DataFrame:
     """Attach the dimension version valid on each fact's date

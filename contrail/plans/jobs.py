@@ -27,6 +27,8 @@ from contrail.sources import sinks as K
 # Rows before the current one in the rolling frame, incremental look-back.
 ROLLING_ROWS = 7
 INCREMENTAL_LOOKBACK_DAYS = 3
+# The columns that tell one flight leg from another; a load uses those its table has.
+LEG_KEY = ["airline_code", "flight_number", "flight_date", "tail_number", "origin_iata", "sched_dep_time"]
 
 
 def enrich_flights(df: DataFrame) -> DataFrame:
@@ -177,11 +179,26 @@ def refresh_mart(fact: DataFrame, loaded: DataFrame | Iterable[int], dim_date: D
     build_daily_mart(f, dim_date, dim_airline, mart_path, months)
 
 
+def merge_legs(loaded: DataFrame, increment: DataFrame, key: list[str], order: str = "etl_load_ts") -> DataFrame:
+    """All rows of each leg's latest load (NULL-safe on ``key``): a leg that both
+    sides hold takes the increment's rows unless the loaded ones are newer.
+    Rows of one load are never merged with each other, so legs that the key
+    cannot tell apart all stay."""
+    both = increment.withColumn("_side", F.lit(1)).unionByName(
+        loaded.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    load = F.struct(F.col(order), F.col("_side"))
+    latest = both.groupBy(*[F.col(c).alias(f"_k_{c}") for c in key]).agg(F.max(load).alias("_latest"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
+    return both.join(latest, [*same, load.eqNullSafe(F.col("_latest"))], "left_semi").drop("_side")
+
+
 def incremental_load(spark: SparkSession, table_path: str, increment: DataFrame,
-                     lookback_days: int = INCREMENTAL_LOOKBACK_DAYS) -> dict:
+                     lookback_days: int = INCREMENTAL_LOOKBACK_DAYS, key: list[str] | None = None) -> dict:
     """Merge an increment into a table partitioned by ``month_key``: rows from
     ``high-water mark - lookback_days`` on are merged with the rows of the
-    months they touch, the latest row per record hash stays.
+    months they touch, the latest load of each leg stays. A leg's key is ``key``,
+    else the columns of ``LEG_KEY`` that the table has (the record hash is an audit
+    column that lacks the airline; only tables without airline and number use it).
 
     Returns the table and the counts ``merged`` and ``rejected`` (rows before
     the look-back or without a date).
@@ -203,13 +220,12 @@ def incremental_load(spark: SparkSession, table_path: str, increment: DataFrame,
     inc = staged_rows.filter("_taken").drop("_taken")
     months = sorted(r[0] for r in inc.select("month_key").distinct().collect())
     if months:
-        rows = inc
-        if held:
-            old = spark.read.parquet(table_path).filter(F.col("month_key").isin(*months))
-            rows = inc.unionByName(old, allowMissingColumns=True)
-        latest = win.latest_per_key(rows, ["record_hash"], [F.col("etl_load_ts")])
+        old = (spark.read.parquet(table_path).filter(F.col("month_key").isin(*months)) if held
+               else spark.createDataFrame([], inc.schema))
+        shared = [c for c in LEG_KEY if c in inc.columns and c in old.columns]
+        key = key or (shared if set(LEG_KEY[:3]) <= set(shared) else ["record_hash"])
         merged = shared_path(spark, "staging", "merged")  # the table is read here and replaced below
-        latest.write.parquet(merged)
+        merge_legs(old, inc, key).write.parquet(merged)
         K.write_partitioned(spark.read.parquet(merged), table_path, ["month_key"], sort_by=["date_key"])
     return {"table": spark.read.parquet(table_path).drop("month_key") if held or months else inc.drop("month_key"),
             "merged": counts.get(True, 0), "rejected": counts.get(False, 0)}

@@ -22,6 +22,7 @@ CUTOFF = "1998-01-01"
 HISTORY_START = "1990-01-01"
 SPEND_TIERS = [(300000, "Platinum"), (150000, "Gold"), (50000, "Silver")]
 SPEND_ELSE = "Bronze"
+LATE_YEARS = (1995, 1996, 1999)
 
 
 def _orders_before(t: Tables) -> DataFrame:
@@ -75,6 +76,30 @@ def scd2_upsert(t: Tables) -> DataFrame:
     return passenger_history(t)
 
 
+def late_feed(t: Tables) -> DataFrame:
+    """Tiers by the spend of a year, effective from its middle; they reach the
+    history of 1998 out of order. A third of the passengers also has a correction
+    on the very day of the change of 1998."""
+    year = F.year("o_orderdate")
+    spend = (t.orders.filter(year.isin(*LATE_YEARS)).groupBy(F.col("o_custkey").alias("passenger_key"), year.alias("year"))
+             .agg(F.sum("o_totalprice").alias("spend")))
+    tier = F.lit(SPEND_ELSE)
+    for bound, label in reversed(SPEND_TIERS):
+        tier = F.when(F.col("spend") >= bound, F.lit(label)).otherwise(tier)
+    p = t.dim_passenger.select("passenger_key", "passenger_id", "email")
+    of_year = p.join(spend, "passenger_key").select("passenger_id", "email", tier.alias("loyalty_tier"),
+                                                    F.make_date("year", F.lit(7), F.lit(1)).alias("effective"))
+    corrected = p.filter(F.col("passenger_key") % 3 == 0).select(
+        "passenger_id", "email", F.lit("Staff").alias("loyalty_tier"), F.lit(CUTOFF).cast("date").alias("effective"))
+    return of_year.unionByName(corrected)
+
+
+@q("scd2_late_feed")
+def scd2_late_feed(t: Tables) -> DataFrame:
+    """Feeds of 1995, 1996 and 1999 after the history of 1998 was made."""
+    return S.scd2_late_feed(passenger_history(t), late_feed(t), "passenger_id", ["email", "loyalty_tier"], "effective")
+
+
 @q("scd2_as_of")
 def scd2_as_of(t: Tables) -> DataFrame:
     """Loyalty tier in force on each booking date (point-in-time lookup)."""

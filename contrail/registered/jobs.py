@@ -127,3 +127,28 @@ def incremental_load(t: Tables) -> DataFrame:
     half = t.bts_raw.filter(F.col("FlightNum").cast("long") % 2 == 0).withColumn("DepDelay", F.lit("7"))
     increment = C.transform_flights(half, load_ts="2001-08-02 06:00:00")
     return J.incremental_load(t.spark, path, increment)["table"].select(*_CLEAN_COLS)
+
+
+def legs_raw(t: Tables) -> DataFrame:
+    """Raw flights where carriers share numbers, tails are partly unknown, and a
+    flight has two legs a day that differ in origin alone."""
+    key = F.col("FlightNum").cast("long")
+    raw = t.bts_raw.filter(F.col("FlightNum").isNotNull() & F.col("Carrier").isNotNull()).withColumns({
+        "_id": key, "FlightNum": (key % 20).cast("string"),
+        "TailNum": F.when(key % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("TailNum"))})
+    return raw.withColumn("OriginAirportID", F.explode(F.array(*[
+        F.concat(F.lit(letter), F.col("_id").cast("string")) for letter in ("A", "B")])))
+
+
+@q("incremental_legs")
+def incremental_legs(t: Tables) -> DataFrame:
+    """An increment that corrects one leg of every fourth flight since the look-back:
+    flights of other carriers with its number and its other leg stay."""
+    path = shared_path(t.spark, "warehouse", "fact_flight_legs")
+    raw = legs_raw(t)
+    first = C.transform_flights(raw.drop("_id"), load_ts="2001-08-01 06:00:00")
+    first = first.filter(F.col("flight_date") < F.lit(INCREMENT_HWM_BEFORE).cast("date"))
+    K.write_partitioned(first.withColumn("month_key", J.month_key()), path, ["month_key"], sort_by=["date_key"])
+    corrected = raw.filter((F.col("_id") % 4 == 0) & F.col("OriginAirportID").startswith("A")).drop("_id")
+    increment = C.transform_flights(corrected.withColumn("DepDelay", F.lit("7")), load_ts="2001-08-02 06:00:00")
+    return J.incremental_load(t.spark, path, increment)["table"].select(*_CLEAN_COLS, "origin_iata")

@@ -71,6 +71,18 @@ def src_csv_daily(t: Tables) -> DataFrame:
     return RD.read_bts_csv(t.spark, landing, BTS_RAW_COLUMNS)
 
 
+@q("src_csv_mixed")
+def src_csv_mixed(t: Tables) -> DataFrame:
+    """Folders of a month with files of three layouts: as declared, in reverse, and with further columns."""
+    landing = shared_path(t.spark, "landing", "bts_csv_mixed")
+    part = F.pmod(F.xxhash64("FlightNum", "TailNum"), F.lit(3))
+    layouts = (BTS_RAW_COLUMNS, BTS_RAW_COLUMNS[::-1], ["Note", *BTS_RAW_COLUMNS[3:], "More", *BTS_RAW_COLUMNS[:3]])
+    raw = t.bts_raw.withColumns({"Note": F.lit("n, m"), "More": F.col("FlightDate")})
+    for k, columns in enumerate(layouts):
+        L.land_csv_by_month(raw.filter(part == k).select(*columns), landing, mode="append")
+    return RD.read_bts_csv(t.spark, landing, BTS_RAW_COLUMNS)
+
+
 @q("src_json_records")
 def src_json_records(t: Tables) -> DataFrame:
     path = shared_path(t.spark, "landing", "bts_json")

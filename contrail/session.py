@@ -106,14 +106,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names in the first line of a CSV file or of a folder's first file."""
-    inside = [p for p in glob_paths(spark, f"{path}/*") if not p.rsplit("/", 1)[-1].startswith(("_", "."))]
-    line = spark.read.text(sorted(inside)[0] if inside else path).first()
-    import csv
-    return tuple(c.strip() for c in next(csv.reader([line[0]]))) if line else ()
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives executor loss."""
     checkpoint_root(df.sparkSession)

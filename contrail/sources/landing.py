@@ -17,13 +17,13 @@ FLIGHT_RECORDS_PER_REQUEST = 100_000
 WEATHER_RESULTS_PER_REQUEST = 1000
 
 
-def land_csv_by_month(df: DataFrame, path: str, date_col: str = "FlightDate") -> None:
+def land_csv_by_month(df: DataFrame, path: str, date_col: str = "FlightDate", mode: str = "overwrite") -> None:
     """Monthly CSV folders (``month=YYYY_MM``), header row, all text; rows whose
     date is not ``yyyy-MM-dd`` go to the folder of no month."""
     from contrail.sources.sinks import partition_layout
     month = F.date_format(F.try_to_timestamp(F.col(date_col), F.lit("yyyy-MM-dd")), "yyyy_MM")
     (partition_layout(df.withColumn("month", month), ["month"])
-     .write.mode("overwrite").option("header", True).partitionBy("month").csv(path))
+     .write.mode(mode).option("header", True).partitionBy("month").csv(path))
 
 
 def _bucketed(df: DataFrame, group_cols: list[str], max_records: int) -> DataFrame:

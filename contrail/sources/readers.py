@@ -7,12 +7,15 @@ declares its schema, so nothing is inferred from a sample.
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from contrail.schemas import all_string
-from contrail.session import csv_header, glob_paths
+from contrail.session import glob_paths
 
 # Weather data types kept from the long-form results.
 WEATHER_TYPES = ["AWND", "PRCP", "SNOW", "TMAX", "TMIN", "WDF2"]
@@ -33,32 +36,46 @@ def bts_csv_paths(spark: SparkSession, landing: str, months: list[str] | None =
     return sorted(found)
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``paths`` (files or folders of files) by their header. One scan
+    finds each file's first line: of the rows at the file's start the one
+    that its task read first. The driver gets one line for each file."""
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"))
+    first = lines.filter(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        header = tuple(c.strip() for c in next(csv.reader([row.header.lstrip("\ufeff")]), ()))
+        by_header.setdefault(header, []).append(unquote(row.file))
+    return by_header
+
+
 def read_bts_csv(spark: SparkSession, landing: str, columns: list[str],
                  flight_date: str | None = None, months: list[str] | None = None) -> DataFrame:
     """The landed files of ``months`` (``YYYY_MM``; else all) as text columns
     chosen by header name; with ``flight_date`` its month's files and its rows.
 
-    Each file's header line is read first (files are few: one a month), files
-    with one header are one scan, and a file that lacks a column is an error.
-    Without a file of the asked months ``FileNotFoundError`` is raised.
+    Every file's own header counts, also of files in one folder; files with one
+    header are one scan, and a file that lacks a column is an error. Empty
+    files hold no rows. Without a file of the asked months
+    ``FileNotFoundError`` is raised.
     """
     if flight_date:
         months = months_between(flight_date, flight_date)
     paths = bts_csv_paths(spark, landing, months)
     if not paths:
         raise FileNotFoundError(f"no file of {f'{months[0]} to {months[-1]}' if months else 'any month'} in {landing}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = csv_header(spark, path)
+    out = None
+    for header, same in csv_headers(spark, paths).items():
         missing = [c for c in columns if c not in header]
         if missing:
-            raise ValueError(f"{path} has no column {', '.join(missing)}")
-        by_header.setdefault(header, []).append(path)
-    out = None
-    for header, same in by_header.items():
+            raise ValueError(f"{same[0]} has no column {', '.join(missing)}")
         one = spark.read.schema(all_string(list(header))).option("header", True) \
             .option("mode", "PERMISSIVE").csv(same).select(*columns)
         out = one if out is None else out.unionByName(one)
+    if out is None:
+        out = spark.createDataFrame([], all_string(columns))
     return out.filter(F.col("FlightDate") == flight_date) if flight_date else out
 
 
