@@ -11,15 +11,16 @@ import time
 from collections.abc import Iterable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contrail.functions.cases import delay_severity, primary_delay_cause
-from contrail.functions.dates import date_key_formatted
+from contrail.functions.cases import delay_severity, flag, primary_delay_cause
+from contrail.functions.dates import date_key, date_key_formatted
 from contrail.operators import aggregates as agg
 from contrail.operators import cleaning as C
 from contrail.operators import governance as G
 from contrail.operators import windows as win
+from contrail.operators.deltas import ROWS, MartState
 from contrail.session import glob_paths, path_exists, shared_path
 from contrail.sources import readers as RD
 from contrail.sources import sinks as K
@@ -179,6 +180,66 @@ def refresh_mart(fact: DataFrame, loaded: DataFrame | Iterable[int], dim_date: D
     build_daily_mart(f, dim_date, dim_airline, mart_path, months)
 
 
+def daily_mart_state() -> MartState:
+    """The daily airline mart's lines, and the day's longest arrival delay."""
+    return MartState(["full_date", "airline_key"], {
+        "cancelled": flag(F.col("is_cancelled")), "delayed": flag(agg.LATE["any"]()),
+        "arr": F.col("arr_delay_min"), "dep": F.col("dep_delay_min"), "revenue": F.col("total_revenue"),
+        "load": F.col("load_factor")}, {"max_arr_delay": F.col("arr_delay_min")})
+
+
+def build_mart_state(fact: DataFrame, path: str) -> None:
+    """Write the state of a whole fact by month."""
+    state = daily_mart_state().build(fact).withColumn("month_key", _month_of_date())
+    K.write_partitioned(state, path, ["month_key"])
+
+
+def _month_of_date() -> Column:
+    return (F.year("full_date") * 100 + F.month("full_date")).cast("int")
+
+
+def apply_mart_delta(spark: SparkSession, path: str, delta: DataFrame, fact: DataFrame) -> dict:
+    """Bring the state up to a delta (``deltas.row_changes``): reads the delta, the
+    months of the state that it touches, and of ``fact`` (as it is now) the rows
+    of lines whose maximum went. Returns the counts of touched and stale lines.
+
+    The new months are staged before they replace the old ones, so a run that fails
+    before the replacement changes nothing. A delta is applied once: applied
+    again it counts again, so a caller that repeats it starts from the state before.
+    """
+    kept = daily_mart_state()
+    delta = delta.persist()
+    try:
+        months = sorted(r[0] for r in delta.select(_month_of_date()).distinct().collect() if r[0] is not None)
+        if not months:
+            return {"months": [], "stale": 0}
+        state = spark.read.parquet(path).filter(F.col("month_key").isin(*months)).drop("month_key")
+        merged = shared_path(spark, "staging", "mart_merged")
+        kept.merge(state, delta).write.parquet(merged)
+    finally:
+        delta.unpersist()
+    rows = spark.read.parquet(merged)
+    counts = rows.agg(F.count_if("_stale"), F.count_if(F.col(ROWS) < 0)).first()
+    if counts[1]:
+        raise ValueError(f"the delta takes more rows away than {counts[1]} mart lines hold")
+    lo, hi = months[0] * 100, months[-1] * 100 + 99
+    touched = fact.filter(F.col("date_key").between(lo, hi) & month_key().isin(*months))
+    fresh = kept.refreshed(rows, touched).withColumn("month_key", _month_of_date())
+    K.replace_partitions(fresh, path, ["month_key"], lambda v: v.isdigit() and int(v) in set(months))
+    return {"months": months, "stale": counts[0]}
+
+
+def read_mart_state(spark: SparkSession, path: str, dim_date: DataFrame, dim_airline: DataFrame) -> DataFrame:
+    """The daily mart's lines from their state, with the dimensions' names."""
+    kept = daily_mart_state()
+    state = agg.star(spark.read.parquet(path).drop("month_key").withColumn("date_key", date_key("full_date")),
+                     dim_date, dim_airline.select(*agg.AIRLINE))
+    return state.select(*agg.BY_DAY, F.col(ROWS).alias("total_flights"), F.col("cancelled").alias("cancelled_flights"),
+                        F.col("delayed").alias("delayed_flights"), kept.average("arr").alias("avg_arr_delay"),
+                        kept.average("dep").alias("avg_dep_delay"), kept.total("revenue").alias("total_revenue"),
+                        F.round(kept.average("load"), 6).alias("avg_load_factor"), "max_arr_delay")
+
+
 def merge_legs(loaded: DataFrame, increment: DataFrame, key: list[str], order: str = "etl_load_ts") -> DataFrame:
     """All rows of each leg's latest load (NULL-safe on ``key``): a leg that both
     sides hold takes the increment's rows unless the loaded ones are newer.

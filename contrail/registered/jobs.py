@@ -11,6 +11,7 @@ from contrail.catalog import calendar, q, routed_flights
 from contrail.fixtures import Tables
 from contrail.operators import cleaning as C
 from contrail.operators import governance as G
+from contrail.operators.deltas import row_changes
 from contrail.operators.dims import data_range
 from contrail.plans import jobs as J
 from contrail.schemas import BTS_RAW_COLUMNS
@@ -115,6 +116,23 @@ def mart_refresh(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("month_key")
 
 
+def later_fact(t: Tables) -> DataFrame:
+    """The fact after a second load: new flights, corrected delays, withdrawn flights."""
+    key = F.col("flight_key")
+    corrected = F.when(key % 17 == 0, F.col("arr_delay_min") - 200).otherwise(F.col("arr_delay_min")).cast("int")
+    return t.fact_flight.filter(key % 23 != 0).withColumn("arr_delay_min", corrected)
+
+
+@q("mart_delta")
+def mart_delta(t: Tables) -> DataFrame:
+    """A state of the early flights, brought up to the later fact from the changed rows alone."""
+    path = shared_path(t.spark, "lake", "mart_state")
+    early = t.fact_flight.filter(F.col("full_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
+    J.build_mart_state(early, path)
+    J.apply_mart_delta(t.spark, path, row_changes(early, later_fact(t)), later_fact(t))
+    return J.read_mart_state(t.spark, path, calendar(t), t.dim_airline)
+
+
 @q("incremental_load")
 def incremental_load(t: Tables) -> DataFrame:
     """Initial load up to a high-water mark, then a partial increment: half of

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 
 from contrail.catalog import q
 from contrail.fixtures import Tables
+from contrail.operators.scd import assign_surrogate_keys
 from contrail.registered.storage import TS_FORMAT
 from contrail.session import shared_path
 from contrail.streaming import kpis as SK
+from contrail.streaming.late import LateRouter, dedup_events
+from contrail.streaming.progress import watermark_of
 from contrail.streaming.runner import run_both, start_upsert
 from contrail.streaming.sink import UpsertSink
 
@@ -26,6 +29,7 @@ ALERT_KEYS = ["window_start", "window_end", "origin_iata"]
 # Number of time-ordered files for the multi-batch runs; late offsets.
 SLICES = 4
 LATE_OFFSETS_MIN = (30, 3)
+HELD_BACK = 7
 
 
 def event_messages(t: Tables) -> DataFrame:
@@ -147,3 +151,95 @@ def stream_source(t: Tables) -> DataFrame:
     out = sink.read(t.spark)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz")
                             for c in ("event_ts", "sched_dep_ts", "actual_dep_ts")})
+
+
+def _timestamps(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("event_ts", "sched_dep_ts", "actual_dep_ts")})
+
+
+def _append(df: DataFrame, sink, checkpoint: str) -> None:
+    (df.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+@q("stream_compacted")
+def stream_compacted(t: Tables) -> DataFrame:
+    """KPIs in several micro-batches whose closed windows are folded after each; then the
+    first batch is delivered to the sink again."""
+    src = shared_path(t.spark, "stream", "flight_events_sliced")
+    sink = UpsertSink(shared_path(t.spark, "sinks", "airport_kpi"), KPI_KEYS)
+    checkpoint, first = shared_path(t.spark, "checkpoints", "airport_kpi"), shared_path(t.spark, "stream", "first_batch")
+    for k, _ in enumerate(time_slices(t, src)):
+        query = start_upsert(SK.windowed_kpis(SK.file_events(t.spark, src)), sink, checkpoint, available_now=True)
+        query.awaitTermination()
+        if k == 0:
+            sink.rows(t.spark, [0]).drop("_written_batch").write.parquet(first)
+        sink.compact(t.spark, watermark_of(query))
+    if t.events.isEmpty():
+        return _ntz(SK.windowed_kpis(SK.decode_events(event_messages(t).select("value"))))
+    sink(t.spark.read.parquet(first), 0)
+    return _ntz(sink.read(t.spark))
+
+
+@q("stream_dedup")
+def stream_dedup(t: Tables) -> DataFrame:
+    """Every slice's files are delivered twice, and the first slice once more after a
+    restart; the rows of all batches together hold each event once."""
+    src = shared_path(t.spark, "stream", "flight_events_twice")
+    sink = UpsertSink(shared_path(t.spark, "sinks", "flight_events_once"), ["event_id"])
+    checkpoint = shared_path(t.spark, "checkpoints", "flight_events_once")
+    staged = shared_path(t.spark, "stream", "slices")
+    schema = SK.decode_events(event_messages(t).select("value")).schema
+    seen = 0
+    for seen, _ in enumerate(time_slices(t, f"{staged}/now"), 1):
+        # the slices so far: the newest of them is delivered twice, the others once again
+        now = t.spark.read.text(f"{staged}/now")
+        now.write.text(f"{src}/run={seen}a")
+        now.write.text(f"{src}/run={seen}b")
+        _append(dedup_events(SK.file_events(t.spark, f"{src}/run=*")), sink, checkpoint)
+    if not seen:
+        return _timestamps(t.spark.createDataFrame([], schema))
+    return _timestamps(sink.rows(t.spark).drop("_written_batch"))
+
+
+@q("stream_late_side")
+def stream_late_side(t: Tables) -> DataFrame:
+    """Every seventh event is delivered after all others: those whose window is closed
+    by then come out late, with by how much; all events come out."""
+    src = shared_path(t.spark, "stream", "flight_events_held")
+    router = LateRouter(shared_path(t.spark, "sinks", "routed"))
+    checkpoint = shared_path(t.spark, "checkpoints", "routed")
+    held = F.get_json_object("value", "$.event_id").cast("long") % HELD_BACK == 0
+    for k, cond in enumerate((~held, held)):
+        event_messages(t).filter(cond).select("value").write.text(f"{src}/run={k}")
+        _append(SK.file_events(t.spark, f"{src}/run=*"), router, checkpoint)
+    columns = ["event_id", F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "airline_code", "origin_iata"]
+    kept, late = router.kept(t.spark), router.late(t.spark)
+    if kept is None:
+        none = SK.decode_events(event_messages(t).select("value"))
+        return none.select(*columns, F.lit(False).alias("is_late"), F.lit(None).cast("double").alias("late_by_sec"))
+    return kept.select(*columns, F.lit(False).alias("is_late"), F.lit(None).cast("double").alias("late_by_sec")).unionByName(
+        late.select(*columns, F.lit(True).alias("is_late"), "late_by_sec"))
+
+
+@q("stream_bitmap_distinct")
+def stream_bitmap_distinct(t: Tables) -> DataFrame:
+    """Exact distinct aircraft of sliding windows per airport, from panes' bitmaps kept by a
+    stream in several batches."""
+    src = shared_path(t.spark, "stream", "flight_events_panes")
+    tails = t.flight_events.select("tail_number").distinct()
+    known = t.spark.createDataFrame([], "tail_number string, aircraft_key long")
+    numbered = shared_path(t.spark, "stream", "aircraft")
+    assign_surrogate_keys(known, tails, "tail_number", "aircraft_key").write.parquet(numbered)
+    aircraft = t.spark.read.parquet(numbered)
+    keys = ["origin_iata"]
+    panes = None
+    sink = UpsertSink(shared_path(t.spark, "sinks", "aircraft_panes"), ["window_start", "window_end", *keys, "bucket"])
+    checkpoint = shared_path(t.spark, "checkpoints", "aircraft_panes")
+    for _ in time_slices(t, src):
+        panes = SK.aircraft_panes(SK.file_events(t.spark, src), aircraft, keys)
+        start_upsert(panes, sink, checkpoint, available_now=True).awaitTermination()
+    if panes is None:
+        batch = SK.aircraft_panes(SK.decode_events(event_messages(t).select("value")), aircraft, keys)
+        return _ntz(SK.sliding_aircraft(batch, keys))
+    return _ntz(SK.sliding_aircraft(sink.read(t.spark), keys))
