@@ -51,17 +51,18 @@ def ntile(df: DataFrame, k: int, order: list[Column], out: str,
 
 
 def percent_rank_global(df: DataFrame, order_col: str, out: str, descending: bool = True,
-                        distributed: bool = True) -> DataFrame:
+                        distributed: bool = True, values: DataFrame | None = None) -> DataFrame:
     """PERCENT_RANK() OVER (ORDER BY order_col [DESC]) = (rank - 1) / (n - 1).
 
     Distributed form: rank = 1 + number of rows strictly before the value's
     first position; computed from the dense index, then joined back on the
     value (a partial aggregate per distinct value, so a hot value is one row).
+    ``values`` may give the column's rows from where they are cheaper to read.
     """
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
     if not distributed:
         return df.withColumn(out, F.percent_rank().over(Window.orderBy(o)))
-    idx = global_index(df.select(order_col), [o], "_pr_rn", total_col="_pr_n")
+    idx = global_index(df.select(order_col) if values is None else values, [o], "_pr_rn", total_col="_pr_n")
     first = idx.groupBy(order_col).agg(F.min("_pr_rn").alias("_pr_first"),
                                        F.first("_pr_n").alias("_pr_n"))
     pr = F.when(F.col("_pr_n") <= 1, F.lit(0.0)).otherwise(

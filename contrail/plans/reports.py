@@ -14,6 +14,7 @@ from contrail.functions.numeric import fround
 from contrail.operators import aggregates as agg
 from contrail.operators import windows as win
 from contrail.plans.ranking import global_index
+from contrail.session import cut_lineage
 
 # ---------------------------------------------------------------- R1
 
@@ -54,11 +55,15 @@ def delay_chain(fact: DataFrame, dim_airline: DataFrame, dim_airport: DataFrame,
     """
     cols = ["flight_key", "aircraft_key", "date_key", "hour_24", "flight_number", "arr_delay_min",
             "late_aircraft_delay", "airline_key", "origin_airport_key", "dest_airport_key"]
-    # a chain starts in the year, so no earlier leg is needed
-    since = F.col("date_key") >= agg.year_key_range(year)[0]
+    # A chain starts in the year: no earlier leg is needed, and of the later ones only
+    # each aircraft's first (the rank limit is applied before the shuffle as well).
+    fact = fact.select(*cols, *(["full_date"] if "full_date" in fact.columns else []))
+    after = F.col("date_key") > agg.year_key_range(year)[1]
     if "full_date" in fact.columns:
-        since = since & (F.col("full_date") >= F.lit(f"{year}-01-01").cast("date"))
-    legs = fact.filter(since).select(*cols, *(["full_date"] if "full_date" in fact.columns else []))
+        after = after & (F.col("full_date") > F.lit(f"{year}-12-31").cast("date"))
+    first = Window.partitionBy("aircraft_key").orderBy("date_key", "hour_24", "flight_key")
+    later = fact.filter(after).withColumn("_n", F.row_number().over(first)).filter(F.col("_n") < max_depth).drop("_n")
+    legs = fact.filter(agg.in_year(fact, year)).unionByName(later)
     # Dense position in (aircraft, date, hour, flight key) order: the k-th next
     # leg of the aircraft at position p sits at p + k (if still that aircraft).
     idx = global_index(legs, ["aircraft_key", "date_key", "hour_24", "flight_key"], "_rn")
@@ -107,7 +112,7 @@ def rfm_scores(fact_reservation: DataFrame, dim_passenger: DataFrame, dim_date:
 
     Ties are broken by passenger_id so scores are deterministic.
     """
-    base = agg.rfm_base(fact_reservation, dim_passenger, dim_date, as_of)
+    base = cut_lineage(agg.rfm_base(fact_reservation, dim_passenger, dim_date, as_of))  # read once for each score
     pid = F.col("passenger_id").asc()
     s = base
     for col, order, out in (("recency_days", F.col("recency_days").desc(), "r_score"),
@@ -138,20 +143,27 @@ def rfm_segments(fact_reservation: DataFrame, dim_passenger: DataFrame, dim_date
 # ---------------------------------------------------------------- R4
 
 
-def route_ranked(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
-                 year: int) -> DataFrame:
+ROUTE_PERCENTILES = {"revenue_percentile": "total_revenue", "load_percentile": "avg_load_factor",
+                     "rpm_percentile": "revenue_per_mile"}
+
+
+def route_ranked(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame, year: int,
+                 percentiles: dict[str, str] = ROUTE_PERCENTILES, smoothed: bool = True,
+                 descending: bool = True) -> DataFrame:
     """Route metrics with revenue/load/RPM percentiles and smoothed revenue.
 
     Percent ranks and the centered average over all routes use the global
-    index, whatever the number of routes.
+    index, whatever the number of routes. The routes are aggregated once; each
+    index holds just the columns that it orders, and a report asks only for
+    those that it shows.
     """
-    r = agg.route_metrics(fact, dim_airport, dim_airline, year)
-    keys = [F.col("origin"), F.col("destination"), F.col("airline_code")]
-    for col, out in (("total_revenue", "revenue_percentile"), ("avg_load_factor", "load_percentile"),
-                     ("revenue_per_mile", "rpm_percentile")):
-        r = win.percent_rank_global(r, col, out, descending=True)
-    return win.moving_avg(r, "total_revenue", [F.col("total_miles"), *keys], 3, 3,
-                          "smoothed_revenue", distributed=True)
+    r = out = cut_lineage(agg.route_metrics(fact, dim_airport, dim_airline, year))
+    keys = ["origin", "destination", "airline_code"]
+    if smoothed:
+        out = win.rows_frame_avg(r, "total_revenue", [], ["total_miles", *keys], 3, "smoothed_revenue", after=3, key=keys)
+    for name, col in percentiles.items():
+        out = win.percent_rank_global(out, col, name, descending=descending, values=r.select(col))
+    return out
 
 
 def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: DataFrame,
@@ -162,9 +174,8 @@ def route_profitability(fact: DataFrame, dim_airport: DataFrame, dim_airline: Da
     the >= 0.8 "Platinum" tier holds the weakest routes, as written;
     ``"best_first"`` ranks ASC so Platinum is the top revenue band.
     """
-    r = route_ranked(fact, dim_airport, dim_airline, year)
-    if tier_order == "best_first":
-        r = win.percent_rank_global(r, "total_revenue", "revenue_percentile", descending=False)
+    r = route_ranked(fact, dim_airport, dim_airline, year, {"revenue_percentile": "total_revenue"}, smoothed=False,
+                     descending=tier_order != "best_first")
     out = r.select(
         "origin", "destination", "airline_code", "flight_count",
         F.round("total_revenue", 0).alias("total_revenue"),

@@ -9,11 +9,12 @@ since then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.catalog import q
 from contrail.fixtures import Tables
+from contrail.operators import asof as A
 from contrail.operators import dims as D
 from contrail.operators import scd as S
 
@@ -22,6 +23,7 @@ CUTOFF = "1998-01-01"
 HISTORY_START = "1990-01-01"
 SPEND_TIERS = [(300000, "Platinum"), (150000, "Gold"), (50000, "Silver")]
 SPEND_ELSE = "Bronze"
+SHARED = "shared"
 LATE_YEARS = (1995, 1996, 1999)
 
 
@@ -130,3 +132,25 @@ def fact_key_lookup(t: Tables) -> DataFrame:
 def partition_routing(t: Tables) -> DataFrame:
     f = t.fact_flight.select("flight_key", "date_key")
     return f.withColumn("partition_name", S.quarter_partition("date_key"))
+
+
+def shared_account(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Bookings of which a third go to one account, and a history where that account
+    has a version for every second day of bookings."""
+    r = t.fact_reservation.join(t.dim_passenger.select("passenger_key", "passenger_id"), "passenger_key")
+    r = r.select("reservation_key", "full_date", F.when(F.col("reservation_key") % 3 == 0, F.lit(SHARED))
+                 .otherwise(F.col("passenger_id")).alias("passenger_id"))
+    days = r.filter(F.day("full_date") % 2 == 0).select("full_date").distinct()
+    until = F.lead("full_date").over(Window.orderBy("full_date"))   # one row per day of the calendar
+    versions = days.select(
+        F.lit(SHARED).alias("passenger_id"), F.concat(F.lit("T"), F.day("full_date")).alias("loyalty_tier"),
+        F.col("full_date").alias("effective_date"), F.coalesce(until, F.lit(S.OPEN_END).cast("date")).alias("expiry_date"))
+    columns = versions.columns
+    return r, passenger_history(t).select(*columns).unionByName(versions)
+
+
+@q("asof_merge")
+def asof_merge(t: Tables) -> DataFrame:
+    """Tier in force on each booking date, where one account holds a third of the bookings."""
+    r, history = shared_account(t)
+    return A.asof_merge(r, history, "passenger_id", "full_date", ["loyalty_tier"], prefix="tier_")

@@ -62,3 +62,18 @@ lines AS (
 SELECT {_DAY}, off AS cancelled_flights, late AS delayed_flights, {r6("arr")} AS avg_arr_delay, {r6("dep")} AS avg_dep_delay,
   CAST(revenue AS DOUBLE) AS total_revenue, {exact_avg_round("lf", "lf_n", 2, 6)} AS avg_load_factor, longest AS max_arr_delay
 FROM lines JOIN dim_airline USING (airline_key)""", "fact_flight", "dim_airline")
+
+# a third of the bookings on one account, whose tier changes on even days of bookings
+add("asof_merge", f"""
+WITH {PASSENGER_SETS},
+r AS (
+  SELECT reservation_key, full_date, CASE WHEN reservation_key % 3 = 0 THEN 'shared' ELSE passenger_id END AS passenger_id
+  FROM fact_reservation JOIN dim_passenger USING (passenger_key)),
+even AS (SELECT DISTINCT full_date AS d FROM r WHERE day(full_date) % 2 = 0),
+tiers AS (
+  SELECT passenger_id, loyalty_tier, effective_date, expiry_date FROM history
+  UNION ALL
+  SELECT 'shared', 'T' || day(e.d), e.d, coalesce((SELECT min(n.d) FROM even n WHERE n.d > e.d), DATE '9999-12-31') FROM even e)
+SELECT r.*, h.loyalty_tier AS tier_loyalty_tier
+FROM r LEFT JOIN tiers h ON h.passenger_id = r.passenger_id AND h.effective_date <= r.full_date AND r.full_date < h.expiry_date""",
+    "fact_reservation", "dim_passenger")
