@@ -21,7 +21,8 @@ from contrail.operators import cleaning as C
 from contrail.operators import governance as G
 from contrail.operators import windows as win
 from contrail.operators.deltas import ROWS, MartState
-from contrail.session import glob_paths, path_exists, shared_path
+from contrail.operators.diff import checksum
+from contrail.session import delete_path, glob_paths, path_exists, shared_path
 from contrail.sources import readers as RD
 from contrail.sources import sinks as K
 
@@ -58,7 +59,7 @@ def last_rows(df: DataFrame, n: int) -> DataFrame:
 
 
 def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path: str, kpi_path: str,
-                tail_path: str | None = None) -> dict:
+                tail_path: str | None = None, check_state: bool = True) -> dict:
     """Enrich one day of the raw lake table; write the day's fact partitions and
     route KPIs, replacing whatever that day had.
 
@@ -66,10 +67,14 @@ def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path
     their date. Without ``tail_path`` they are taken from all earlier days;
     with it, from the newest kept state before the day (``state_day=<key>``)
     plus the days since, and the day's own state is kept for the next run.
-    After correcting an earlier day, drop the states from that day on.
+    A state counts only while the days that it sums up are as it saw them
+    (``check_state``: one narrow scan for checksums by day); a corrected, new or
+    withdrawn day voids the states from that day on.
     """
     day = int(date.fromisoformat(process_date).strftime("%Y%m%d"))
-    known = [int(p.rsplit("=", 1)[1]) for p in glob_paths(spark, f"{tail_path}/state_day=*")] if tail_path else []
+    known = _states(spark, tail_path)
+    if known and check_state:
+        known = _drop_void_states(spark, raw_path, tail_path, known)
     since = max((k for k in known if k < day), default=None)
     where = F.col("date_key") <= day
     if since is not None:
@@ -85,6 +90,8 @@ def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path
         kpis = agg.route_kpis(enriched).withColumn("date_key", F.lit(day))
         K.replace_partitions(kpis, kpi_path, ["date_key"], lambda v: v == str(day))
         if tail_path:
+            sums = day_checksums(raw.filter(where & (F.col("date_key") <= day)))
+            sums.write.mode("overwrite").parquet(f"{tail_path}/checksums/state_day={day}")
             last_rows(rows, ROLLING_ROWS).write.mode("overwrite").parquet(f"{tail_path}/state_day={day}")
     finally:
         enriched.unpersist()
@@ -92,6 +99,40 @@ def daily_batch(spark: SparkSession, raw_path: str, process_date: str, fact_path
     return {"rows_read": obs.get.get("rows"), "date_key": day}
 
 
+ROLLING_COLUMNS = ["airline_code", "origin_iata", "date_key", "flight_key", "arr_delay_min"]
+
+
+def day_checksums(raw: DataFrame) -> DataFrame:
+    """Checksums by day of what the rolling state sees of the raw rows."""
+    return raw.groupBy("date_key").agg(*checksum(ROLLING_COLUMNS))
+
+
+def _states(spark: SparkSession, tail_path: str | None) -> list[int]:
+    return sorted(int(p.rsplit("=", 1)[1]) for p in glob_paths(spark, f"{tail_path}/state_day=*")) if tail_path else []
+
+
+def _drop_void_states(spark: SparkSession, raw_path: str, tail_path: str, known: list[int]) -> list[int]:
+    """The states before the first day that differs from what a state saw; the others are
+    removed. Every state keeps the checksums of the days since the state before it,
+    so a state without checksums is void as well."""
+    seen_by = sorted(int(p.rsplit("=", 1)[1]) for p in glob_paths(spark, f"{tail_path}/checksums/state_day=*"))
+    first_bad = min((k for k in known if k not in seen_by), default=None)
+    if seen_by:
+        seen = spark.read.parquet(*[f"{tail_path}/checksums/state_day={k}" for k in seen_by])
+        now = day_checksums(spark.read.parquet(raw_path).filter(F.col("date_key") <= max(known)))
+        pairs = [df.select("date_key", F.struct("n", "x", "s").alias(side)) for side, df in (("seen", seen), ("now", now))]
+        differ = pairs[0].join(pairs[1], "date_key", "full_outer").filter(~F.col("seen").eqNullSafe(F.col("now")))
+        changed = differ.agg(F.min("date_key")).first()[0]
+        first_bad = min((d for d in (first_bad, changed) if d is not None), default=None)
+    if first_bad is None:
+        return known
+    for k in {*known, *seen_by}:
+        if k >= first_bad:
+            delete_path(spark, f"{tail_path}/state_day={k}")
+            delete_path(spark, f"{tail_path}/checksums/state_day={k}")
+    return [k for k in known if k < first_bad]
+
+
 def month_key(col: str = "date_key"):
     return F.floor(F.col(col) / 100).cast("int")
 
@@ -108,15 +149,19 @@ def backfill(spark: SparkSession, landing: str, columns: list[str], start: str,
     adds surrogate keys, -1 for unknown codes. Raw rows that fail a check go to
     ``quarantine_path`` with the reason. ``mart`` (``dim_date``,
     ``dim_airline``, ``fact``, ``path``) refreshes the loaded months of the
-    daily mart. A failing run logs one ``failed`` row and raises.
+    daily mart; the quarantine is kept by the month of the file. A failing run logs one ``failed`` row and raises.
     """
     t0 = time.time()
     run_ts = run_ts or datetime.now()
     clean = None
     try:
-        raw = RD.read_bts_csv(spark, landing, columns, months=RD.months_between(start, end))
+        files = RD.read_bts_csv(spark, landing, columns, months=RD.months_between(start, end), month_col="file_month")
         if quarantine_path:
-            C.quarantine_raw(raw).withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(quarantine_path)
+            # the files' months as a whole: a run again, or one after a failure, replaces what it wrote
+            months = set(RD.months_between(start, end))
+            K.replace_partitions(C.quarantine_raw(files).withColumn("run_ts", F.lit(run_ts)), quarantine_path,
+                                 ["file_month"], lambda v: v in months)
+        raw = files.drop("file_month")
         clean = C.transform_flights(C.well_formed(raw), load_ts=run_ts.isoformat(sep=" ")).drop("etl_load_ts")
         clean = clean.filter(F.col("flight_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
         clean = G.with_keys(clean, keys) if keys else clean

@@ -66,6 +66,24 @@ def batch_day(t: Tables) -> DataFrame:
                       "rolling_7d_avg_delay", "delay_percentile")
 
 
+@q("batch_corrected")
+def batch_corrected(t: Tables) -> DataFrame:
+    """A day's batch after an earlier day was corrected: the state that an earlier run
+    kept of the wrong rows does not count, so the day equals one of the full history."""
+    raw, wrong = shared_path(t.spark, "lake", "raw_flights"), shared_path(t.spark, "lake", "raw_flights_wrong")
+    right = scheduled_flights(t)
+    fact, kpis = shared_path(t.spark, "lake", "fact_flight"), shared_path(t.spark, "lake", "agg_route_kpis")
+    tail = shared_path(t.spark, "lake", "rolling_state")
+    shifted = F.when(F.col("flight_key") % 2 == 0, F.col("arr_delay_min") + 100).otherwise(F.col("arr_delay_min"))
+    right.withColumn("arr_delay_min", shifted.cast("int")).write.parquet(wrong)
+    J.daily_batch(t.spark, wrong, STATE_DAY, fact, kpis, tail)
+    right.write.parquet(raw)
+    J.daily_batch(t.spark, raw, BATCH_DAY, fact, kpis, tail)
+    day = t.spark.read.parquet(fact).filter(F.col("date_key") == int(BATCH_DAY.replace("-", "")))
+    return day.select("flight_key", "date_key", "dep_hour", "delay_severity", "primary_delay_cause",
+                      "rolling_7d_avg_delay", "delay_percentile")
+
+
 def _backfilled(t: Tables) -> tuple[DataFrame, str]:
     landing = shared_path(t.spark, "landing", "bts_csv")
     L.land_csv_by_month(t.bts_raw, landing)

@@ -16,6 +16,7 @@ from contrail.fixtures import REPORT_YEAR, Tables
 from contrail.operators import aggregates as agg
 from contrail.operators import cleaning as C
 from contrail.operators import variant as V
+from contrail.operators.diff import pruned_diff
 from contrail.schemas import BTS_RAW_COLUMNS, FLIGHT_EVENT_SCHEMA, all_string
 from contrail.session import shared_path
 from contrail.sources import landing as L
@@ -107,6 +108,18 @@ def src_json_permissive(t: Tables) -> DataFrame:
     return RD.read_airport_status(t.spark, path, AIRPORT_STATUS)
 
 
+@q("src_json_rejected")
+def src_json_rejected(t: Tables) -> DataFrame:
+    """Airports with objects that do not parse: a cut-off copy for every third airport."""
+    path = shared_path(t.spark, "landing", "faa_status_bad")
+    ap = t.dim_airport.select(F.col("iata_code").alias("airport"), "airport_key")
+    whole = F.to_json(F.struct(F.col("airport_key").cast("long").alias("departures")))
+    cut = F.when(F.col("airport_key") % 3 == 0, F.expr("substring(_v, 1, length(_v) - 1)"))
+    lines = ap.withColumn("_v", whole).select("airport", F.explode(F.array(F.col("_v"), cut, cut)).alias("value"))
+    lines.filter(F.col("value").isNotNull()).write.partitionBy("airport").text(path)
+    return RD.rejected_airport_status(t.spark, path, AIRPORT_STATUS).select("airport", "rejected")
+
+
 def weather_observations(t: Tables) -> DataFrame:
     s = t.supplier.select("s_suppkey", "s_nationkey")
     n = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
@@ -230,6 +243,15 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return X.snapshot_diff(snap.read_version(1), v2, "flight_key")
 
 
+@q("diff_pruned")
+def diff_pruned(t: Tables) -> DataFrame:
+    """A fact against one with a day's rows withdrawn, some corrected and some new."""
+    old = t.fact_flight.filter(F.col("flight_key") % 1000 != 7).select("flight_key", "date_key", "arr_delay_min", "total_revenue")
+    later = t.fact_flight.filter(F.col("flight_key") % 1000 != 11).select(*old.columns)
+    fixed = F.when(F.col("flight_key") % 500 == 3, F.lit(None)).otherwise(F.col("arr_delay_min"))
+    return pruned_diff(old, later.withColumn("arr_delay_min", fixed.cast("int")), "flight_key")
+
+
 @q("set_minus")
 def set_minus(t: Tables) -> DataFrame:
     """Routes flown in the report year and not in the next (EXCEPT, distinct)."""
@@ -251,6 +273,14 @@ def layout_clustered(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@q("layout_zorder")
+def layout_zorder(t: Tables) -> DataFrame:
+    """A fact laid out on two columns alike, read with a filter on the second."""
+    path = shared_path(t.spark, "lake", "fact_flight_zorder")
+    K.write_zordered(t.fact_flight.select("flight_key", "date_key", "distance_miles"), path, ["date_key", "distance_miles"])
+    return t.spark.read.parquet(path).filter(F.col("distance_miles").between(500, 700))
+
+
 @q("point_lookup")
 def point_lookup(t: Tables) -> DataFrame:
     path = shared_path(t.spark, "lake", "dim_passenger")

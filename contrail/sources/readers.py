@@ -52,9 +52,11 @@ def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...],
 
 
 def read_bts_csv(spark: SparkSession, landing: str, columns: list[str],
-                 flight_date: str | None = None, months: list[str] | None = None) -> DataFrame:
+                 flight_date: str | None = None, months: list[str] | None = None,
+                 month_col: str | None = None) -> DataFrame:
     """The landed files of ``months`` (``YYYY_MM``; else all) as text columns
     chosen by header name; with ``flight_date`` its month's files and its rows.
+    ``month_col`` adds the month (``YYYY_MM``) that a row's file is named for.
 
     Every file's own header counts, also of files in one folder; files with one
     header are one scan, and a file that lacks a column is an error. Empty
@@ -66,16 +68,17 @@ def read_bts_csv(spark: SparkSession, landing: str, columns: list[str],
     paths = bts_csv_paths(spark, landing, months)
     if not paths:
         raise FileNotFoundError(f"no file of {f'{months[0]} to {months[-1]}' if months else 'any month'} in {landing}")
+    of_file = [F.regexp_extract("_metadata.file_path", r"(?:bts_otd_|month=)(\d{4}_\d{2})", 1).alias(month_col)] if month_col else []
     out = None
     for header, same in csv_headers(spark, paths).items():
         missing = [c for c in columns if c not in header]
         if missing:
             raise ValueError(f"{same[0]} has no column {', '.join(missing)}")
         one = spark.read.schema(all_string(list(header))).option("header", True) \
-            .option("mode", "PERMISSIVE").csv(same).select(*columns)
+            .option("mode", "PERMISSIVE").csv(same).select(*columns, *of_file)
         out = one if out is None else out.unionByName(one)
     if out is None:
-        out = spark.createDataFrame([], all_string(columns))
+        out = spark.createDataFrame([], all_string([*columns, *([month_col] if month_col else [])]))
     return out.filter(F.col("FlightDate") == flight_date) if flight_date else out
 
 
@@ -92,12 +95,27 @@ def read_record_envelopes(spark: SparkSession, path: str, record_schema: StructT
 def read_airport_status(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """One JSON object per airport file; the airport code comes from the file
     path, malformed records are dropped (PERMISSIVE + corrupt-record column)."""
-    s = StructType(schema.fields + [StructType().add("_corrupt_record", "string").fields[0]])
-    df = (spark.read.schema(s).option("mode", "PERMISSIVE")
+    df = (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    airport = F.regexp_extract(F.col("_metadata.file_path"), r"airport=([^/]+)", 1)
     return (df.filter(F.col("_corrupt_record").isNull())
-            .select(airport.alias("airport"), *[f.name for f in schema.fields]))
+            .select(airport_of_path().alias("airport"), *[f.name for f in schema.fields]))
+
+
+def rejected_airport_status(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The objects that ``read_airport_status`` drops: airport and number, with one as a sample."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(
+        airport_of_path().alias("airport"), "value",
+        F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("_r"))
+    return (lines.filter(F.col("_r._corrupt_record").isNotNull())
+            .groupBy("airport").agg(F.count(F.lit(1)).alias("rejected"), F.min("value").alias("sample")))
+
+
+def airport_of_path() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), r"airport=([^/]+)", 1)
+
+
+def _with_corrupt(schema: StructType) -> StructType:
+    return StructType(schema.fields + [StructType().add("_corrupt_record", "string").fields[0]])
 
 
 def read_weather(spark: SparkSession, path: str, stations: list[str] | None = None,

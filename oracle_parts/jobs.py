@@ -67,6 +67,7 @@ SELECT t.flight_key, t.date_key, t.hour_24 AS dep_hour, {_SEV.format(n="")} AS d
   {r6("CASE WHEN b.n > 1 THEN b.b::DOUBLE / (b.n - 1) ELSE 0 END")} AS delay_percentile
 FROM today t JOIN frame f USING (flight_key) JOIN below b USING (flight_key)""", "fact_flight", "dim_airport")
 
+ORACLE["batch_corrected"] = ORACLE["batch_day"]
 ORACLE["mart_refresh"] = ORACLE["mart_daily_airline"]
 
 add("run_log_report", f"""

@@ -77,3 +77,21 @@ tiers AS (
 SELECT r.*, h.loyalty_tier AS tier_loyalty_tier
 FROM r LEFT JOIN tiers h ON h.passenger_id = r.passenger_id AND h.effective_date <= r.full_date AND r.full_date < h.expiry_date""",
     "fact_reservation", "dim_passenger")
+
+ORACLE_DIFF = """
+WITH old AS (SELECT flight_key, date_key, arr_delay_min, total_revenue FROM fact_flight WHERE flight_key % 1000 <> 7),
+later AS (
+  SELECT flight_key, date_key, CASE WHEN flight_key % 500 = 3 THEN NULL ELSE arr_delay_min END AS arr_delay_min, total_revenue
+  FROM fact_flight WHERE flight_key % 1000 <> 11)
+SELECT flight_key, 'removed' AS change_type FROM old WHERE flight_key NOT IN (SELECT flight_key FROM later)
+UNION ALL
+SELECT flight_key, 'added' FROM later WHERE flight_key NOT IN (SELECT flight_key FROM old)
+UNION ALL
+SELECT o.flight_key, 'changed' FROM old o JOIN later l USING (flight_key) WHERE o.arr_delay_min IS DISTINCT FROM l.arr_delay_min"""
+add("diff_pruned", ORACLE_DIFF, "fact_flight")
+
+add("layout_zorder", "SELECT flight_key, date_key, distance_miles FROM fact_flight WHERE distance_miles BETWEEN 500 AND 700",
+    "fact_flight")
+
+add("src_json_rejected", "SELECT iata_code AS airport, CAST(2 AS BIGINT) AS rejected FROM dim_airport WHERE airport_key % 3 = 0",
+    "dim_airport")
