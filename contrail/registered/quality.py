@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from contrail.catalog import calendar, clock, event_legs, q
 from contrail.fixtures import Tables
@@ -153,3 +154,18 @@ def chk_fk_orphans(t: Tables) -> DataFrame:
     ])
     return flights.unionByName(bookings).unionByName(departures)
 
+
+
+@q("chk_fk_times")
+def chk_fk_times(t: Tables) -> DataFrame:
+    """Time-of-day keys of both facts: departure, arrival and booking."""
+    key, hour = F.col("flight_key"), F.col("hour_24")
+    flights = t.fact_flight.select(
+        F.when(key % 211 == 0, F.lit(2400)).otherwise(hour * 100 + key % 60).alias("dep_time_key"),
+        F.when(key % 97 == 0, hour * 100 + 60 + key % 40).otherwise((hour + 2) % 24 * 100 + key % 60).alias("arr_time_key"))
+    k = F.col("reservation_key")
+    bookings = t.fact_reservation.select(F.when(k % 89 == 0, F.lit(-1)).otherwise(k % 24 * 100 + k % 60).alias("time_key"))
+    return I.fk_orphans_multi(flights, [
+        ("dep_time_key", clock(t), "time_key", "fact_flight.dep_time_key"),
+        ("arr_time_key", clock(t), "time_key", "fact_flight.arr_time_key"),
+    ]).unionByName(I.fk_orphans_multi(bookings, [("time_key", clock(t), "time_key", "fact_reservation.time_key")]))

@@ -95,3 +95,28 @@ add("layout_zorder", "SELECT flight_key, date_key, distance_miles FROM fact_flig
 
 add("src_json_rejected", "SELECT iata_code AS airport, CAST(2 AS BIGINT) AS rejected FROM dim_airport WHERE airport_key % 3 = 0",
     "dim_airport")
+
+add("chk_unique_current_found", f"""
+WITH {PASSENGER_SETS},
+twice AS (
+  SELECT * REPLACE (CASE WHEN CAST(regexp_extract(passenger_id, '([0-9]+)$', 1) AS INT) % 100 = 0 THEN effective_date
+    ELSE effective_date + 1 END AS effective_date)
+  FROM history WHERE is_current AND CAST(regexp_extract(passenger_id, '([0-9]+)$', 1) AS INT) % 50 = 0)
+SELECT 'passenger_history.current' AS check_name, passenger_id AS key_value, CAST(2 AS BIGINT) AS dup_count FROM twice
+UNION ALL
+SELECT 'passenger_history.version', passenger_id || '|' || CAST(CAST(effective_date AS DATE) AS VARCHAR), 2
+FROM twice WHERE CAST(regexp_extract(passenger_id, '([0-9]+)$', 1) AS INT) % 100 = 0""", "dim_passenger")
+
+# the time keys of departures, arrivals and bookings: minutes of the day as HHMM, 2400 is none of them
+add("chk_fk_times", """
+WITH legs AS (
+  SELECT CASE WHEN flight_key % 211 = 0 THEN 2400 ELSE hour_24 * 100 + flight_key % 60 END AS dep,
+    CASE WHEN flight_key % 97 = 0 THEN hour_24 * 100 + 60 + flight_key % 40 ELSE (hour_24 + 2) % 24 * 100 + flight_key % 60 END AS arr
+  FROM fact_flight),
+bookings AS (SELECT CASE WHEN reservation_key % 89 = 0 THEN -1 ELSE reservation_key % 24 * 100 + reservation_key % 60 END AS at FROM fact_reservation),
+keys AS (
+  SELECT 'fact_flight.dep_time_key' AS fk_name, dep AS k FROM legs
+  UNION ALL SELECT 'fact_flight.arr_time_key', arr FROM legs
+  UNION ALL SELECT 'fact_reservation.time_key', at FROM bookings)
+SELECT fk_name, CAST(k AS VARCHAR) AS key_value, count(*) AS orphan_rows FROM keys
+WHERE NOT (k BETWEEN 0 AND 2359 AND k % 100 < 60) GROUP BY ALL""", "fact_flight", "fact_reservation")
