@@ -58,7 +58,7 @@ class UnitTokenizer:
     break between two others, so a text is cut there and each different unit
     is tokenised once and kept (at most ``keep`` units). Nor does it join
     letters and the marks after them. Texts with other white space beside a cut,
-    and texts that hold the marker themselves, are tokenised whole.
+    and texts that hold the marker or an added token, are tokenised whole.
     """
 
     START = "\x00"  # marks a unit that no space precedes
@@ -66,7 +66,8 @@ class UnitTokenizer:
     def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # tokens that the library finds in a text before it cuts it into words
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.keep = keep
         self.known: dict[str, bytes | None] = {}
@@ -97,7 +98,9 @@ class UnitTokenizer:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        holds = np.asarray(pc.match_substring(texts, self.START))
+        holds = np.zeros(len(texts), dtype=bool)
+        for token in (self.START, *self.added):
+            holds |= np.asarray(pc.match_substring(texts, token))
         marked = pc.replace_substring(texts, "\n", " \n " + self.START)
         marked = pc.binary_join_element_wise(pa.scalar(self.START, pa.large_string()), marked,
                                              pa.scalar("", pa.large_string()))

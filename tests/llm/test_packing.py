@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from contrail.llm.packing import UnitTokenizer, WindowPacker, pack_documents
 from contrail.llm.queries import QUERIES, tokenizer_path
@@ -16,7 +17,6 @@ SMALL = "/root/testdata/sf0.001"
 def tokenizer():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return t
 
 
@@ -100,3 +100,10 @@ def test_open_windows_stay_bounded(spark):
     docs = spark.createDataFrame([(i, "a b " * 300) for i in range(400)], "doc_id long, text string").repartition(1)
     out = pack_documents(docs, tokenizer_path(), max_open=8).groupBy("sequence_id").sum("length").collect()
     assert sum(1 for r in out if r["sum(length)"] != 1024) <= 10
+
+
+def test_added_tokens_in_a_text_are_found_as_the_library_finds_them():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z\n", "<|endo", None, "plain words"]
+    own = UnitTokenizer(tokenizer_path()).encode(pa.array(texts))
+    assert [x.tolist() for x in own] == [tokenizer().encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(own[0]) < 9
