@@ -160,18 +160,22 @@ class Counts:
         self.waiting, self.held = [], 0
 
     def add(self, fp: np.ndarray, check: np.ndarray, pointer: np.ndarray) -> None:
-        self.waiting.append((fp, np.ones(len(fp), np.int64), check, pointer))
+        self.waiting.append((fp, check.astype(np.int32), pointer.astype(np.int32)))
         self.held += len(fp)
 
     def fold(self) -> int:
-        fp, *values = (np.concatenate(c) for c in zip(self.columns, *self.waiting))
+        fps, checks, pointers = (list(c) for c in zip(*self.waiting)) if self.waiting else ([], [], [])
+        more = [np.ones(self.held, np.int64)], checks, pointers
+        self.waiting, self.held = [], 0
+        old, *values = self.columns
+        fp = np.concatenate([old, *fps])
         order = np.argsort(fp, kind="stable")
         fp = fp[order]
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(fp)), bool), fp[1:] != fp[:-1])))
         if len(first):
-            values = [how.reduceat(v[order], first) for how, v in zip(self.HOW, values)]
+            values = [how.reduceat(np.concatenate([v, *m], dtype=np.int64)[order], first)
+                      for how, v, m in zip(self.HOW, values, more)]
         self.columns = fp[first], *values
-        self.waiting, self.held = [], 0
         return len(first)
 
     def batch(self) -> pa.RecordBatch:
@@ -191,7 +195,7 @@ def count_fingerprints(texts: DataFrame, lengths: list[int], filters: dict, min_
             pointer = np.asarray(batch.column("pointer"))
             for length, first, found in phrases.frequent(filters.value, lengths):
                 counts.add(found, phrases.checks(length, first), pointer[phrases.lang[first]])
-            if counts.held > HELD and counts.fold() > HELD:
+            if counts.held > HELD // 2 and counts.fold() > HELD:
                 yield counts.batch()
                 counts = Counts()
         counts.fold()
