@@ -113,10 +113,10 @@ WITH legs AS (
   SELECT CASE WHEN flight_key % 211 = 0 THEN 2400 ELSE hour_24 * 100 + flight_key % 60 END AS dep,
     CASE WHEN flight_key % 97 = 0 THEN hour_24 * 100 + 60 + flight_key % 40 ELSE (hour_24 + 2) % 24 * 100 + flight_key % 60 END AS arr
   FROM fact_flight),
-bookings AS (SELECT CASE WHEN reservation_key % 89 = 0 THEN -1 ELSE reservation_key % 24 * 100 + reservation_key % 60 END AS at FROM fact_reservation),
+bookings AS (SELECT CASE WHEN reservation_key % 89 = 0 THEN -1 ELSE reservation_key % 24 * 100 + reservation_key % 60 END AS booked FROM fact_reservation),
 keys AS (
   SELECT 'fact_flight.dep_time_key' AS fk_name, dep AS k FROM legs
   UNION ALL SELECT 'fact_flight.arr_time_key', arr FROM legs
-  UNION ALL SELECT 'fact_reservation.time_key', at FROM bookings)
+  UNION ALL SELECT 'fact_reservation.time_key', booked FROM bookings)
 SELECT fk_name, CAST(k AS VARCHAR) AS key_value, count(*) AS orphan_rows FROM keys
 WHERE NOT (k BETWEEN 0 AND 2359 AND k % 100 < 60) GROUP BY ALL""", "fact_flight", "fact_reservation")
