@@ -1,22 +1,32 @@
 """Quality classifier by co-training.
 
 Two views of a document: its words (text content) and its metadata (language,
-source, size). Each view has a logistic classifier of *good* documents, those
-labelled good quality and not toxic. Over ``ROUNDS`` rounds each classifier
-scores a pool of unlabelled documents, and its most confident answers become
-pseudo-labels for the other view's next training. The views are then
+source, size). Each view has a naive Bayes classifier of *good* documents,
+those labelled good quality and not toxic. In each of ``ROUNDS`` rounds both
+classifiers score every document without a label in use, and what one view is
+sure of becomes a pseudo-label for the other's next training. The views are
 calibrated on labelled rows that neither saw, and combined into one score.
 
-Learning uses bounded samples, chosen by hash: about ``MAX_LABELLED`` labelled
-rows and ``MAX_POOL`` pool rows, whose features (not texts) go to the driver.
-Scoring reads every row and the whole text, in tasks that hold the two weight
-vectors.
+How it scales: texts are read once, to a packed list of hashed features each,
+written to the shared folder. A round is one pass over that table: tasks score
+their rows and add up, per feature, how many good and bad (pseudo-)labelled
+rows hold it; the sums are merged by a shuffle on the feature. The driver sees
+one row for each of the ``2 ** TEXT_BITS + 2 ** META_BITS`` features and, of
+the labelled rows, the two scores of those that calibrate, whatever the number
+of documents. Counts are integers, so results do not depend on row order.
+
+Labels are bounded: at most ``MAX_LABELLED`` label ids, those with the smallest
+hashes; documents of the other labels take part as unlabelled. No other row is
+left out. All pseudo-labels of a class together weigh at most as much as its
+labels do.
 
 Labels without id or quality are not used; a null toxic mark counts as not
-toxic; of several labels of one id the worst counts. Without labels of both
+toxic; of several labels of one id the worst counts, and of several documents
+of one labelled id the one with the smallest features. Without labels of both
 kinds every score is the share of good labels (0.5 if there are none). Texts
-without words score 0. Every input row gives one row, repeated or not; null
-ids are scored too. An empty table gives no rows.
+without words score 0 and teach nothing. Every input row gives one row,
+repeated or not; null ids are scored too. An empty table gives no rows. Only
+the named columns are read.
 """
 
 from __future__ import annotations
@@ -28,17 +38,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
-from contrail.llm.common import map_arrow
+from contrail.llm.common import map_arrow, stage
 
-MAX_LABELLED, MAX_POOL = 10_000, 5_000
+MAX_LABELLED = 10_000
 TEXT_BITS, META_BITS = 18, 12
-ROUNDS, STEPS = 3, 200
+WIDTHS = (1 << TEXT_BITS, 1 << META_BITS)
+ROUNDS = 3
 # Standard errors that a feature's share must differ by to be used: of many words, and of few metadata.
-TELLING_TEXT, TELLING_META, MIN_ROWS = 4.5, 3.0, 5
+TELLING, MIN_ROWS = (4.5, 3.0), 5
 CONFIDENT = 0.97        # calibrated probability that a pseudo-label needs
-PER_ROUND = 0.2         # of the pool, at most, that one view labels in a round
 KEEP_AT = 0.5
-SCALE = 1 << 30
+FOLDS = 4               # one of so many folds of the labelled rows calibrates
 
 
 def word_features(word: str) -> tuple[int, ...]:
@@ -94,116 +104,184 @@ def meta_features(lang: Column, source: Column, size: Column) -> Column:
              F.concat(F.lit("source "), F.coalesce(source.cast("string"), F.lit("?"))),
              F.concat(F.lit("size "), F.floor(F.log2(F.coalesce(size, F.lit(0)) + 1)).cast("string"))]
     parts += [F.concat(parts[0], parts[2])]
-    return F.array(*(F.pmod(F.xxhash64(p), F.lit(1 << META_BITS)).cast("int") for p in parts))
+    return F.array_distinct(F.array(*(F.pmod(F.xxhash64(p), F.lit(1 << META_BITS)).cast("int") for p in parts)))
+
+
+GAP = 0xFFFF            # a packed gap of this value only carries on the next one
+
+
+def pack(ids: np.ndarray) -> bytes:
+    """Distinct feature ids as 16-bit gaps between them."""
+    gaps = np.diff(np.unique(ids).astype(np.int64), prepend=0)
+    out = np.full(int((gaps // GAP + 1).sum()), GAP, dtype="<u2")
+    out[np.cumsum(gaps // GAP + 1) - 1] = gaps % GAP
+    return out.tobytes()
 
 
 class Sparse:
-    """Rows of distinct feature ids."""
-
-    def __init__(self, rows: list[np.ndarray], width: int):
-        self.width = width
-        self.index = np.concatenate(rows or [np.zeros(0, np.int32)]).astype(np.int64)
-        self.size = np.array([len(r) for r in rows], dtype=np.int64)
-        self.row = np.repeat(np.arange(len(rows)), self.size)
-
-    def only(self, chosen: np.ndarray) -> Sparse:
-        """The same rows with the chosen features alone."""
-        out = Sparse([], self.width)
-        keep = chosen[self.index]
-        out.index, out.row, out.size = self.index[keep], self.row[keep], self.size
-        return out
+    """Rows of distinct feature ids: ``index`` are the ids, ``row`` their rows."""
+
+    def __init__(self, index: np.ndarray, row: np.ndarray, n: int, width: int):
+        self.index, self.row, self.n, self.width = index, row, n, width
+
+    @classmethod
+    def packed(cls, column: pa.Array, width: int) -> Sparse:
+        values = column.to_pylist()
+        size = np.array([len(v) // 2 for v in values], dtype=np.int64)
+        gaps = np.frombuffer(b"".join(values), "<u2").astype(np.int64)
+        row = np.repeat(np.arange(len(values)), size)
+        total = np.concatenate([[0], np.cumsum(gaps)])
+        first = np.cumsum(size) - size
+        end = gaps != GAP
+        return cls((total[1:] - total[first][row])[end], row[end], len(values), width)
+
+    @classmethod
+    def lists(cls, column: pa.Array, width: int) -> Sparse:
+        values = column.to_pylist()
+        index = np.array([i for v in values for i in v], dtype=np.int64)
+        return cls(index, np.repeat(np.arange(len(values)), [len(v) for v in values]), len(values), width)
 
     def dot(self, weight: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weight[self.index], minlength=len(self.size))
+        """Per row the sum of its features' weights and the intercept, which comes last."""
+        return np.bincount(self.row, weight[self.index], minlength=self.n) + weight[-1]
+
+    def count(self, chosen: np.ndarray) -> np.ndarray:
+        """Per feature the number of chosen rows that hold it."""
+        return np.bincount(self.index[chosen[self.row]], minlength=self.width)
 
-    def back(self, error: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, error[self.row], minlength=self.width)
+
+def sparse_views(batch: pa.RecordBatch) -> tuple[Sparse, Sparse]:
+    return Sparse.packed(batch.column("ids"), WIDTHS[0]), Sparse.lists(batch.column("meta"), WIDTHS[1])
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def telling(rows: Sparse, target: np.ndarray, used: np.ndarray, least: float) -> np.ndarray:
-    """Features whose share among good and bad rows differs by ``least`` standard
-    errors or more, in ``MIN_ROWS`` rows at least."""
-    good, bad = used & (target > 0.5), used & (target <= 0.5)
-    n1, n0 = good.sum(), bad.sum()
-    if not n1 or not n0:
-        return np.zeros(rows.width, dtype=bool)
-    in_good, in_bad = rows.back(good.astype(float)), rows.back(bad.astype(float))
-    mean = (in_good + in_bad) / (n1 + n0)
-    error = np.sqrt(mean * (1 - mean) * (1 / n1 + 1 / n0)) + 1e-12
-    return (np.abs(in_good / n1 - in_bad / n0) / error >= least) & (in_good + in_bad >= MIN_ROWS)
-
-
-def fit(rows: Sparse, y: np.ndarray, weight: np.ndarray, least: float, steps: int = STEPS,
-        l2: float = 1e-4) -> np.ndarray:
-    """Logistic regression on the telling features, by full gradients with a step
-    size per feature; the last weight is the intercept. ``y`` is nan where a row
-    is not used."""
-    used = ~np.isnan(y)
-    target = np.where(used, y, 0.0)
-    chosen = telling(rows, target, used, least)
-    rows = rows.only(chosen)
-    weight = np.where(np.append(chosen, True), weight, 0.0)
-    seen = np.full(rows.width + 1, 1e-8)
-    for _ in range(steps):
-        error = np.where(used, sigmoid(rows.dot(weight[:-1]) + weight[-1]) - target, 0.0)
-        gradient = np.append(rows.back(error), error.sum()) / max(used.sum(), 1) + l2 * weight
-        seen += gradient ** 2
-        weight = weight - 0.3 * gradient / np.sqrt(seen)
-    return weight
+class Counts:
+    """Of one view: per feature, the good and bad rows that hold it, and all good and bad rows."""
+
+    def __init__(self, held: np.ndarray, rows: np.ndarray):
+        self.held, self.rows = held, rows
 
+    def with_pseudo(self, more: Counts) -> Counts:
+        """Plus pseudo-labelled rows, each class scaled to weigh no more than its labels."""
+        scale = np.minimum(1.0, self.rows / np.maximum(more.rows, 1))
+        return Counts(self.held + scale[:, None] * more.held, self.rows + scale * more.rows)
 
-def calibrate(columns: np.ndarray, y: np.ndarray, steps: int = 500) -> np.ndarray:
-    """Logistic weights of a few dense columns and an intercept, by Newton steps."""
-    x = np.column_stack([columns, np.ones(len(y))])
+    def weights(self, least: float) -> np.ndarray:
+        """Naive Bayes weights of the telling features, those in ``MIN_ROWS`` rows or
+        more whose shares differ by ``least`` standard errors; the last is the intercept."""
+        (good, bad), (n1, n0) = self.held, self.rows
+        mean = (good + bad) / max(n1 + n0, 1)
+        error = np.sqrt(mean * (1 - mean) * (1 / max(n1, 1) + 1 / max(n0, 1))) + 1e-12
+        told = (np.abs(good / max(n1, 1) - bad / max(n0, 1)) / error >= least) & (good + bad >= MIN_ROWS)
+        p1, p0 = (good + 0.5) / (n1 + 1), (bad + 0.5) / (n0 + 1)
+        absent = np.where(told, np.log1p(-p1) - np.log1p(-p0), 0.0)
+        present = np.where(told, np.log(p1) - np.log(p0), 0.0)
+        return np.append(present - absent, absent.sum() + np.log((n1 + 1) / (n0 + 1)))
+
+
+def calibrate(columns: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Logistic weights of a few dense columns and an intercept, by Newton steps
+    that are halved until the loss falls."""
+    scale = np.maximum(columns.std(0), 1e-9)
+    x = np.column_stack([columns / scale, np.ones(len(y))])
     w = np.zeros(x.shape[1])
-    for _ in range(min(steps, 30)):
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + 0.5e-2 * w @ w
+
+    for _ in range(steps):
         p = sigmoid(x @ w)
         h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
-        w = w - np.linalg.solve(h, x.T @ (p - y) + 1e-2 * w)
-    return w
+        step = np.linalg.solve(h, x.T @ (p - y) + 1e-2 * w)
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w - step
+    return w / np.append(scale, 1.0)
 
 
 class CoTrained:
-    """Weights of both views and of their combination."""
-
-    def __init__(self, text: np.ndarray, meta: np.ndarray, alone: tuple[np.ndarray, np.ndarray], both: np.ndarray):
-        self.text, self.meta, self.alone, self.both = text.astype(np.float32), meta.astype(np.float32), alone, both
-
-    def scores(self, text_rows: list[np.ndarray], meta_rows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        t = Sparse(text_rows, 1 << TEXT_BITS).dot(self.text[:-1]) + self.text[-1]
-        m = Sparse(meta_rows, 1 << META_BITS).dot(self.meta[:-1]) + self.meta[-1]
-        (ta, tb), (ma, mb), (a, b, c) = self.alone[0], self.alone[1], self.both
-        return sigmoid(ta * t + tb), sigmoid(ma * m + mb), sigmoid(a * t + b * m + c)
-
-
-def co_train(text_rows: list[np.ndarray], meta_rows: list[np.ndarray], y: np.ndarray, fold: np.ndarray,
-             rounds: int = ROUNDS) -> CoTrained:
-    """``y`` is 1, 0 or nan (the pool); labelled rows with ``fold`` 0 calibrate."""
-    views = (Sparse(text_rows, 1 << TEXT_BITS), Sparse(meta_rows, 1 << META_BITS))
-    labelled = ~np.isnan(y)
-    check = labelled & (fold == 0)
-    targets = [np.where(check, np.nan, y) for _ in views]
-    weights = [np.zeros(v.width + 1) for v in views]
+    """Weights of both views, their calibrations, and their combination."""
+
+    def __init__(self, weights: list[np.ndarray], alone: list[np.ndarray], both: np.ndarray | None = None):
+        self.weights, self.alone, self.both = weights, alone, both
+
+    def raw(self, views: tuple[Sparse, Sparse]) -> list[np.ndarray]:
+        return [v.dot(w) for v, w in zip(views, self.weights)]
+
+    def single(self, raw: list[np.ndarray]) -> list[np.ndarray]:
+        """Each view's calibrated probability."""
+        return [sigmoid(a * r + b) for (a, b), r in zip(self.alone, raw)]
+
+    def scores(self, views: tuple[Sparse, Sparse]) -> tuple[np.ndarray, ...]:
+        raw = self.raw(views)
+        a, b, c = self.both
+        return *self.single(raw), sigmoid(a * raw[0] + b * raw[1] + c)
+
+
+def tally(rows: DataFrame, model: CoTrained | None = None) -> list[Counts]:
+    """Counts of both views: by the rows' own ``good``, or, given a model, by what
+    the other view is sure of."""
+    def run(batches):
+        held = [np.zeros((2, w), dtype=np.int64) for w in WIDTHS]
+        total = np.zeros((2, 2), dtype=np.int64)
+        for b in batches:
+            views = sparse_views(b)
+            if model is None:
+                good = np.array(b.column("good").to_pylist()) > 0
+                taught = [(good, ~good)] * 2
+            else:
+                p = model.single(model.raw(views))
+                taught = [(q >= CONFIDENT, q <= 1 - CONFIDENT) for q in reversed(p)]
+            for k in range(2):
+                for c in range(2):
+                    held[k][c] += views[k].count(taught[k][c])
+                    total[k, c] += taught[k][c].sum()
+        for k in range(2):
+            at = np.flatnonzero(held[k].any(0))
+            columns = [np.full(len(at) + 1, k), np.append(at, -1), *(np.append(held[k][c][at], total[k, c])
+                                                                     for c in range(2))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                             ["view", "feature", "good", "bad"])
+
+    parts = map_arrow(rows, run, "view long, feature long, good long, bad long")
+    # one row a feature at most, and one for each view's totals
+    sums = parts.groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow()
+    view, feature, good, bad = (sums.column(c).to_numpy() for c in ("view", "feature", "good", "bad"))
+    out = []
+    for k, width in enumerate(WIDTHS):
+        own = view == k
+        held = np.zeros((2, width + 1))     # the totals' place -1 is the last
+        held[:, feature[own]] = good[own], bad[own]
+        out.append(Counts(held[:, :-1], held[:, -1]))
+    return out
+
+
+def check_scores(rows: DataFrame, model: CoTrained) -> tuple[np.ndarray, np.ndarray]:
+    """Both views' scores of the labelled rows that calibrate, and their labels."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*map(pa.array, model.raw(sparse_views(b))), b.column("good")],
+                                             ["text", "meta", "good"])
+
+    got = map_arrow(rows, run, "text double, meta double, good int").orderBy("text", "meta", "good").toArrow()
+    return np.column_stack([got.column(c).to_numpy() for c in ("text", "meta")]), got.column("good").to_numpy()
+
+
+def co_train(learned: DataFrame, checked: DataFrame, pool: DataFrame, rounds: int = ROUNDS) -> CoTrained:
+    """``learned`` and ``checked`` are labelled rows (ids, meta, good), ``pool`` all others (ids, meta)."""
+    labelled = now = tally(learned)
     for turn in range(rounds + 1):
-        weights = [fit(v, t, w, z, STEPS if turn == 0 else STEPS // 2)
-                   for v, t, w, z in zip(views, targets, weights, (TELLING_TEXT, TELLING_META))]
-        raw = [v.dot(w[:-1]) + w[-1] for v, w in zip(views, weights)]
-        alone = tuple(calibrate(r[check][:, None], y[check]) for r in raw)
-        if turn == rounds:
-            break
-        for own in (0, 1):   # what one view is sure of teaches the other
-            other = 1 - own
-            p = sigmoid(alone[own][0] * raw[own] + alone[own][1])
-            free = ~labelled & np.isnan(targets[other])
-            sure = np.flatnonzero(free & ((p >= CONFIDENT) | (p <= 1 - CONFIDENT)))
-            best = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:int(PER_ROUND * (~labelled).sum())]
-            targets[other][best] = (p[best] > 0.5).astype(float)
-    both = calibrate(np.column_stack(raw)[check], y[check])
-    return CoTrained(weights[0], weights[1], alone, both)
+        model = CoTrained([c.weights(z) for c, z in zip(now, TELLING)], [])
+        raw, y = check_scores(checked, model)
+        model.alone = [calibrate(raw[:, k:k + 1], y) for k in range(2)]
+        if turn < rounds:
+            now = [own.with_pseudo(more) for own, more in zip(labelled, tally(pool, model))]
+    model.both = calibrate(raw, y)
+    return model
 
 
 def good_labels(labels: DataFrame) -> DataFrame:
@@ -212,64 +290,72 @@ def good_labels(labels: DataFrame) -> DataFrame:
     return own.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min(good.cast("int")).alias("good"))
 
 
-def _views(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, size_col: str) -> DataFrame:
-    text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-                       meta_features(F.col(lang_col), F.col(source_col), F.col(size_col)).alias("meta"))
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL,
-          columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> CoTrained | float:
-    """The co-trained model; without labels of both kinds, the share of good ones."""
+def views(docs: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """Per row its doc_id and the features of both views, staged. ``columns``
+    name the id, text, language, source and size."""
+    def run(batches):
+        view = TextView()
+        for b in batches:
+            ids = [pack(r) for r in view(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), b.column(2)],
+                                             ["doc_id", "ids", "meta"])
+
+    id_col, text_col, lang_col, source_col, size_col = columns
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      meta_features(F.col(lang_col), F.col(source_col), F.col(size_col)).alias("meta"))
+    return stage(map_arrow(own, run, "doc_id long, ids binary, meta array<int>"), "co_training_views")
+
+
+def train_on(rows: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
+             rounds: int = ROUNDS) -> CoTrained | float:
+    """The co-trained model of ``views`` rows; without labels of both kinds, the share of good ones."""
     good = good_labels(labels)
     counts = {r["good"]: r["count"] for r in good.groupBy("good").count().collect()}
     total = sum(counts.values())
     if len(counts) < 2:
         return counts.get(1, 0) / total if total else 0.5
-    place = F.pmod(F.xxhash64("label_id"), F.lit(SCALE))
-    # at most about max_labelled rows: small enough to send to every task
-    chosen = F.broadcast(good.where(place < min(SCALE, SCALE * max_labelled // total + 1)))
-    own = _views(docs, *columns)
-    pool = min(SCALE, SCALE * max_pool // max(docs.count(), 1) + 1)
-    at = F.xxhash64("text", "doc_id")
-    rows = own.join(chosen, F.col("doc_id") == F.col("label_id"), "left").where(
-        F.col("text").isNotNull() & (F.col("good").isNotNull() | (F.pmod(at, F.lit(SCALE)) < pool)))
-
-    def run(batches):
-        view = TextView()
-        for b in batches:
-            ids = [r.astype(np.int32).tobytes() for r in view(b.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *b.columns[1:]], ["ids", "meta", "good", "at"])
-
-    got = map_arrow(rows.select("text", "meta", "good", at.alias("at")), run,
-                    "ids binary, meta array<int>, good int, at long").collect()
-    got.sort(key=lambda r: (r["at"], r["ids"]))
-    text_rows = [np.frombuffer(r["ids"], np.int32) for r in got]
-    meta_rows = [np.unique(np.array(r["meta"], np.int32)) for r in got]
-    y = np.array([np.nan if r["good"] is None else r["good"] for r in got], dtype=float)
-    fold = np.array([r["at"] for r in got], dtype=np.int64) // 7 % 4
-    check = y[(fold == 0) & ~np.isnan(y)]
-    learn = y[(fold != 0) & ~np.isnan(y)]
-    if len(set(check)) < 2 or len(set(learn)) < 2:
+    chosen = F.broadcast(good.orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled))
+    told = rows.where(F.length("ids") > 0)
+    one = told.join(chosen, F.col("doc_id") == F.col("label_id")).groupBy("label_id").agg(
+        F.min(F.struct("ids", "meta")).alias("v"), F.first("good").alias("good"))
+    fold = F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(FOLDS)) == 0
+    labelled = stage(one.select("v.ids", "v.meta", "good", fold.alias("check")), "co_training_labelled")
+    learned, checked = (labelled.where(c).select("ids", "meta", "good") for c in (~F.col("check"), F.col("check")))
+    kinds = labelled.groupBy("check").agg(F.countDistinct("good").alias("n")).collect()
+    if [r["n"] for r in kinds] != [2, 2]:
         return counts.get(1, 0) / total
-    return co_train(text_rows, meta_rows, y, fold)
+    pool = told.join(chosen, F.col("doc_id") == F.col("label_id"), "left_anti").select("ids", "meta")
+    return co_train(learned, checked, pool, rounds)
 
 
-def score(docs: DataFrame, model: CoTrained | float, keep_at: float = KEEP_AT,
-          columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
-    """Per row: doc_id, the views' calibrated probabilities, the combined score, kept."""
+def score_rows(rows: DataFrame, model: CoTrained | float, keep_at: float = KEEP_AT) -> DataFrame:
+    """Per ``views`` row: doc_id, the views' calibrated probabilities, the combined score, kept."""
     def run(batches):
-        view = TextView()
         for b in batches:
-            ids = view(b.column(1))
-            if isinstance(model, CoTrained):
-                meta = [np.unique(np.array(m, np.int32)) for m in b.column(2).to_pylist()]
-                t, m, s = model.scores(ids, meta)
-            else:
-                t = m = s = np.full(len(ids), float(model))
-            words = np.array([len(r) > 0 for r in ids], dtype=bool)
+            own = sparse_views(b)
+            t, m, s = model.scores(own) if isinstance(model, CoTrained) else [np.full(own[0].n, float(model))] * 3
+            words = np.bincount(own[0].row, minlength=own[0].n) > 0
             s = np.where(words, s, 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(t), pa.array(m), pa.array(s), pa.array(s >= keep_at)],
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, (t, m, s, s >= keep_at))],
                                              ["doc_id", "p_text", "p_meta", "score", "kept"])
 
-    return map_arrow(_views(docs, *columns), run, "doc_id long, p_text double, p_meta double, score double, kept boolean")
+    return map_arrow(rows, run, "doc_id long, p_text double, p_meta double, score double, kept boolean")
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
+          columns: tuple[str, ...] = COLUMNS) -> CoTrained | float:
+    return train_on(views(docs, columns), labels, max_labelled)
+
+
+def score(docs: DataFrame, model: CoTrained | float, keep_at: float = KEEP_AT,
+          columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    return score_rows(views(docs, columns), model, keep_at)
+
+
+def classify(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """Co-training and its verdict on every row, the texts read once."""
+    rows = views(docs, columns)
+    return score_rows(rows, train_on(rows, labels))

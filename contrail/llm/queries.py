@@ -135,9 +135,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_co_trained_quality")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from contrail.llm.quality_classifier import score, train
-    docs = read_table(spark, sf_dir, "documents")
-    return score(docs, train(docs, read_table(spark, sf_dir, "labels")))
+    from contrail.llm.quality_classifier import classify
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 @query("op11_fenwick_fill_in_middle")
