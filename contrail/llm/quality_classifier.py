@@ -2,7 +2,8 @@
 
 Two views of a document: its words (text content) and its metadata (language,
 source, size). Each view has a naive Bayes classifier of *good* documents,
-those labelled good quality and not toxic. In each of ``ROUNDS`` rounds both
+those labelled good quality and not toxic, whose weights a logistic fit to the
+labelled rows then corrects. In each of ``ROUNDS`` rounds both
 classifiers score every document without a label in use, and what one view is
 sure of becomes a pseudo-label for the other's next training. The views are
 calibrated on labelled rows that neither saw, and combined into one score.
@@ -11,9 +12,9 @@ How it scales: texts are read once, to a packed list of hashed features each,
 written to the shared folder. A round is one pass over that table: tasks score
 their rows and add up, per feature, how many good and bad (pseudo-)labelled
 rows hold it; the sums are merged by a shuffle on the feature. The driver sees
-one row for each of the ``2 ** TEXT_BITS + 2 ** META_BITS`` features and, of
-the labelled rows, the two scores of those that calibrate, whatever the number
-of documents. Counts are integers, so results do not depend on row order.
+one row for each of the ``2 ** TEXT_BITS + 2 ** META_BITS`` features and the
+labelled rows' features, whatever the number of documents. Counts are integers
+and labelled rows are put in order, so results do not depend on row order.
 
 Labels are bounded: at most ``MAX_LABELLED`` label ids, those with the smallest
 hashes; documents of the other labels take part as unlabelled. No other row is
@@ -48,6 +49,7 @@ ROUNDS = 3
 TELLING, MIN_ROWS = (4.5, 3.0), 5
 CONFIDENT = 0.97        # calibrated probability that a pseudo-label needs
 KEEP_AT = 0.5
+STEPS, PULL = 200, 1e-4  # of the logistic fit, and its pull to where it starts
 FOLDS = 4               # one of so many folds of the labelled rows calibrates
 
 
@@ -203,6 +205,25 @@ def calibrate(columns: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray
     return w / np.append(scale, 1.0)
 
 
+def refine(rows: Sparse, y: np.ndarray, bayes: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Weights of the same features, fitted to labelled rows: from the calibrated
+    ``bayes`` weights on, by full gradients with a step size per feature. What
+    labelled rows do not tell stays as the counts of all rows have it."""
+    used = bayes[:-1] != 0
+    told = used[rows.index]
+    rows = Sparse(rows.index[told], rows.row[told], rows.n, rows.width)
+    a, b = calibrate(rows.dot(bayes)[:, None], y)
+    start = a * bayes + np.append(np.zeros(rows.width), b)
+    weight, seen, free = start, np.full(len(start), 1e-8), np.append(used, True)
+    for _ in range(steps):
+        error = sigmoid(rows.dot(weight)) - y
+        gradient = np.append(np.bincount(rows.index, error[rows.row], minlength=rows.width), error.sum()) / rows.n
+        gradient = np.where(free, gradient + PULL * (weight - start), 0.0)
+        seen += gradient ** 2
+        weight = weight - 0.3 * gradient / np.sqrt(seen)
+    return weight
+
+
 class CoTrained:
     """Weights of both views, their calibrations, and their combination."""
 
@@ -274,8 +295,12 @@ def check_scores(rows: DataFrame, model: CoTrained) -> tuple[np.ndarray, np.ndar
 def co_train(learned: DataFrame, checked: DataFrame, pool: DataFrame, rounds: int = ROUNDS) -> CoTrained:
     """``learned`` and ``checked`` are labelled rows (ids, meta, good), ``pool`` all others (ids, meta)."""
     labelled = now = tally(learned)
+    # at most the labelled rows' bound
+    known = learned.orderBy("ids", "meta", "good").toArrow().combine_chunks()
+    rows = Sparse.packed(known.column("ids"), WIDTHS[0]), Sparse.lists(known.column("meta"), WIDTHS[1])
+    target = known.column("good").to_numpy().astype(float)
     for turn in range(rounds + 1):
-        model = CoTrained([c.weights(z) for c, z in zip(now, TELLING)], [])
+        model = CoTrained([refine(v, target, c.weights(z)) for v, c, z in zip(rows, now, TELLING)], [])
         raw, y = check_scores(checked, model)
         model.alone = [calibrate(raw[:, k:k + 1], y) for k in range(2)]
         if turn < rounds:

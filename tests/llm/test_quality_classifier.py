@@ -65,8 +65,18 @@ def brute(good, text, meta, labelled, check, rounds):
             z = np.abs(g / n1 - b / n0) / (np.sqrt(mean * (1 - mean) * (1 / n1 + 1 / n0)) + 1e-12)
             told = (z >= Q.TELLING[k]) & (g + b >= Q.MIN_ROWS)
             p1, p0 = (g + .5) / (n1 + 1), (b + .5) / (n0 + 1)
-            each = np.where(x > 0, np.log(p1 / p0), np.log((1 - p1) / (1 - p0)))
-            raw.append(each[:, told].sum(1) + np.log((n1 + 1) / (n0 + 1)))
+            bayes = (np.log(p1 / p0) - np.log((1 - p1) / (1 - p0))) * told
+            rest = (np.log((1 - p1) / (1 - p0)) * told).sum() + np.log((n1 + 1) / (n0 + 1))
+            full = np.column_stack([x * told, np.ones(len(x))])
+            a, b = Q.calibrate((full[learn] @ np.append(bayes, rest))[:, None], good[learn].astype(float))
+            start = np.append(a * bayes, a * rest + b)
+            w, seen = start, 1e-8
+            for _ in range(Q.STEPS):
+                slope = full[learn].T @ (Q.sigmoid(full[learn] @ w) - good[learn]) / learn.sum()
+                slope = slope + Q.PULL * (w - start)
+                seen = seen + slope ** 2
+                w = w - 0.3 * slope / np.sqrt(seen)
+            raw.append(full @ w)
         fits = [Q.calibrate(r[test][:, None], good[test].astype(float)) for r in raw]
         p = [Q.sigmoid(a * r + b) for r, (a, b) in zip(raw, fits)]
         for k in range(2):
