@@ -7,12 +7,20 @@ consecutive outputs: what a longer prefix adds is the turn's span, what the
 opening adds is its header, and rendering the turn with an empty text gives
 its footer, so the text's own span lies between. A template that rewrites
 history is one whose output does not start with the output for the turns
-before; its turns are then located from the end of the final output.
-
-Rows are dealt by conversation and streamed in turn order. Prefixes are
-rendered over blocks of ``block`` turns, each begun with the ``overlap`` turns
-before it, so a conversation of any length costs in proportion to its length
-and holds one block in memory; each block is one row of the result.
+before. The string returned is always the template's rendering of the whole
+conversation; where history was rewritten, each turn's text is located in it by
+rendering the conversation with two other texts in its place.
+
+Rows are dealt by conversation and read in turn order. A template that is
+declared ``independent`` (a turn looks the same whatever came before it) is
+rendered in blocks of ``block`` turns, each begun with the ``overlap`` turns
+before it, so a conversation of any length holds one block in memory; each
+block is rendered after a longer prefix too, and a template that breaks its
+promise there is an error. Of any other template a conversation is held whole:
+its blocks count only while, after each of them, they add up to the rendering
+of all turns so far; otherwise every prefix is rendered whole, in quadratic
+time. Each block is one row of the result; a conversation whose history was
+rewritten is one row.
 
 A null text, role or conversation id is defined: a null text is empty, a null
 role is the empty role, and all rows with a null id are one conversation.
@@ -23,6 +31,7 @@ the four columns are read.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -77,6 +86,7 @@ class Located:
 
     def __init__(self, render: Render, before: list[Message], turns: list[Message]):
         self.rewrites = False
+        self.roles = [role for role, _ in turns]
         self.parts: list[tuple[str, int, int]] = []
         done = list(before)
         last = render(done, None) if done else ""
@@ -117,35 +127,89 @@ SCHEMA = ("conv_id bigint, block bigint, formatted string, spans array<struct<ro
           "end: bigint, text_start: bigint, text_end: bigint>>, rewrites_history boolean")
 
 
-def _blocks(rows: Iterator[tuple], render: Render, block: int, overlap: int) -> Iterator[tuple]:
+class Placed:
+    """The spans of a conversation whose history was rewritten, in its final
+    output: a text stands where outputs with two other texts in its place differ.
+    A turn that the final output leaves out has an empty text span."""
+
+    STAND_INS = "\ue000", "\ue001"
+
+    def __init__(self, render: Render, turns: list[Message]):
+        self.rewrites = True
+        self.roles = [role for role, _ in turns]
+        final, places, at = render(turns, None), [], 0
+        for k, (role, _) in enumerate(turns):
+            first, after = self._around(render, turns[:k], role, turns[k + 1:])
+            if first is not None:
+                first = min(max(first, at), len(final))
+                at = max(len(final) - after, first)
+            places.append((at if first is None else first, at))
+        begin, self.parts = 0, []
+        for k, (start, stop) in enumerate(places):
+            end = len(final)
+            if k + 1 < len(turns):  # a turn ends with its footer, as far as the final output has it
+                footer = self._footer(render, turns[:k + 1])
+                end = stop + _common(final[stop:places[k + 1][0]], footer)
+            self.parts.append((final[begin:end], start - begin, stop - begin))
+            begin = end
+
+    def _around(self, render: Render, before: list[Message], role: str, after: list[Message]) -> tuple:
+        """Lengths of what stands before and after a text; None if it is left out."""
+        one, two = (render([*before, (role, t), *after], None) for t in self.STAND_INS)
+        return (None, 0) if one == two else (_common(one, two), _common(one[::-1], two[::-1]))
+
+    def _footer(self, render: Render, turns: list[Message]) -> str:
+        now, (_, n) = render(turns, None), self._around(render, turns[:-1], turns[-1][0], [])
+        return now[len(now) - n:]
+
+
+def _whole(turns: list[Message], render: Render, block: int, overlap: int) -> list[Located | Placed]:
+    """The pieces of a conversation, for a template of any kind."""
+    pieces, so_far = [], ""
+    for k in range(0, len(turns), block):
+        pieces.append(Located(render, turns[max(k - overlap, 0):k], turns[k:k + block]))
+        so_far += "".join(part for part, _, _ in pieces[-1].parts)
+        if k and (pieces[-1].rewrites or so_far != render(turns[:k + block], None)):
+            pieces = [Located(render, [], turns)]
+            break
+    return [Placed(render, turns)] if any(p.rewrites for p in pieces) else pieces
+
+
+def _streamed(turns: Iterator[Message], render: Render, block: int, overlap: int) -> Iterator[Located]:
+    """The pieces of a conversation, for a template that is declared independent."""
+    before: list[Message] = []
+    while own := list(itertools.islice(turns, block)):
+        found = Located(render, before, own)
+        longer = before * 2
+        if before and render([*longer, *own], None) != render(longer, None) + "".join(p[0] for p in found.parts):
+            raise ValueError("the template is not independent: a block looks different after a longer prefix")
+        if found.rewrites:
+            raise ValueError("the template is not independent: it rewrites history")
+        yield found
+        before = (before + own)[-overlap:] if overlap else []
+
+
+def _blocks(rows: Iterator[tuple], render: Render, block: int, overlap: int, independent: bool) -> Iterator[tuple]:
     """One tuple for each block of the conversations, whose rows come together."""
-    conv, number, before, turns = object(), 0, [], []
-
-    def flush():
-        found = Located(render, before, turns)
-        spans, at = [], 0
-        for (role, _), (part, a, b) in zip(turns, found.parts):
-            spans.append({"role": role, "start": at, "end": at + len(part), "text_start": at + a, "text_end": at + b})
-            at += len(part)
-        return conv, number, "".join(p[0] for p in found.parts), spans, found.rewrites
-
-    for next_conv, role, text in rows:
-        if turns and (next_conv != conv or len(turns) == block):
-            yield flush()
-            before, turns = (before + turns)[-overlap:], []
-            number += 1
-        if next_conv != conv:
-            conv, number, before = next_conv, 0, []
-        turns.append((role or "", text or ""))
-    if turns:
-        yield flush()
+    for conv, own in itertools.groupby(rows, key=lambda r: r[0]):
+        turns = ((role or "", text or "") for _, role, text in own)
+        pieces = _streamed(turns, render, block, overlap) if independent else _whole(list(turns), render, block, overlap)
+        for number, found in enumerate(pieces):
+            spans, at = [], 0
+            for role, (part, a, b) in zip(found.roles, found.parts):
+                spans.append({"role": role, "start": at, "end": at + len(part), "text_start": at + a, "text_end": at + b})
+                at += len(part)
+            yield conv, number, "".join(p[0] for p in found.parts), spans, found.rewrites
 
 
 def format_conversations(rows: DataFrame, render: Render = marked_template, block: int = 64,
-                         overlap: int = 2) -> DataFrame:
+                         overlap: int = 2, independent: bool | None = None) -> DataFrame:
     """One row for each block of a conversation: the formatted string, the spans
     of its turns and their texts in it (code points, end exclusive), and whether
-    the template rewrote history. Blocks of a conversation are in order."""
+    the template rewrote history. Blocks of a conversation are in order. Unless
+    it is said, only ``marked_template`` counts as independent."""
+    streamed = render is marked_template if independent is None else independent
+
     def run(batches):
         def each():
             for b in batches:
@@ -157,7 +221,7 @@ def format_conversations(rows: DataFrame, render: Render = marked_template, bloc
                                               ["conv_id", "block", "formatted", "spans", "rewrites_history"])
 
         held, size = [], 0
-        for row in _blocks(each(), render, block, overlap):
+        for row in _blocks(each(), render, block, overlap, streamed):
             held.append(row)
             size += len(row[2])
             if size > 4_000_000 or len(held) >= 1000:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from contrail.llm import chat
 from contrail.llm.queries import ORACLE, QUERIES
@@ -73,6 +75,71 @@ def test_edges_and_blocks(spark):
     assert chat.digest_conversations(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def numbered(messages, opening=None):
+    out = "".join(f"#{k} {r}: {t}\n" for k, (r, t) in enumerate(messages))
+    return out + (f"#{len(messages)} {opening}: " if opening is not None else "")
+
+
+def truncating(messages, opening=None):
+    """Keeps the first turn and the last hundred."""
+    kept = messages if len(messages) <= 101 else [messages[0], *messages[-100:]]
+    return "".join(f"<{r}>{t};" for r, t in kept) + (f"<{opening}>" if opening is not None else "")
+
+
+def forgets_thoughts(messages, opening=None):
+    out = "".join(f"<{r}>{t if k == len(messages) - 1 else t.split('|')[-1]};" for k, (r, t) in enumerate(messages))
+    return "<bos>" + out + (f"<{opening}>" if opening is not None else "")
+
+
+def with_bos(messages, opening=None):
+    return "<bos>" * bool(messages or opening is not None) + chat.marked_template(messages, opening)
+
+
+LONG = [("assistant" if i % 2 else "user", f"t{i} {i * 7 % 10}") for i in range(200)]
+
+
+def formatted(spark, turns, **options):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])   # workers do not have this file
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)],
+                               "conv_id long, turn long, role string, text string")
+    return chat.format_conversations(df, **options).orderBy("block").collect()
+
+
+def texts(blocks):
+    return [b.formatted[s.text_start:s.text_end] for b in blocks for s in b.spans]
+
+
+def test_long_conversations_of_templates_with_memory(spark):
+    out = formatted(spark, LONG, render=numbered)
+    assert "".join(b.formatted for b in out) == numbered(LONG) and texts(out) == [t for _, t in LONG]
+    assert not any(b.rewrites_history for b in out)
+    out = formatted(spark, LONG, render=with_bos)
+    assert len(out) == 4 and "".join(b.formatted for b in out) == with_bos(LONG)
+    assert [chat.unescape(t) for t in texts(out)] == [t for _, t in LONG]
+    out = formatted(spark, LONG, render=with_bos, independent=True)
+    assert len(out) == 4 and "".join(b.formatted for b in out) == with_bos(LONG)
+
+
+def test_rewritten_history_returns_the_final_rendering(spark):
+    out = formatted(spark, LONG, render=truncating)
+    assert len(out) == 1 and out[0].rewrites_history and out[0].formatted == truncating(LONG)
+    kept = [0, *range(100, 200)]
+    assert [t for t in texts(out) if t] == [LONG[k][1] for k in kept]
+    assert [s.text_end > s.text_start for s in out[0].spans] == [k in kept for k in range(200)]
+    turns = [("a", "think|x"), ("u", "y;"), ("a", "more|z"), ("u", "")]
+    out = formatted(spark, turns, render=forgets_thoughts)
+    assert len(out) == 1 and out[0].formatted == forgets_thoughts(turns) and out[0].rewrites_history
+    assert texts(out) == ["x", "y;", "z", ""]
+    assert [out[0].formatted[s.start:s.end] for s in out[0].spans] == ["<bos><a>x;", "<u>y;;", "<a>z;", "<u>;"]
+
+
+@pytest.mark.parametrize("render", [numbered, forgets_thoughts, truncating])
+def test_broken_promise_is_an_error(render):
+    turns = [(1, r, t + "|" + t) for r, t in LONG]
+    with pytest.raises(ValueError, match="not independent"):
+        list(chat._blocks(iter(turns), render, 128, 2, True))
+
+
 def test_query_equals_sql(spark):
     from oracle_harness import compare
     problems, n, _ = compare(spark, KEY, QUERIES[KEY], ORACLE[KEY], SMALL)
