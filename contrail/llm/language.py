@@ -6,11 +6,13 @@ spaces) is compressed whole once per dictionary, and the language with the
 smallest output wins; ties go to the language with more labelled rows, then by
 name. Narrow margins are marked ``rejected``.
 
-Learning reads a bounded, documented sample: of each language's labelled rows
-about ``sample_rows``, chosen by a hash of id and text, an excerpt of
-``excerpt`` characters each, ``dict_bytes`` per dictionary and ``all_bytes``
-for all of them. Prediction reads every row and the whole text, and never the
-label, source or id.
+Learning reads a bounded, documented sample: of each language's different
+labelled texts the ``sample_rows`` with the smallest hashes, of each an excerpt
+of ``excerpt`` characters from a place in the whole text that the hash chooses,
+``dict_bytes`` per dictionary and ``all_bytes`` for all of them. Equal texts
+count once, so repeated rows neither fill the sample nor reach the driver.
+Prediction reads every row and the whole text, and never the label, source or
+id.
 
 Null texts and texts without a letter are ``und`` with score 0, as is every
 text if nothing was learned. Rows with a null id are predicted but not learned
@@ -24,7 +26,7 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm.common import map_arrow
@@ -52,23 +54,30 @@ def learn(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
           sample_rows: int = SAMPLE_ROWS, excerpt: int = EXCERPT, dict_bytes: int = DICT_BYTES,
           all_bytes: int = ALL_BYTES) -> dict[str, tuple[int, bytes]]:
     """Per language its number of labelled rows and its dictionary's content."""
-    own = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
-                      F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
-    own = own.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
+    own = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    own = own.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    counts = {r["lang"]: r for r in own.groupBy("lang").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("h", 0.02).alias("texts")).collect()}
     if not counts:
         return {}
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items()
-                           for x in (lang, min(SCALE, math.ceil(SCALE * sample_rows / n)))))
-    chosen = own.where(F.pmod("h", F.lit(SCALE)) < share[F.col("lang")])
+    # about four times the texts wanted, so that only they are shuffled; the smallest hashes are among them
+    near = F.create_map(*(F.lit(x) for lang, r in counts.items()
+                          for x in (lang, min(SCALE, math.ceil(4 * SCALE * sample_rows / max(r["texts"], 1))))))
+    place = F.pmod("h", F.lit(SCALE))
+    at = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - excerpt, F.lit(0)) + 1) + 1
+    some = own.where(place < near[F.col("lang")]).select(
+        "lang", place.alias("place"), "h", F.substring(F.col("text"), at.cast("int"), F.lit(excerpt)).alias("text"))
+    first = Window.partitionBy("lang").orderBy("place", "h")
+    chosen = some.groupBy("lang", "place", "h").agg(F.min("text").alias("text")) \
+        .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample_rows)
     taken: dict[str, list[tuple[int, str]]] = {lang: [] for lang in counts}
-    for r in chosen.select("lang", "h", F.substring("text", 1, excerpt).alias("text")).collect():
-        taken[r["lang"]].append((r["h"], r["text"]))
+    for r in chosen.select("lang", "nth", "text").collect():  # at most sample_rows a language
+        taken[r["lang"]].append((r["nth"], r["text"]))
     limit = min(dict_bytes, all_bytes // len(counts))
     out = {}
     for lang in sorted(counts):
         parts = dict.fromkeys(letters(t) for _, t in sorted(taken[lang]))
-        out[lang] = (counts[lang], "".join(parts).encode()[:limit])
+        out[lang] = (counts[lang]["n"], "".join(parts).encode()[:limit])
     return out
 
 
