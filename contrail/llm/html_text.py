@@ -13,7 +13,12 @@ same weight, so layouts that the labelled pages lack keep sensible odds. Labels
 come from pages that mark their text with ``article`` or ``main``: what they
 hold is content except marked boilerplate inside, what holds them is
 structure, all else boilerplate. Learning reads about ``sample_pages`` pages,
-chosen by a hash (a documented bound); extraction reads every page whole.
+chosen by a hash (a documented bound; copies of a page count once); extraction
+reads every page whole, in time linear in its length.
+
+A class name of several words is judged as one: an everyday word in it (related,
+legal, share) names boilerplate only if the other words name parts of a page,
+as in ``share-buttons`` but not in ``share-price``.
 
 Scripts, styles, form controls and embedded objects are never text. Character
 references are decoded, white space inside a block is one space, blocks are
@@ -28,7 +33,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +71,15 @@ navigation menu header footer sidebar aside side breadcrumb breadcrumbs cookie c
 alert popup modal overlay comment comments disqus reply replies respond discussion related recommended share sharing
 social follow subscribe subscription newsletter signup login search form widget tags pagination pager copyright
 legal masthead topbar toolbar skip hidden toc""".split())
+# Words of ordinary language among them, and words for parts of a page that they may stand with.
+EVERYDAY = frozenset("alert discussion follow form legal notice notification related recommended replies reply respond "
+                     "search share sharing side skip social subscription tags".split())
+PAGE_PARTS = frozenset("""area articles article bar block body bottom box button buttons btn card cards carousel cell
+column columns container content control controls count counter cta desktop dropdown entries feed field fields fixed
+floating grid group heading holder icon icons info inline inner input item items label labels large layer left link
+links list main media message messages meta mobile module modules more news next options outer page pages panel panels
+post posts primary results right row rows secondary section sections small stats sticky stories story strip submit tab
+tabs text title titles tools top tray ui us view wrap wrapper zone""".split())
 CONTENT_WORDS = frozenset("article content post entry story main body text page hentry prose".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/][^a-zA-Z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -117,6 +131,15 @@ def closed_at(source: str) -> dict[int, int]:
     return out
 
 
+def class_words(name: str) -> set[str]:
+    """The words of a class name; none if an everyday word is part of another notion."""
+    words = {w.lower() for w in WORDS.findall(name)}
+    bad = words & BOILER_WORDS
+    if bad and bad <= EVERYDAY and not words <= BOILER_WORDS | PAGE_PARTS:
+        return set()
+    return words
+
+
 class Page:
     """The tree: for each node its parent, evidence and, for a text block, its
     text. Parents come before children; ``marks`` is the hand-made label of an
@@ -142,7 +165,8 @@ class Page:
         words = set()
         if attributes:
             for m in MARKED.finditer(attributes):
-                words.update(w.lower() for w in WORDS.findall(m.group(1) or m.group(2) or m.group(3) or ""))
+                for name in (m.group(1) or m.group(2) or m.group(3) or "").split():
+                    words |= class_words(name)
         good, bad = words & CONTENT_WORDS, words & BOILER_WORDS
         hint = "none" if bool(good) == bool(bad) else "boiler" if bad else "content"
         mark = BOILER if tag in BOILER_TAGS or hint == "boiler" else CONTENT if tag in CONTENT_TAGS else None
@@ -154,7 +178,10 @@ class Page:
     def _parse(self, source: str) -> None:
         root = self._node(-1, "html", (("tag", "html"), ("hint", "none")), None, None)
         stack: list[tuple[str, int]] = [("html", root)]   # open elements that are nodes
+        places: defaultdict[str, list[int]] = defaultdict(list)   # where in it each tag is, but for the root
         inline: list[str] = []
+        inside: Counter = Counter()   # its tags, counted
+        endless: set[str] = set()   # tags that are not closed from here on
         buffer: list[str] = []
         links = 0
         never = ""    # the element that is skipped: head, or one that is not closed
@@ -183,10 +210,21 @@ class Page:
 
         def close_to(k: int) -> None:
             nonlocal links
-            del stack[k:]
+            while len(stack) > k:
+                places[stack.pop()[0]].pop()
             inline.clear()
+            inside.clear()
             links = 0
 
+        def own_end(tag: str, at: int) -> int | None:
+            stop = None if tag in endless else raw_end(source, tag, at)
+            if stop is None:
+                endless.add(tag)
+            return stop
+
+        def last(tags) -> int:
+            return max((places[t][-1] for t in tags if places[t]), default=0)
+
         at, end = 0, len(source)
         while at < end:
             m = TOKEN.search(source, at)
@@ -205,16 +243,17 @@ class Page:
             closing = bool(m.group(1) or m.group(4))
             attributes = m.group(3) or m.group(6) or ""
             if tag in RAW and not closing:
-                at = raw_end(source, tag, at) or end
+                at = own_end(tag, at) or end
                 continue
             if never == "head":
                 if closing:
                     never = "" if tag == "head" else never
                     continue
                 if tag in HEAD_TEXT:
-                    stop = raw_end(source, tag, at)
+                    stop = own_end(tag, at)
                     if stop is None and tag == "title":   # up to the next tag
-                        stop = source.find("<", at) if "<" in source[at:] else end
+                        stop = source.find("<", at)
+                        stop = end if stop < 0 else stop
                     at = at if stop is None else stop
                     continue
                 if tag in HEAD_EMPTY:
@@ -224,7 +263,7 @@ class Page:
                 if tag == never and closing:
                     never = ""
                     continue
-                parent = closing and (tag in inline or any(name == tag for name, _ in stack[1:]))
+                parent = closing and (inside[tag] or places[tag])
                 if not parent and (closing or tag not in BLOCKS):
                     continue
                 never = ""
@@ -241,11 +280,15 @@ class Page:
             elif tag in INLINE:
                 if not closing:
                     inline.append(tag)
+                    inside[tag] += 1
                     links += tag == "a"
-                elif tag in inline:
-                    while inline.pop() != tag:
-                        pass
-                    links = inline.count("a")
+                elif inside[tag]:
+                    while True:
+                        name = inline.pop()
+                        inside[name] -= 1
+                        if name == tag:
+                            break
+                    links = inside["a"]
             elif tag in VOID:
                 if tag == "hr":
                     flush()
@@ -253,10 +296,8 @@ class Page:
                 flush()
             elif closing:
                 flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        close_to(k)
-                        break
+                if places[tag]:
+                    close_to(places[tag][-1])
             else:
                 flush()
                 if tag in CLOSES_P:
@@ -265,14 +306,10 @@ class Page:
                             close_to(k)
                             break
                 if tag in SAME_CLOSES:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k][0] in SCOPES and tag not in ("tr", "td", "th"):
-                            break
-                        if stack[k][0] in SAME_CLOSES[tag]:
-                            close_to(k)
-                            break
-                        if stack[k][0] == "table":
-                            break
+                    k = last(SAME_CLOSES[tag])
+                    if k > last(("table",) if tag in ("tr", "td", "th") else SCOPES):
+                        close_to(k)
+                places[tag].append(len(stack))
                 stack.append((tag, self._element(stack[-1][1], tag, attributes)))
         flush()
 
@@ -419,13 +456,14 @@ class Model:
 
 
 def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Model:
-    """Counts over a hash sample of about ``sample_pages`` pages, added up by Spark;
-    the keys are a fixed set of tags, hints and measures."""
-    total = pages.count()
+    """Counts over a hash sample of about ``sample_pages`` different pages, added up
+    by Spark; the keys are a fixed set of tags, hints and measures."""
+    own = pages.select(F.col(html_col).cast("string").alias("html"))
+    total = own.agg(F.approx_count_distinct("html")).first()[0]
     scale = 1 << 30
     share = min(scale, -(-scale * sample_pages // max(total, 1)))
-    chosen = pages.select(F.col(html_col).cast("string").alias("html")).where(
-        F.pmod(F.xxhash64("html"), F.lit(scale)) < share)
+    # copies of one page fall together, in each map task first: they count once
+    chosen = own.where(F.pmod(F.xxhash64("html"), F.lit(scale)) < share).distinct()
 
     def run(batches):
         for b in batches:

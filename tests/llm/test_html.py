@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import itertools
 import re
+import time
 
 import pytest
 
@@ -119,3 +120,39 @@ def test_unclosed_elements_drop_only_what_is_theirs(tag):
 def test_math_is_text():
     assert MODEL.extract(f"<article><p>{TEXT}So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p></article>") \
         == TEXT + "So x=2 here."
+
+
+@pytest.mark.parametrize("opened", ['section id="related-work"', 'div class="legal-analysis"', 'p class="share-price"',
+                                    'div class="side-effects"', 'section class="searchEngineHistory"'])
+def test_everyday_words_in_class_names_drop_nothing(opened):
+    tag = opened.split()[0]
+    source = f"<article><h1>Title</h1><p>{TEXT}</p><{opened}>{TEXT}</{tag}><p>{TEXT}</p></article>"
+    for model in (MODEL, H.Model(H.page_counts(source))):
+        assert model.extract(source).count(TEXT.strip()) == 3
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "cookie-notice", "comment-list", "social_icons", "side-bar",
+                                  "legalNotice", "search-results", "newsletter-signup", "ad-slot", "site-footer", "share"])
+def test_boilerplate_named_by_compounds_is_dropped(name):
+    source = f'<article><p>{TEXT}</p><div class="{name}"><p>{TEXT * 2}</p></div><p>{TEXT}</p></article>'
+    assert MODEL.extract(source).split("\n\n") == [TEXT.strip()] * 2
+
+
+@pytest.mark.parametrize("part", ["<div></p></b></li>", "<noscript>", "<b></i>", "<li><div>", "<dt></dt><div>", "<button>x</div>",
+                                  "<a href='", "<td></tr>", "<head><title>"])
+def test_time_is_linear_in_long_broken_pages(part):
+    """A page of four times the length takes four times as long (sixteen times, were it quadratic)."""
+    def seconds(n):
+        source = f"<head>{part * n}<div><dl><dt><ul>{part * n}</ul>{'</span></div>' * n}"
+        began = time.process_time()
+        MODEL.extract(source)
+        return time.process_time() - began
+    seconds(500)
+    assert seconds(24000) < 9 * seconds(6000) + 0.5
+
+
+def test_copies_of_a_page_are_learned_once(spark):
+    first, other = f"<article><p>{TEXT}</p></article>", f"<main><h1>T</h1><p>{TEXT}</p></main><nav>x</nav>"
+    once = H.train(spark.createDataFrame([(first,), (other,)], "html string"))
+    often = H.train(spark.createDataFrame([(first,)] * 500 + [(other,)], "html string"))
+    assert once.likely == often.likely and once.move == often.move
