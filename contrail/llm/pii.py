@@ -1,14 +1,16 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over the whole text finds anchors: at-signs, schemes,
-plus signs, digits and identifier cues. A small parser for the anchor's kind
+plus signs, digits, identifier cues and the fixed beginnings of keys. A small parser for the anchor's kind
 then expands left and right from it and checks what it found, so the cost is
 the scan plus the neighbourhoods of anchors, each of which is read once.
 
 Base kinds (leftmost, non-overlapping per kind): email, ip, card, phone. Kinds
 that the cues add: url (an address that names a user), iban (mod-97 checked),
 account (a cued number of six digits or more), secret (a cued key or token
-with digits). Positions are code points, end exclusive.
+with digits, a password set off by a colon or equals sign, a key with a known
+beginning, a signed web token, a private key block). IBANs are found without a cue
+too, by a country's letters before digits, its length and the check. Positions are code points, end exclusive.
 
 Null and empty texts have no spans; every input row gives one row, repeated or
 not, with its id as it is (null stays null). Very long texts are scanned
@@ -33,8 +35,26 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("url", "iban", "account", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
 
-ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "compte", "cuenta", "ssn", "passport")
-SECRET_CUES = ("token", "api_key", "apikey", "api key", "secret", "password", "passwd")
+ACCOUNT_CUES = ("account", "acct", "konto", "kontonummer", "compte", "cuenta", "ssn", "passport", "passeport",
+                "reisepass", "pasaporte", "steuernummer", "social security")
+SECRET_CUES = ("token", "api_key", "apikey", "api key", "api-key", "secret", "secret_key", "secret key", "access_key",
+               "access key", "accesskey", "private_key", "bearer", "credential", "credentials")
+PASSWORD_CUES = ("password", "passwd", "passphrase", "pwd", "passwort", "kennwort")
+# Beginnings of keys that public services document, with the form of the whole.
+KEYS = {**dict.fromkeys(("akia", "asia"), r"A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])"),
+        **dict.fromkeys(("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), r"gh[pousr]_[A-Za-z0-9]{30,}"),
+        "github_pat_": r"github_pat_[A-Za-z0-9_]{22,}", "glpat-": r"glpat-[A-Za-z0-9_-]{20,}",
+        **dict.fromkeys(("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+        **dict.fromkeys(("sk_live_", "sk_test_", "rk_live_", "rk_test_"), r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"),
+        "sk-": r"sk-[A-Za-z0-9_-]{20,}", "aiza": r"AIza[A-Za-z0-9_-]{35}", "npm_": r"npm_[A-Za-z0-9]{36}",
+        "hf_": r"hf_[A-Za-z0-9]{30,}", "eyj": r"eyJ[A-Za-z0-9_-]{8,}"}
+KEYS = {prefix: re.compile(form) for prefix, form in KEYS.items()}
+# Lengths of IBANs by country, of the public registry.
+IBAN_LENGTHS = dict(pair.split(":") for pair in """AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BR:29 BY:28 CH:21
+CR:22 CY:28 CZ:24 DE:22 DK:18 DO:28 EE:20 EG:29 ES:24 FI:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HR:21 HU:28
+IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MR:27
+MT:31 MU:30 NL:18 NO:15 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 SA:24 SC:31 SE:24 SI:19 SK:24 SM:27 ST:25 SV:28 TL:23
+TN:24 TR:26 UA:29 VA:22 VG:24 XK:20""".split())
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
@@ -44,10 +64,17 @@ DIGITS = re.compile(r"[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 USER_URL = re.compile(r"[^\s/?#@<>\"']+@[A-Za-z0-9.\-\[\]:]*[A-Za-z0-9\]](?:[/?#][^\s<>\"']*[^\s<>\"'.,;:!?)\]}])?")
-AFTER_CUE = re.compile(r"[ \t]{0,4}(?:number|no\.?|nr\.?|id)?[ \t]{0,4}[:=#]?[ \t]{0,4}[\"']?")
-ACCOUNT = re.compile(r"[0-9](?:[ -]?[0-9]){5,33}(?![0-9])")
+AFTER_CUE = re.compile(r"[\"']?[ \t]{0,4}(?:number|no\.?|nr\.?|id)?[ \t]{0,4}[:=#]?[ \t]{0,4}[\"']?")
+ACCOUNT = re.compile(r"(?:[A-Za-z]{1,2}(?=[0-9]{6}))?[0-9](?:[ -]?[0-9]){5,33}(?![0-9])")
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30}")
-SECRET = re.compile(r"[A-Za-z0-9_\-+/.]{8,}")   # to the token's own end, however long
+# To the token's own end, however long.
+SECRET = re.compile(r"[A-Za-z0-9_\-+/.]{8,}(?:={1,2}(?![A-Za-z0-9]))?")
+VISIBLE = re.compile(r"[!#-&(-~]{6,}")      # ASCII, up to white space or a quote
+TELLING = frozenset("0123456789!#$%^&*+=~@")
+JWT_REST = re.compile(r"\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]*)*")
+PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----(?:\s*(?:Proc-Type|DEK-Info|Version|Comment):[^\n]*)*"
+                 r"(?:\s*[A-Za-z0-9+/]{16,}={0,2})*(?:\s*[A-Za-z0-9+/=]{0,20}\s*-----END [A-Z0-9 ]{0,40}"
+                 r"PRIVATE KEY(?: BLOCK)?-----)?")
 
 SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 SPAN_SCHEMA = "array<struct<kind: string, start: bigint, end: bigint>>"
@@ -67,6 +94,11 @@ def anchors():
         found.add_word(cue, ("account", len(cue)))
     for cue in SECRET_CUES:
         found.add_word(cue, ("secret", len(cue)))
+    for cue in PASSWORD_CUES:
+        found.add_word(cue, ("password", len(cue)))
+    for prefix in KEYS:
+        found.add_word(prefix, ("key", len(prefix)))
+    found.add_word("-----begin ", ("pem", 11))
     found.make_automaton()
     return found
 
@@ -99,12 +131,27 @@ def longest_iban(value: str) -> int:
     return 0
 
 
+def iban_at(text: str, at: int) -> int:
+    """The end of the IBAN of a known country that begins here (0: none)."""
+    length = int(IBAN_LENGTHS.get(text[at:at + 2], 0))
+    if not length or at and text[at - 1].isalnum() or not (m := IBAN.match(text, at)):
+        return 0
+    end, left = at, length
+    while left and end < m.end():
+        left -= text[end] != " "
+        end += 1
+    if left or text[end:end + 1].isalnum() or not iban_ok(text[at:end]):
+        return 0
+    return end
+
+
 def spans_of(text: str, lowered: str, automaton) -> list[tuple[str, int, int]]:
     """All spans, by kind as listed and then by start. ``lowered`` is the text
     with A-Z in lower case (the same positions)."""
     found: dict[str, list[tuple[int, int]]] = {}
     done = dict.fromkeys(("email", "ip", "card", "phone", *ADDED_KINDS), 0)
     barren = 0  # end of a cued run that is no secret; what ends with it is none either
+    spent: dict[str, int] = {}   # the same for runs after the beginning of a key
 
     def keep(kind: str, start: int, end: int) -> None:
         found.setdefault(kind, []).append((start, end))
@@ -126,6 +173,8 @@ def spans_of(text: str, lowered: str, automaton) -> list[tuple[str, int, int]]:
                     if 16 <= len(digits) <= 19 and luhn(digits):
                         keep("card", at, m.end())
                     done["card"] = m.end()
+            if at >= 2 and "A" <= text[at - 1] <= "Z" and at - 2 >= done["iban"] and (end := iban_at(text, at - 2)):
+                keep("iban", at - 2, end)
         elif kind == "+":
             if at >= done["phone"] and (m := PHONE.match(text, at)):
                 if 8 <= sum(c in "0123456789" for c in m.group()) <= 15:
@@ -145,20 +194,53 @@ def spans_of(text: str, lowered: str, automaton) -> list[tuple[str, int, int]]:
                 start += 1
             if start < at and (m := USER_URL.match(text, at + 3)):
                 keep("url", start, m.end())
+        elif kind == "pem":
+            if at >= done["secret"] and (m := PEM.match(text, at)):
+                keep("secret", at, m.end())
+        elif kind == "key":
+            prefix = lowered[at:last + 1]
+            if at < max(done["secret"], spent.get(prefix, 0)) or at and (text[at - 1].isalnum() or text[at - 1] == "_"):
+                continue
+            if m := KEYS[prefix].match(text, at):
+                rest = JWT_REST.match(text, m.end()) if prefix == "eyj" else m
+                end = (rest or m).end()
+                if rest and any(c in "0123456789" for c in text[at:end]):
+                    keep("secret", at, end - (text[end - 1] == "."))
+                else:
+                    spent[prefix] = end
+        elif kind == "password":
+            gap = AFTER_CUE.match(text, last + 1).end()
+            sign = text[last + 1:gap]
+            if gap < max(done["secret"], barren) or not (":" in sign or "=" in sign) or not (m := VISIBLE.match(text, gap)):
+                continue
+            value = m.group()
+            if sign[-1] not in "\"'":
+                value = value.rstrip(".,;:!?)]}>")
+            if len(value) >= 6 and any(map(str.isalpha, value)) and not TELLING.isdisjoint(value):
+                keep("secret", gap, gap + len(value))
+            else:
+                barren = m.end()
         else:
             if at and (text[at - 1].isalnum() or text[at - 1] == "_") and kind != "secret":
                 continue
             gap = AFTER_CUE.match(text, last + 1).end()
-            if gap == last + 1 or at < done[kind]:
+            sign = text[last + 1:gap]
+            if not sign or at < done[kind]:
                 continue
             if kind == "iban" and (m := IBAN.match(text, gap)):
                 if n := longest_iban(m.group()):
                     keep("iban", gap, gap + n)
             elif kind == "account" and (m := ACCOUNT.match(text, gap)):
                 keep("account", gap, m.end())
-            elif kind == "secret" and gap >= barren and (m := SECRET.match(text, gap)):
-                value = m.group().rstrip(".")
-                if sum(c in "0123456789" for c in value) >= 4 and any(c.isalpha() for c in value):
+            elif kind == "secret" and gap >= max(barren, done["secret"]):
+                quoted = text[gap - 1] in "\"'"
+                if not (m := (VISIBLE if quoted else SECRET).match(text, gap)):
+                    continue
+                value = m.group() if quoted else m.group().rstrip(".")
+                digits, letters = sum(c in "0123456789" for c in value), any(c.isalpha() for c in value)
+                # a long value in both cases that is set off needs one digit only
+                mixed = len(value) >= 16 and not value.islower() and not value.isupper() and (":" in sign or "=" in sign)
+                if letters and digits >= (1 if mixed else 3 if quoted else 4):
                     keep("secret", gap, gap + len(value))
                 else:
                     barren = m.end()
