@@ -5,19 +5,25 @@ transformed shares of them form its statistic vector. For each language and
 source, for each language and for all rows, the minimum-covariance-determinant
 estimate of centre and covariance is found by concentration steps: distances
 from the current estimate, then the estimate of the half of the rows with the
-smallest distances. A row is rejected if its Mahalanobis distance from the
-estimate of the finest of its groups with ``MIN_GROUP`` rows or more is beyond
-``CUTOFF``, or if it fails a base rule.
+smallest distances. There are two starts, the rows nearest to ordinary text and
+the group's own moments; the smaller determinant counts. An estimate of h rows
+is drawn to that of the next coarser group by the weight ``PRIOR`` / (h + ``PRIOR``),
+alike at every size: small groups lean on their language, large ones hardly. A
+row is rejected if its Mahalanobis distance from the estimate of its language and
+source is beyond ``CUTOFF``, or if it fails a base rule.
 
 How it scales: texts are read once, to one small row each, which are written
-to the shared folder. A concentration step is one pass over those rows: moments
+to the shared folder. Rows of equal groups and statistics are added up to one
+with a weight. A concentration step is one pass over those: moments
 are added up per group and distance bin (map-side first, so a hot group costs
 no more than any other), and a window over a group's bins, a bounded set,
-finds the half. Sums are of integers, so results do not depend on row order.
+finds the half. Estimates meet their rows in ``SALTS`` parts, so that no group's
+rows go to one task however many groups there are. Sums are of integers, so
+results do not depend on row order.
 
 Null and empty texts have no words and fail the base rule. Null languages and
 sources are groups of their own. Every input row gives one row, repeated or
-not. An empty table gives no rows. Columns of the input that are kept may have
+not. The distance is null in groups whose rows all fail the base rules. An empty table gives no rows. Columns of the input that are kept may have
 any names.
 """
 
@@ -45,8 +51,10 @@ FLOORS = {"length": 0.06, "symbols": 0.03, "dup_lines": 0.10, "repeats": 0.10}
 # Words, characters and lines of ordinary text mixed into every share, so short texts vary no more than long ones.
 EXTRA_WORDS, EXTRA_CHARS, EXTRA_LINES, USUAL_LENGTH = 50, 50, 4, 5.5
 GRAIN = 1000            # statistics are kept as integers of this unit
-MIN_GROUP = 100
+PRIOR = 50              # rows that the coarser group's estimate weighs
 STEPS = 5
+SALTS = 8
+STARTS = ("ordinary", "own")
 TAIL = 1e-9             # chi-square tail beyond which a row is an outlier
 
 
@@ -122,35 +130,48 @@ def vector(s: Column) -> list[Column]:
     return [F.round(v * GRAIN).cast("long") for v in values]
 
 
+ALL_ROWS = '{"level":2}'
+
+
 def _keys(lang: Column, source: Column) -> list[Column]:
     """A row's groups from fine to coarse, as text (null stays apart from any value)."""
     lang, source = lang.cast("string").alias("lang"), source.cast("string").alias("source")
     return [F.to_json(F.struct(F.lit(0).alias("level"), lang, source)),
-            F.to_json(F.struct(F.lit(1).alias("level"), lang)), F.lit('{"level":2}')]
+            F.to_json(F.struct(F.lit(1).alias("level"), lang)), F.lit(ALL_ROWS)]
 
 
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
 def _moments() -> list[Column]:
-    x = [F.col(f"x{i}") for i in range(P)]
-    return [F.count("*").alias("n"), *(F.sum(x[i]).alias(f"s{i}") for i in range(P)),
-            *(F.sum(x[i] * x[j]).alias(f"s{i}{j}") for i, j in PAIRS)]
+    x, w = [F.col(f"x{i}") for i in range(P)], F.col("weight")
+    return [F.sum(w).alias("n"), *(F.sum(w * x[i]).alias(f"s{i}") for i in range(P)),
+            *(F.sum(w * x[i] * x[j]).alias(f"s{i}{j}") for i, j in PAIRS)]
 
 
-def _estimate(sums: DataFrame, consistency: float) -> DataFrame:
-    """Per group the centre and the Cholesky factor of the covariance plus floors."""
-    n = F.col("n")
-    mean = {i: F.col(f"s{i}") / n / GRAIN for i in range(P)}
-    out = sums.select("key", "size", *(mean[i].alias(f"m{i}") for i in range(P)),
-                      *(((F.col(f"s{i}{j}") / n / GRAIN / GRAIN - mean[i] * mean[j]) * consistency
-                         + (FLOORS[VECTOR[i]] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in PAIRS))
+def _with_factor(covariances: DataFrame) -> DataFrame:
+    """The Cholesky factor l of the covariance c, beside it."""
+    out = covariances
     for i, j in PAIRS:
         rest = F.col(f"c{i}{j}")
         for k in range(j):
             rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j else rest / F.col(f"l{j}{j}"))
-    return out.select("key", "size", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in PAIRS))
+    return out
+
+
+MEANS = [f"m{i}" for i in range(P)]
+COVARIANCES, FACTORS = [f"c{i}{j}" for i, j in PAIRS], [f"l{i}{j}" for i, j in PAIRS]
+
+
+def _estimate(sums: DataFrame, consistency: Column) -> DataFrame:
+    """Per group and start the centre, the covariance plus floors and its Cholesky factor."""
+    n = F.col("n")
+    mean = {i: F.col(f"s{i}") / n / GRAIN for i in range(P)}
+    return _with_factor(sums.select(
+        "key", "start", "size", "n", *(mean[i].alias(f"m{i}") for i in range(P)),
+        *(((F.col(f"s{i}{j}") / n / GRAIN / GRAIN - mean[i] * mean[j]) * consistency
+           + (FLOORS[VECTOR[i]] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in PAIRS)))
 
 
 def _distance() -> Column:
@@ -165,36 +186,63 @@ def _distance() -> Column:
 
 
 def _inner_half(rows: DataFrame, bins: Column) -> DataFrame:
-    """Moments per group of the rows in the lowest bins that hold half of the group."""
-    by_bin = rows.groupBy("key", bins.alias("bin")).agg(*_moments())
-    up_to = Window.partitionBy("key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("key")
+    """Moments per group and start of the rows in the lowest bins that hold half of the group."""
+    by_bin = rows.groupBy("key", "start", bins.alias("bin")).agg(*_moments())
+    up_to = Window.partitionBy("key", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("key", "start")
     kept = by_bin.withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0))) \
         .withColumn("size", F.sum("n").over(whole)).where(2 * F.col("before") < F.col("size"))
     names = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in PAIRS)]
-    return kept.groupBy("key").agg(F.max("size").alias("size"), *(F.sum(c).alias(c) for c in names))
+    return kept.groupBy("key", "start").agg(F.max("size").alias("size"), *(F.sum(c).alias(c) for c in names))
 
 
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """Minimum-covariance-determinant estimates of every group. ``rows`` have
-    the groups' ``keys`` and x0, x1, ... ; the start is the half of the rows
-    nearest to the point of no symbols and no repeats and the usual length."""
-    each = rows.select(F.explode("keys").alias("key"), *(f"x{i}" for i in range(P)))
+    the groups' ``keys`` and x0, x1, ... The first start is the half of the rows
+    nearest to the point of no symbols and no repeats and the usual length, the
+    second all rows; of the two ends the smaller determinant counts."""
+    x = [f"x{i}" for i in range(P)]
+    weighed = stage(rows.groupBy("keys", *x).agg(F.count("*").alias("weight")), "vectors")
+    each = weighed.select(F.explode("keys").alias("key"), *x, "weight") \
+        .withColumn("start", F.explode(F.array(*map(F.lit, STARTS)))) \
+        .withColumn("salt", F.pmod(F.xxhash64(*x), F.lit(SALTS)))
     start = F.abs(F.col("x0") - round(GRAIN * math.log(USUAL_LENGTH)))
     for i in range(1, P):
         start = start + F.col(f"x{i}")
-    found = stage(_estimate(_inner_half(each, start), 1.0), "mcd")
+    # all rows of the second start are in its lowest bin
+    sums = _inner_half(each, F.when(F.col("start") == STARTS[0], start).otherwise(0))
+    found = stage(_estimate(sums, F.lit(1.0)), "mcd")
     for _ in range(steps):
-        far = each.join(found, "key")
+        parts = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        far = each.join(parts.drop("n", "size", *COVARIANCES), ["key", "start", "salt"])
         bins = F.floor(64 * F.log2(1 + _distance())).cast("long")
-        found = stage(_estimate(_inner_half(far, bins), CONSISTENCY), "mcd")
-    return found
+        found = stage(_estimate(_inner_half(far, bins), F.lit(CONSISTENCY)), "mcd")
+    determinant = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, P)), F.log(F.col("l00")))
+    names = ["size", "n", *MEANS, *COVARIANCES, *FACTORS]
+    order = F.struct(determinant, F.array_position(F.array(*map(F.lit, STARTS)), F.col("start")))
+    return found.groupBy("key").agg(F.min_by(F.struct(*names), order).alias("best")).select("key", "best.*")
+
+
+def drawn_to_coarser(found: DataFrame, prior: float = PRIOR) -> DataFrame:
+    """The estimates of the finest groups, each drawn to its language's and that to all rows'."""
+    parts = F.from_json("key", "level int, lang string, source string")
+    lang = F.to_json(F.struct(F.lit(1).alias("level"), parts["lang"].alias("lang")))
+    by_level = found.withColumn("level", parts["level"]).withColumn(
+        "up", F.when(F.col("level") == 0, lang).otherwise(F.lit(ALL_ROWS)))
+    names = [*MEANS, *COVARIANCES]
+    above = by_level.where("level = 2").select("key", *names)
+    for level in (1, 0):
+        coarser = above.select(F.col("key").alias("up"), *(F.col(c).alias(f"up_{c}") for c in names))
+        own = F.col("n") / (F.col("n") + prior)
+        above = by_level.where(F.col("level") == level).join(coarser, "up").select(
+            "key", *((own * F.col(c) + (1 - own) * F.col(f"up_{c}")).alias(c) for c in names))
+    return _with_factor(above).select("key", *MEANS, *FACTORS)
 
 
 def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source") -> tuple[DataFrame, str]:
     """The ``keep`` columns of every row and, in a struct column whose name is
-    returned too, the counts, base_failed, kept, distance and level."""
+    returned too, the counts, base_failed, kept and distance."""
     name = "__quality"
     while any(c.startswith(name) for c in docs.columns):
         name += "_"
@@ -206,18 +254,9 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: st
     vectors = rows.select(F.col(f"{name}_keys").alias("keys"), *(v.alias(f"x{i}") for i, v in enumerate(vector(s))),
                           base_failed(s).alias("failed"))
     found = estimates(vectors.where(~F.col("failed")).drop("failed"))
-    finest = found.where((F.col("size") >= MIN_GROUP) | (F.col("key") == '{"level":2}')).select(
-        F.struct("size", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in PAIRS)).alias(f"{name}_e"),
-        F.col("key").alias(f"{name}_k"))
-    out = rows
-    for level in range(3):  # a left join for each level; the first that has an estimate counts
-        out = out.join(finest.withColumnRenamed(f"{name}_e", f"{name}_e{level}"),
-                       F.col(f"{name}_keys")[level] == F.col(f"{name}_k"), "left").drop(f"{name}_k")
-    best = F.coalesce(*(F.col(f"{name}_e{k}") for k in range(3)))
-    level = F.coalesce(*(F.when(F.col(f"{name}_e{k}").isNotNull(), k) for k in range(3)))
-    lay = out.withColumn(f"{name}_e", best).withColumn(f"{name}_level", level)
-    names = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i, j in PAIRS]
-    values = {f"x{i}": v for i, v in enumerate(vector(s))} | {c: F.col(f"{name}_e")[c] for c in names}
+    finest = drawn_to_coarser(found).select(F.struct(*MEANS, *FACTORS).alias(f"{name}_e"), F.col("key").alias(f"{name}_k"))
+    lay = rows.join(finest, F.col(f"{name}_keys")[0] == F.col(f"{name}_k"), "left")
+    values = {f"x{i}": v for i, v in enumerate(vector(s))} | {c: F.col(f"{name}_e")[c] for c in MEANS + FACTORS}
     y: list[Column] = []
     for i in range(P):
         rest = values[f"x{i}"] / GRAIN - values[f"m{i}"]
@@ -227,7 +266,7 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", lang_col: st
     distance = sum((v * v for v in y[1:]), y[0] * y[0])
     verdict = F.struct(*(s[c].alias(c) for c in STATS), base_failed(s).alias("base_failed"),
                        (~base_failed(s) & F.coalesce(distance <= CUTOFF, F.lit(False))).alias("kept"),
-                       distance.alias("distance"), F.col(f"{name}_level").alias("level"))
+                       distance.alias("distance"))
     return lay.withColumn(name, verdict).select(*keep, name), name
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -42,7 +43,7 @@ def test_counts(spark):
 
 
 def fast_mcd(x, steps):
-    """The same concentration steps with numpy, on one group."""
+    """The same concentration steps with numpy, on one group, from both starts."""
     floors = np.diag([Q.FLOORS[v] ** 2 for v in Q.VECTOR])
 
     def inner(bins):
@@ -51,14 +52,17 @@ def fast_mcd(x, steps):
         own = x[bins <= values[2 * before < len(x)].max()]
         return own.mean(0) / Q.GRAIN, np.cov(own.T, bias=True) / Q.GRAIN ** 2
 
-    m, c = inner(np.abs(x - [round(Q.GRAIN * np.log(Q.USUAL_LENGTH)), 0, 0, 0]).sum(1))
-    c = c + floors
-    for _ in range(steps):
-        d = x / Q.GRAIN - m
-        dist = np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d)
-        m, c = inner(np.floor(64 * np.log2(1 + dist)).astype(int))
-        c = c * Q.CONSISTENCY + floors
-    return m, c
+    ends = []
+    for first in (np.abs(x - [round(Q.GRAIN * np.log(Q.USUAL_LENGTH)), 0, 0, 0]).sum(1), np.zeros(len(x))):
+        m, c = inner(first)
+        c = c + floors
+        for _ in range(steps):
+            d = x / Q.GRAIN - m
+            dist = np.einsum("ij,jk,ik->i", d, np.linalg.inv(c), d)
+            m, c = inner(np.floor(64 * np.log2(1 + dist)).astype(int))
+            c = c * Q.CONSISTENCY + floors
+        ends.append((m, c))
+    return min(ends, key=lambda e: np.linalg.slogdet(e[1])[1])
 
 
 def test_estimate_equals_numpy(spark):
@@ -75,6 +79,52 @@ def test_estimate_equals_numpy(spark):
     assert abs(m[0] - 1.7) < 0.03   # the shifted rows have no say
 
 
+def spread(rng, n, centre):
+    return np.abs(rng.multivariate_normal(centre, np.diag([90, 40, 60, 70]) ** 2, n)).astype(int)
+
+
+def test_the_smaller_determinant_counts(spark):
+    """Ordinary text is not where this group is; repeated vectors count as often as they come."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([spread(rng, 300, [2600, 500, 60, 900]), spread(rng, 40, [1700, 20, 20, 20])])
+    x = np.concatenate([x, np.repeat(x[:3], 50, axis=0)])
+    rows = spark.createDataFrame([(["g"], *map(int, r)) for r in x], "keys array<string>, x0 long, x1 long, x2 long, x3 long")
+    got = Q.estimates(rows).collect()[0]
+    m, c = fast_mcd(x.astype(float), Q.STEPS)
+    assert [got[f"m{i}"] for i in range(4)] == pytest.approx(m.tolist()) and got["size"] == len(x)
+    assert all(got[f"c{i}{j}"] == pytest.approx(c[i, j], abs=1e-9) for i, j in Q.PAIRS)
+
+
+def test_groups_are_drawn_to_the_coarser_one_by_their_rows(spark):
+    rng = np.random.default_rng(6)
+    sizes = {("en", "a"): 4, ("en", "b"): 400, (None, "a"): 3, ("de", None): 30}
+    rows = [(lang, source, *map(int, r)) for (lang, source), n in sizes.items() for r in spread(rng, n, [1700, 60, 80, 100])]
+    df = spark.createDataFrame(rows, "lang string, source string, x0 long, x1 long, x2 long, x3 long")
+    found = Q.estimates(df.withColumn("keys", F.array(*Q._keys(F.col("lang"), F.col("source")))).drop("lang", "source"))
+    raw = {tuple(sorted(json.loads(r.key).items())): r for r in found.collect()}
+    out = {tuple(sorted(json.loads(r.key).items())): r for r in Q.drawn_to_coarser(found).collect()}
+    assert len(raw) == 8 and len(out) == 4
+
+    def key(**parts):
+        return tuple(sorted(parts.items()))
+
+    def moments(r):
+        return np.array([r[f"m{i}"] for i in range(4)] + [r[f"c{i}{j}"] for i, j in Q.PAIRS])
+    for lang, source in sizes:
+        own = key(**{k: v for k, v in (("lang", lang), ("level", 0), ("source", source)) if v is not None})
+        middle = key(**{k: v for k, v in (("lang", lang), ("level", 1)) if v is not None})
+        want = moments(raw[key(level=2)])
+        for k in (middle, own):
+            w = raw[k].n / (raw[k].n + Q.PRIOR)
+            want = w * moments(raw[k]) + (1 - w) * want
+        c = np.zeros((4, 4))
+        for (i, j), v in zip(Q.PAIRS, want[4:]):
+            c[i, j] = c[j, i] = v
+        lower = np.linalg.cholesky(c)
+        assert [out[own][f"m{i}"] for i in range(4)] == pytest.approx(want[:4].tolist())
+        assert all(out[own][f"l{i}{j}"] == pytest.approx(lower[i, j], abs=1e-9) for i, j in Q.PAIRS)
+
+
 def test_keeps_clean_and_rejects_junk(spark):
     out = QUERIES["op3_mcd_quality_rules"](spark, MEDIUM)
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
