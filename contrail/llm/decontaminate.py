@@ -14,7 +14,9 @@ group holds 80 % of the item's windows or more.
 
 How it scales: a bit filter of the benchmark's window hashes (of bounded size,
 built by Spark) goes to the tasks that read the documents, so only windows that
-may match leave them; the join and the grouping by document are Spark's.
+may match leave them; the join and the grouping by document are Spark's. Windows
+that many items hold are looked at only for documents and items that share one of
+the item's rarest windows, of which every leak holds one (a prefix filter, exact).
 
 Windows with fewer than three ordinary words are not used (words at a sentence's
 start count; two must be left where such words are read as names). Items of
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.llm import words as W
@@ -49,6 +51,7 @@ LEAST_LITERALS = 2      # and that are left where words at a sentence's start ar
 FEW = 5                 # windows: items of fewer are looked for whole as well
 SHARE_PERCENT = 80
 MAX_SHIFT = 5           # words put in or left out between parts of one occurrence
+COMMON = 8              # classes that hold a window before it counts as common
 MAX_FILTER_BITS = 26    # of the filter's size: 8 MB
 
 # Words that count as numbers and as units.
@@ -352,6 +355,37 @@ def item_classes(items: DataFrame) -> DataFrame:
                                  "slots: array<bigint>>>, class binary, values binary")
 
 
+def with_spread(one: DataFrame, percent: int) -> DataFrame:
+    """The classes' windows with ``spread``, the number of classes that hold one's
+    hash, and ``lead``: a document that holds enough of a class's windows holds one
+    of its leading ones, the least spread (and any whole template)."""
+    spread = one.groupBy("h").agg(F.count_distinct("class").alias("spread"))
+    rows = one.join(spread, "h")
+    places = rows.where("item_at >= 0").groupBy("class", "n_windows", "item_at").agg(F.max("spread").alias("s"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("s", "item_at"))
+    needed = F.ceil(F.lit(percent) * F.col("n_windows") / 100)
+    leading = places.withColumn("lead", rank <= F.col("n_windows") - needed + 1).select("class", "item_at", "lead")
+    return rows.join(leading, ["class", "item_at"], "left").withColumn("lead", F.coalesce("lead", F.lit(True)))
+
+
+def meetings(found: DataFrame, one: DataFrame, percent: int, common: int = COMMON) -> DataFrame:
+    """Documents' windows beside the classes' with the same hash. Those that more than
+    ``common`` classes hold are looked at only for pairs that share a leading window,
+    so a sentence of many documents and items does not pair them all."""
+    marked = stage(with_spread(one, percent), "benchmark-spread")
+    late = (F.col("spread") > common) & ~F.col("lead")
+    columns = one.columns
+    if marked.where(late).isEmpty():
+        return found.join(one, "h")
+    own = stage(found.join(one.select("h").distinct(), "h", "left_semi"), "windows")
+    direct = own.join(marked.where(~late).select(*columns, "lead"), "h")
+    pairs = direct.where("lead").select(F.col("id").alias("pair_id"), F.col("content").alias("pair_content"), "class").distinct()
+    wanted = pairs.join(marked.where(late).select(*(F.col(c).alias("late_h" if c == "h" else c) for c in columns)), "class")
+    rest = own.join(wanted, own["id"].eqNullSafe(wanted["pair_id"]) & (own["content"] == wanted["pair_content"])
+                    & (own["h"] == wanted["late_h"])).drop("pair_id", "pair_content", "late_h")
+    return direct.drop("lead").unionByName(rest)
+
+
 def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
            percent: int) -> tuple[DataFrame, DataFrame]:
     """The classes of items that documents leak, one row per document text and
@@ -365,7 +399,7 @@ def leaked(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     one = chosen.select("class", F.col("r.total").alias("n_windows"), F.posexplode("r.t").alias("place", "x"))
     one = stage(one.select("class", "n_windows", "place", "x.h", F.col("x.at").alias("item_at"),
                            F.col("x.slots").alias("item_slots")), "benchmark-classes")
-    found = windows(docs, id_col, text_col, bit_filter(one), sizes).drop("total", "size").join(one, "h")
+    found = meetings(windows(docs, id_col, text_col, bit_filter(one), sizes).drop("total", "size"), one, percent)
     keys = ["id", "content", "class"]
     dealt = found.repartition(*keys).sortWithinPartitions(*keys, "at", "item_at")
 
